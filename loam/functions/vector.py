@@ -42,16 +42,6 @@ def mean(arr: str | Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / F.size(a)
 
 
-def standardize(arr: str | Column) -> Column:
-    """Per-vector standardization: (x - mean) / max(std_pop, 1/sqrt(n))."""
-    a = as_double(arr)
-    n = F.size(a)
-    mu = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / n
-    var = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - mu) * (x - mu)) / n
-    den = F.greatest(F.sqrt(var), F.lit(1.0) / F.sqrt(n.cast("double")))
-    return F.transform(a, lambda x: (x - mu) / den)
-
-
 def softmax(arr: str | Column) -> Column:
     a = as_double(arr)
     m = F.array_max(a)
