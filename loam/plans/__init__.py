@@ -1,4 +1,4 @@
 """Named queries (Spark plan + DuckDB oracle) covering the operator inventory."""
 
 from loam.plans.registry import REGISTRY, Query, register  # noqa: F401
-from loam.plans import q_eval, q_vector  # noqa: F401,E402
+from loam.plans import q_eval, q_split, q_vector  # noqa: F401,E402
