@@ -67,9 +67,14 @@ def url_host(url: str | Column) -> Column:
     return F.regexp_extract(_c(url), URL_HOST_PATTERN, 1)
 
 
+def strip_ws(text: str | Column) -> Column:
+    """Remove leading/trailing whitespace (all whitespace chars, not only spaces)."""
+    return F.regexp_replace(_c(text), "^\\s+|\\s+$", "")
+
+
 def clean_sms(text: str | Column) -> Column:
-    """Remove tabs and double quotes, lower-case, trim."""
-    return F.trim(F.lower(F.translate(_c(text), '\t"', "")))
+    """Remove tabs and double quotes, lower-case, strip surrounding whitespace."""
+    return strip_ws(F.lower(F.translate(_c(text), '\t"', "")))
 
 
 def tokenize(text: str | Column, delims: str = TITLE_DELIMITERS) -> Column:
