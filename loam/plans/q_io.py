@@ -73,7 +73,7 @@ def sql_named_params(spark, sf):
 
 
 @register("io_whole_files", """
-SELECT source AS label, sum(length(text) + 1) AS n_chars FROM documents GROUP BY source
+SELECT source AS label, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars FROM documents GROUP BY source
 """, ids=("IO6", "IO7"))
 def io_whole_files(spark, sf):
     d = t(spark, sf, "documents")
