@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loam.functions.arrays import explode_rows
 from loam.operators.ranking import global_row_number, group_row_number
 
 # Fixed value: the padding word placed at id 0 of a word-set vocabulary.
@@ -202,7 +203,7 @@ def vocabulary(tokens: DataFrame, token: str, top_k: int | None = None,
 
 def word_set_vocabulary(docs: DataFrame, text: str, pad_word: str = PAD_WORD) -> DataFrame:
     """Distinct space-separated words, ids 1..n in byte order, pad word at id 0."""
-    words = (docs.select(F.explode(F.split(F.col(text), " ")).alias("word"))
+    words = (explode_rows(docs, [], F.split(F.col(text), " "), "word")
              .filter(F.col("word") != "").distinct())
     ranked = global_row_number(words, [F.col("word")], out="_rn")
     vocab = ranked.select("word", F.col("_rn").cast("int").alias("id"))
@@ -213,7 +214,7 @@ def word_set_vocabulary(docs: DataFrame, text: str, pad_word: str = PAD_WORD) ->
 def doc_frequency(docs: DataFrame, doc_id: str, tokens: str | Column) -> DataFrame:
     """(token, df, idf) with idf = 1 + ln((N + 1) / (df + 1)), N = number of documents."""
     tok = tokens if isinstance(tokens, Column) else F.col(tokens)
-    pairs = docs.select(F.col(doc_id), F.explode(F.array_distinct(tok)).alias("token"))
+    pairs = explode_rows(docs, [F.col(doc_id)], F.array_distinct(tok), "token")
     dfreq = pairs.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     n = docs.agg(F.count(F.lit(1)).alias("_n"))
     return (dfreq.crossJoin(F.broadcast(n))

@@ -11,17 +11,36 @@ Scale notes:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loam.functions.arrays import posexplode_rows
 from loam.functions.hashing import md5_int
 from loam.operators.analyze import vocabulary
 from loam.operators.ranking import join_side_table
 
 
-def token_counts(docs: DataFrame, doc_id: str, tokens: Column) -> DataFrame:
-    """(doc_id, token, cnt): per-document term counts (pre-aggregated)."""
-    ex = docs.select(F.col(doc_id), F.explode(tokens).alias("token"))
+def explode_tokens(df: DataFrame, keep: list[str | Column], tokens: Column, out: str = "token") -> DataFrame:
+    """One row per token.  ``explode_outer`` + null filter: plain ``explode`` makes the
+    optimizer add a ``size(tokens) > 0`` filter that evaluates the tokenizer twice."""
+    from loam.functions.arrays import explode_rows
+    return explode_rows(df, keep, tokens, out)
+
+
+def token_counts(docs: DataFrame, doc_id: str, tokens: Column, with_length: bool = False) -> DataFrame:
+    """(doc_id, [_len,] token, cnt): per-document term counts (pre-aggregated map-side).
+
+    ``with_length`` carries the document's token count through the same pass
+    (it is functionally dependent on the document, so grouping by it is free).
+    """
+    keep: list[str | Column] = [F.col(doc_id)]
+    if with_length:
+        tk = docs.select(F.col(doc_id), tokens.alias("_tk"))
+        keep.append(F.size("_tk").alias("_len"))
+        ex = explode_tokens(tk, keep, F.col("_tk"))
+        return ex.groupBy(doc_id, "_len", "token").agg(F.count(F.lit(1)).alias("cnt"))
+    ex = explode_tokens(docs, keep, tokens)
     return ex.groupBy(doc_id, "token").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -50,19 +69,18 @@ def tfidf(docs: DataFrame, doc_id: str, tokens: Column, top_k: int | None = None
     desc) and every other token falls into the single out-of-vocabulary slot
     ``top_k``.  Returns (weights(doc_id, term_id, tf, df, idf, tf_idf), vocab).
     """
-    toks = docs.select(F.col(doc_id), tokens.alias("_toks"))
-    lens = toks.select(F.col(doc_id), F.size("_toks").alias("_len"))
-    tc = token_counts(toks, doc_id, F.col("_toks"))
+    # one tokenization pass; the (doc, token, count) index feeds both the vocabulary
+    # fit and the id mapping, so keep it (spills to disk; recomputable on executor loss)
+    tc = token_counts(docs, doc_id, tokens, with_length=True).persist(StorageLevel.MEMORY_AND_DISK)
     if vocab is None:
         vocab = vocabulary(tc, "token", top_k=top_k, count_col="cnt")
     oov = top_k if top_k is not None else F.lit(None).cast("int")
     m = lookup_ids(tc, vocab, oov, top_k)
     if top_k is None:
         m = m.filter(F.col("id").isNotNull())
-    per = m.groupBy(doc_id, "id").agg(F.sum("cnt").alias("cnt"))
+    per = m.groupBy(doc_id, "_len", "id").agg(F.sum("cnt").alias("cnt"))
     dfreq = per.groupBy("id").agg(F.count(F.lit(1)).alias("df"))
     n = docs.agg(F.count(F.lit(1)).alias("_n"))
-    per = per.join(lens, doc_id)  # both keyed by document: co-partitioned shuffle join
     idf = dfreq.crossJoin(F.broadcast(n)).select(
         "id", "df", (F.lit(1.0) + F.ln((F.col("_n") + 1) / (F.col("df") + 1))).alias("idf"))
     if top_k is not None:
@@ -110,10 +128,10 @@ def hashed_doc_vector(docs: DataFrame, doc_id: str, text: str, dims: int = 64) -
     (doc_id, slot, value) for non-zero slots.
     """
     from loam.functions.text import sentence_split, word_tokens
-    sents = docs.select(F.col(doc_id), F.posexplode(F.split(sentence_split(text), "\n")).alias("s", "sent"))
+    sents = posexplode_rows(docs, [F.col(doc_id)], F.split(sentence_split(text), "\n"), "s", "sent")
     st = sents.select(doc_id, "s", word_tokens(F.col("sent")).alias("_t")).filter(F.size("_t") > 0)
     n_sent = st.groupBy(doc_id).agg(F.count(F.lit(1)).alias("_ns"))
-    ex = st.select(doc_id, "s", F.size("_t").alias("_len"), F.explode("_t").alias("token"))
+    ex = explode_tokens(st, [F.col(doc_id), F.col("s"), F.size("_t").alias("_len")], F.col("_t"))
     stc = ex.groupBy(doc_id, "s", "_len", "token").agg(F.count(F.lit(1)).alias("cnt"))
     dfreq = stc.select(doc_id, "token").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     n = docs.agg(F.count(F.lit(1)).alias("_n"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.functions import vector as V
+from loam.functions.arrays import explode_rows, posexplode_rows
 from loam.operators.ranking import BROADCAST_ROW_LIMIT
 
 _STATS = {"min": F.min, "max": F.max, "mean": F.avg}
@@ -47,8 +48,8 @@ def similar_by_unnest(df: DataFrame, key: str, vec: str, probe: DataFrame) -> Da
     """
     p = probe.select(F.col(key).alias("k1"), F.col(vec).alias("_v1")).limit(1)
     j = df.select(F.col(key).alias("k2"), F.col(vec).alias("_v2")).crossJoin(F.broadcast(p))
-    z = j.select("k1", "k2", F.explode(F.arrays_zip(V.as_double("_v1").alias("a"),
-                                                    V.as_double("_v2").alias("b"))).alias("z"))
+    z = explode_rows(j, ["k1", "k2"], F.arrays_zip(V.as_double("_v1").alias("a"),
+                                                    V.as_double("_v2").alias("b")), "z")
     a, b = F.col("z.a"), F.col("z.b")
     return z.groupBy("k1", "k2").agg(
         F.sum(a * b).alias("dot"), F.sqrt(F.sum(a * a)).alias("norm1"), F.sqrt(F.sum(b * b)).alias("norm2"))
@@ -56,7 +57,7 @@ def similar_by_unnest(df: DataFrame, key: str, vec: str, probe: DataFrame) -> Da
 
 def exploded(df: DataFrame, vec: str, keys: Sequence[str]) -> DataFrame:
     """(keys..., pos, x) with pos 0-based and x as double."""
-    return df.select(*keys, F.posexplode(V.as_double(vec)).alias("pos", "x"))
+    return posexplode_rows(df, list(keys), V.as_double(vec), "pos", "x")
 
 
 def _field(name: str):

@@ -237,7 +237,7 @@ def indicator_column(spark, sf):
     train = o.filter(split2(F.col("o_orderkey").cast("string")) == "train")
     ft = TR.FeaturePipeline([TR.Vocabulary("o_orderpriority", "pid", top_k=4)], keep=["o_orderkey"]).fit(train)
     x = ft.transform(o).select("o_orderkey", one_hot("pid", 4).alias("oh"))
-    return x.select("o_orderkey", F.posexplode("oh").alias("slot", "v")).select(
+    return x.select("o_orderkey", F.posexplode_outer("oh").alias("slot", "v")).filter(F.col("slot").isNotNull()).select(
         "o_orderkey", F.col("slot").cast("bigint").alias("slot"), "v")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loam.functions.arrays import explode_rows
 from loam.operators.transform import FeatureSpec
 from loam.plans.registry import register, t
 from loam.session import scratch_path
@@ -36,7 +37,7 @@ WHERE length(line) > 0 GROUP BY line
 def io_skip_empty(spark, sf):
     d = t(spark, sf, "documents")
     path = scratch_path(spark, "lines")
-    d.select(F.explode(F.split("text", "\n")).alias("line")).write.mode("overwrite").text(path)
+    explode_rows(d, [], F.split("text", "\n"), "line").write.mode("overwrite").text(path)
     lines = R.read_text_lines(spark, path, drop_empty=True)
     return lines.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loam.functions import text as T
+from loam.functions.arrays import explode_rows, posexplode_rows
 from loam.operators import text as TO
 from loam.operators.analyze import PAD_WORD, doc_frequency, vocabulary, word_set_vocabulary
 from loam.operators.split import threshold_split
@@ -132,8 +133,8 @@ FROM (SELECT {SQL_FIRST_LINE} AS title, unnest(string_split(lang || ',' || sourc
 GROUP BY topic ORDER BY title_count DESC
 """, ids=("JN3", "AG1"))
 def topic_distribution(spark, sf):
-    d = _docs(spark, sf).select(T.first_line("text").alias("title"),
-                                F.explode(F.split(F.concat_ws(",", "lang", "source"), ",")).alias("topic"))
+    d = explode_rows(_docs(spark, sf), [T.first_line("text").alias("title")],
+                     F.split(F.concat_ws(",", "lang", "source"), ","), "topic")
     return d.groupBy("topic").agg(F.count("title").alias("title_count")).orderBy(F.desc("title_count"), "topic")
 
 
@@ -143,7 +144,7 @@ SELECT token, frequency, CAST(row_number() OVER (ORDER BY frequency DESC, token
 FROM c QUALIFY id < {VOCAB_TOP_K}
 """, ids=("AG8", "FT6"))
 def vocabulary_topk(spark, sf):
-    tk = _docs(spark, sf).select(F.explode(_delim_tokens()).alias("token"))
+    tk = explode_rows(_docs(spark, sf), [], _delim_tokens(), "token")
     return vocabulary(tk, "token", top_k=VOCAB_TOP_K)
 
 
@@ -257,7 +258,7 @@ FROM tk LEFT JOIN v ON tk.word = v.word CROSS JOIN vs WHERE tk.word <> '' GROUP
 def vocab_lookup_oov(spark, sf):
     vocab = _file_vocab(spark, sf).withColumnRenamed("word", "token")
     vsize = vocab.agg(F.count(F.lit(1)).alias("_oov"))
-    words = _doc_words(_docs(spark, sf)).select("doc_id", F.explode("toks").alias("token"))
+    words = explode_rows(_doc_words(_docs(spark, sf)), ["doc_id"], "toks", "token")
     m = TO.lookup_ids(words.crossJoin(F.broadcast(vsize)), vocab, F.col("_oov"), top_k=None)
     return m.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_tokens"),
@@ -276,14 +277,14 @@ def pad_token_ids(spark, sf):
     vocab = _file_vocab(spark, sf).withColumnRenamed("word", "token")
     vsize = vocab.agg(F.count(F.lit(1)).cast("int").alias("_oov"))
     words = _doc_words(_docs(spark, sf))
-    ex = words.select("doc_id", F.posexplode(F.slice("toks", 1, 100)).alias("pos", "token"))
+    ex = posexplode_rows(words, ["doc_id"], F.slice("toks", 1, 100), "pos", "token")
     m = TO.lookup_ids(ex.crossJoin(F.broadcast(vsize)), vocab, F.col("_oov"), top_k=None)
     # per document at most 100 ids: bounded collect, then pad/cut to 100
     ids = m.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("_s"))
     ids = words.select("doc_id").join(ids, "doc_id", "left").select(
         "doc_id", T.pad_or_cut(F.coalesce(F.transform("_s", lambda s: s["id"]), F.array().cast("array<int>")),
                                100, 0).alias("ids"))
-    return ids.select("doc_id", F.posexplode("ids").alias("pos", "id")).select(
+    return posexplode_rows(ids, ["doc_id"], "ids", "pos", "id").select(
         "doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("id").cast("int").alias("id"))
 
 

@@ -81,7 +81,7 @@ SELECT label, pos, round(avg(x), 6) AS vmean FROM {_SQL_EXPL} e GROUP BY label,
 def mean_pool_vectors(spark, sf):
     emb = t(spark, sf, "embeddings")
     p = VO.pool_vectors(emb, "label", "embedding", how="mean")
-    return p.select("label", F.posexplode("vec_mean").alias("pos", "vmean")).select(
+    return p.select("label", F.posexplode_outer("vec_mean").alias("pos", "vmean")).filter(F.col("pos").isNotNull()).select(
         "label", F.col("pos").cast("bigint").alias("pos"), r6("vmean").alias("vmean"))
 
 
@@ -92,7 +92,7 @@ SELECT vec_id, pos, round(x, 3) + 0.0 AS v FROM (SELECT vec_id, unnest(range(0,
 def round_array(spark, sf):
     emb = t(spark, sf, "embeddings")
     r = emb.select("vec_id", V.round_array("embedding", 3).alias("r"))
-    return r.select("vec_id", F.posexplode("r").alias("pos", "v")).select(
+    return r.select("vec_id", F.posexplode_outer("r").alias("pos", "v")).filter(F.col("pos").isNotNull()).select(
         "vec_id", F.col("pos").cast("bigint").alias("pos"), "v")
 
 
@@ -136,7 +136,7 @@ SELECT vec_id, pos, CAST(pos = label AS INTEGER) AS v FROM (SELECT vec_id, label
 def one_hot_label(spark, sf):
     emb = t(spark, sf, "embeddings")
     o = emb.select("vec_id", V.one_hot("label", 10).alias("oh"))
-    return o.select("vec_id", F.posexplode("oh").alias("pos", "v")).select(
+    return o.select("vec_id", F.posexplode_outer("oh").alias("pos", "v")).filter(F.col("pos").isNotNull()).select(
         "vec_id", F.col("pos").cast("bigint").alias("pos"), "v")
 
 
@@ -152,7 +152,7 @@ def sequence_in_out(spark, sf):
     parts = s.select("vec_id", F.inline(F.array(
         F.struct(F.lit("in").alias("part"), F.col("seq_in").alias("a")),
         F.struct(F.lit("out").alias("part"), F.col("seq_out").alias("a")))))
-    return parts.select("vec_id", "part", F.posexplode("a").alias("pos", "value")).select(
+    return parts.select("vec_id", "part", F.posexplode_outer("a").alias("pos", "value")).filter(F.col("pos").isNotNull()).select(
         "vec_id", "part", F.col("pos").cast("bigint").alias("pos"), "value")
 
 
