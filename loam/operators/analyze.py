@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.functions.arrays import explode_rows
-from loam.operators.ranking import global_row_number, group_row_number
+from loam.operators.ranking import global_row_number, join_side_table, prefix_sums
 
 # Fixed value: the padding word placed at id 0 of a word-set vocabulary.
 PAD_WORD = "#=KS=#"
@@ -64,8 +64,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
                     names: Sequence[str] | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (like ``quantile_cont``) per group.
 
-    Distributed: a skew-safe group row number over the sorted values, then only
-    the 1-2 rows around each quantile position are kept and interpolated.
+    Distributed and skew-safe: values are first compressed to (group, value,
+    count) with a map-side partial aggregation (a column with few distinct
+    values shrinks to a handful of rows), then a distributed prefix sum over
+    the sorted distinct values gives each value its rank range; only the values
+    covering the 1-2 ranks around each quantile position are kept.
     """
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
     keys = list(keys)
@@ -73,17 +76,20 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     base = df.select(*[F.col(k) for k in keys], F.col(value).cast("double").alias("_v"))
     if not keys:
         base = base.withColumn("_lm_all", F.lit(0))
-    base = base.filter(F.col("_v").isNotNull())
-    r = group_row_number(base, gkeys, [F.col("_v")], out="_rn", size_col="_n")
+    vc = base.filter(F.col("_v").isNotNull()).groupBy(*gkeys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ps = prefix_sums(vc, [F.col(k) for k in gkeys] + [F.col("_v")], ["_c"], inclusive=False, suffix="_before")
+    grp = ps.groupBy(*gkeys).agg(F.min("_c_before").alias("_g0"), F.sum("_c").alias("_n"))
+    r = join_side_table(ps, grp, gkeys).withColumn("_lo_rank", F.col("_c_before") - F.col("_g0"))
+    covers = lambda rank: (F.col("_lo_rank") < rank) & (rank <= F.col("_lo_rank") + F.col("_c"))
     n1 = F.col("_n") - 1
     conds, aggs = [], []
     for p, nm in zip(probs, names):
         pos = n1 * F.lit(float(p))
         lo = F.floor(pos) + 1
         hi = F.ceil(pos) + 1
-        conds += [F.col("_rn") == lo, F.col("_rn") == hi]
-        lo_v = F.max(F.when(F.col("_rn") == lo, F.col("_v")))
-        hi_v = F.max(F.when(F.col("_rn") == hi, F.col("_v")))
+        conds += [covers(lo), covers(hi)]
+        lo_v = F.max(F.when(covers(lo), F.col("_v")))
+        hi_v = F.max(F.when(covers(hi), F.col("_v")))
         d = F.max(pos - F.floor(pos))
         aggs.append((lo_v + (hi_v - lo_v) * d).alias(nm))
     keep = conds[0]

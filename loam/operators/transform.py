@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -286,35 +287,49 @@ class FeaturePipeline:
     keep: list[str] = field(default_factory=list)
     process_features: Callable[[DataFrame], DataFrame] | None = None
 
-    def fit(self, train: DataFrame) -> FittedTransform:
+    def fit(self, train: DataFrame, max_concurrent_jobs: int = 4) -> FittedTransform:
+        """Fit every analyzer; independent Spark jobs (the scalar agg, each quantile
+        group, each vocabulary) are submitted concurrently from driver threads."""
         if self.process_features:
             train = self.process_features(train)
         aggs: dict[str, Column] = {}
         for s in self.steps:
             aggs.update(s.analyzers())
-        stats: dict[str, float | None] = {}
-        if aggs:
+
+        def fit_scalars() -> dict:
+            if not aggs:
+                return {}
             row = train.agg(*[c.alias(k) for k, c in aggs.items()]).first()
-            stats = {k: (float(row[k]) if row[k] is not None else None) for k in aggs}
-        boundaries: dict[str, list[float]] = {}
-        qsteps = [s for s in self.steps if isinstance(s, QuantileBucketize)]
-        for exact in (True, False):
-            group = [s for s in qsteps if s.exact == exact]
-            by_n: dict[tuple[int, float], list[QuantileBucketize]] = {}
-            for s in group:
-                by_n.setdefault((s.num_buckets, s.epsilon), []).append(s)
-            for (n, eps), ss in by_n.items():
-                src = train.select(*[F.col(s.col).cast("double").alias(s.out) for s in ss])
-                b = bucket_boundaries(src, [s.out for s in ss], n, exact=exact, epsilon=eps)
-                boundaries.update(b)
-        vocabs: dict[str, DataFrame] = {}
-        sizes: dict[str, int] = {}
+            return {k: (float(row[k]) if row[k] is not None else None) for k in aggs}
+
+        by_cfg: dict[tuple[int, float, bool], list[QuantileBucketize]] = {}
         for s in self.steps:
-            if isinstance(s, Vocabulary):
-                vals = train.select(F.col(s.col).cast("string").alias("value"))
-                v = vocabulary(vals, "value", top_k=s.top_k).select("value", "frequency", "id")
-                sizes[s.out] = v.count()  # the vocabulary is checkpointed; count is its size
-                vocabs[s.out] = v
+            if isinstance(s, QuantileBucketize):
+                by_cfg.setdefault((s.num_buckets, s.epsilon, s.exact), []).append(s)
+
+        def fit_quantiles(cfg, ss) -> dict:
+            n, eps, exact = cfg
+            src = train.select(*[F.col(s.col).cast("double").alias(s.out) for s in ss])
+            return bucket_boundaries(src, [s.out for s in ss], n, exact=exact, epsilon=eps)
+
+        def fit_vocab(s: Vocabulary):
+            vals = train.select(F.col(s.col).cast("string").alias("value"))
+            v = vocabulary(vals, "value", top_k=s.top_k).select("value", "frequency", "id")
+            return s.out, v, v.count()
+
+        with ThreadPoolExecutor(max_workers=max_concurrent_jobs) as pool:
+            f_stats = pool.submit(fit_scalars)
+            f_q = [pool.submit(fit_quantiles, cfg, ss) for cfg, ss in by_cfg.items()]
+            f_v = [pool.submit(fit_vocab, s) for s in self.steps if isinstance(s, Vocabulary)]
+            stats = f_stats.result()
+            boundaries: dict[str, list[float]] = {}
+            for f in f_q:
+                boundaries.update(f.result())
+            vocabs: dict[str, DataFrame] = {}
+            sizes: dict[str, int] = {}
+            for f in f_v:
+                name, v, n = f.result()
+                vocabs[name], sizes[name] = v, n
         return FittedTransform(list(self.steps), list(self.keep), stats, boundaries, vocabs, sizes,
                                self.process_features)
 
