@@ -72,6 +72,11 @@ def strip_ws(text: str | Column) -> Column:
     return F.regexp_replace(_c(text), "^\\s+|\\s+$", "")
 
 
+def is_dot_com(host: str | Column) -> Column:
+    """Host ends with '.com' (the dot escaped: 'xcom' does not match)."""
+    return _c(host).rlike("\\.com$")
+
+
 def clean_sms(text: str | Column) -> Column:
     """Remove tabs and double quotes, lower-case, strip surrounding whitespace."""
     return strip_ws(F.lower(F.translate(_c(text), '\t"', "")))

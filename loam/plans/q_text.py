@@ -94,11 +94,11 @@ def url_source(spark, sf):
 @register("hn_title_source", f"""
 SELECT page_id, string_split(regexp_extract(url, '.*://(.[^/]+)/', 1), '.')[-2] AS source, title
 FROM {SQL_PAGE_FIELDS} p
-WHERE regexp_matches(regexp_extract(url, '.*://(.[^/]+)/', 1), '.com$') AND length(title) > 10
+WHERE regexp_matches(regexp_extract(url, '.*://(.[^/]+)/', 1), '\\.com$') AND length(title) > 10
 """, ids=("SF5",))
 def hn_title_source(spark, sf):
     p = TO.extract_page_fields(t(spark, sf, "pages"))
-    f = p.filter(T.url_host("url").rlike(".com$") & (F.length("title") > 10))
+    f = p.filter(T.is_dot_com(T.url_host("url")) & (F.length("title") > 10))
     return f.select("page_id", T.url_source("url").alias("source"), "title")
 
 
