@@ -12,6 +12,7 @@ from loam.plans.common import (LINEITEM_MODELS, SQL_DOC_PROB, SQL_LINEITEM_KEY,
                                lineitem_key, r6, split2, split3, sql_predict, sql_split2,
                                sql_split3, sql_year_label)
 from loam.plans.registry import register, t
+from loam.session import scratch_path
 
 M0 = LINEITEM_MODELS[0]
 
@@ -226,3 +227,63 @@ def reconstruction_rmse(spark, sf):
     cent = pool_vectors(emb, "label", "embedding", how="mean").withColumnRenamed("vec_mean", "recon")
     j = join_side_table(emb, cent, ["label"])
     return j.select("vec_id", r6(ev.reconstruction_error(as_double("embedding"), "recon")).alias("rmse"))
+
+
+# ----------------------------------------------------------------------------- foreign-model batch scoring
+
+def _write_linear_artefact(spark, m) -> str:
+    """Persist a (non-Spark) linear model as a JSON artefact through Spark's filesystem layer."""
+    import json
+    path = scratch_path(spark, "foreign-model")
+    spark.createDataFrame([(json.dumps({"intercept": m.intercept, "coef": dict(m.coefficients)}),)],
+                          "model string").coalesce(1).write.text(path)
+    return path
+
+
+def _numpy_loader(model_json: str):
+    """Build a batch predictor from the artefact text (runs once per Python worker)."""
+    import json
+
+    import numpy as np
+    spec = json.loads(model_json)
+    names, w = list(spec["coef"]), np.array(list(spec["coef"].values()), dtype="float64")
+
+    def predict(pdf):
+        x = pdf[names].to_numpy(dtype="float64")
+        out = np.full(len(pdf), float(spec["intercept"]))
+        for j in range(len(names)):          # same accumulation order as the SQL expression
+            out = out + w[j] * x[:, j]
+        return out
+    return predict
+
+
+@register("batch_score_foreign", f"""
+SELECT l_orderkey, l_linenumber, '{LINEITEM_MODELS[1].name}' AS model,
+       round({sql_predict(LINEITEM_MODELS[1])}, 6) AS weight_predicted FROM lineitem
+""", ids=("ML10", "UD1"))
+def batch_score_foreign(spark, sf):
+    from loam.operators.scoring import score_with_loader
+    m = LINEITEM_MODELS[1]
+    path = _write_linear_artefact(spark, m)
+    model_json = spark.read.text(path).first()[0]      # one small artefact, shipped with the closure
+    li = t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *m.coefficients)
+    schema = ("l_orderkey bigint, l_linenumber int, l_quantity double, l_discount double, model string, "
+              "weight_predicted double, time_inference double")
+    out = score_with_loader(li, lambda: _numpy_loader(model_json), f"linear:{path}", list(m.coefficients),
+                            schema, m.name)
+    return out.select("l_orderkey", "l_linenumber", "model", r6("weight_predicted").alias("weight_predicted"))
+
+
+@register("pipeline_model_score", None, ids=("ML10", "ML2"))
+def pipeline_model_score(spark, sf):
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    li = t(spark, sf, "lineitem").withColumn("split", split2(lineitem_key()))
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features"),
+                            LinearRegression(labelCol="l_extendedprice", featuresCol="features")])
+    path = scratch_path(spark, "pipeline-model")
+    pipe.fit(li.filter(F.col("split") == "train")).write().overwrite().save(path)
+    scored = PipelineModel.load(path).transform(li.filter(F.col("split") == "eval"))
+    return scored.select("l_orderkey", "l_linenumber", F.lit(path).alias("model"),
+                         F.col("l_extendedprice").alias("weight_true"), F.col("prediction").alias("weight_predicted"))
