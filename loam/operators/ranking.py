@@ -98,17 +98,28 @@ def group_row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
                      out: str = "rn", size_col: str | None = None) -> DataFrame:
     """1-based row number within each group of ``keys`` (skew-safe).
 
-    Optionally adds ``size_col`` with the group's row count.
+    One sort (checkpointed), ONE aggregation pass per (partition, group) that
+    yields both the per-partition offsets and each group's first global rank,
+    then the final pass.  Optionally adds ``size_col`` with the group's row count.
     """
     keys = list(keys)
-    g = global_row_number(df, [F.col(k) for k in keys] + list(_cols(order_cols)), out="_lm_grn")
-    aggs = [F.min("_lm_grn").alias("_lm_g0")]
+    s = indexed_sort(df, [F.col(k) for k in keys] + list(_cols(order_cols)))
+    # <= (#groups + #partitions) rows: every group piece inside one range partition
+    pk = s.groupBy(PID, *keys).agg(F.min(MID).alias("_lm_km0"), F.count(F.lit(1)).alias("_lm_kn")).persist()
+    parts = pk.groupBy(PID).agg(F.sum("_lm_kn").alias("_lm_n"), F.min("_lm_km0").alias("_lm_m0"))
+    w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)   # <= numPartitions rows
+    offs = parts.select(PID, "_lm_m0", F.coalesce(F.sum("_lm_n").over(w), F.lit(0)).alias("_lm_off"))
+    first = (pk.join(F.broadcast(offs), PID)
+             .select(*keys, (F.col("_lm_off") + F.col("_lm_km0") - F.col("_lm_m0") + 1).alias("_f"), "_lm_kn"))
+    aggs = [F.min("_f").alias("_lm_g0")]
     if size_col:
-        aggs.append(F.count(F.lit(1)).alias(size_col))
-    starts = g.groupBy(*keys).agg(*aggs)
+        aggs.append(F.sum("_lm_kn").alias(size_col))
+    starts = first.groupBy(*keys).agg(*aggs)
+    g = s.join(F.broadcast(offs), PID).withColumn(
+        "_lm_grn", F.col("_lm_off") + F.col(MID) - F.col("_lm_m0") + 1)
     res = join_side_table(g, starts, keys)
     return (res.withColumn(out, (F.col("_lm_grn") - F.col("_lm_g0") + 1).cast("long"))
-            .drop("_lm_grn", "_lm_g0"))
+            .drop(PID, MID, "_lm_off", "_lm_m0", "_lm_grn", "_lm_g0"))
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], values: Sequence[str],

@@ -93,3 +93,14 @@ def test_series_chunks_order(spark):
         assert all(len(c) <= 16 for c in chunks["values"])
         flat = [x for c in chunks["values"] for x in c]
         assert flat == list(part["v"])
+
+
+def test_hot_key_is_split_across_partitions(spark):
+    """One key holds 1/3 of the rows; after the ranking sort no partition holds a group whole."""
+    from loam.operators.ranking import PID, indexed_sort
+    df = skewed(spark, n=30000)
+    s = indexed_sort(df, [F.col("g"), F.col("t"), F.col("id")])
+    per = s.groupBy(PID).count().collect()
+    hot_parts = s.filter("g = 0").select(PID).distinct().count()
+    assert hot_parts >= 2
+    assert max(r["count"] for r in per) < 0.3 * 30000
