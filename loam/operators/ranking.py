@@ -105,7 +105,7 @@ def group_row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     keys = list(keys)
     s = indexed_sort(df, [F.col(k) for k in keys] + list(_cols(order_cols)))
     # <= (#groups + #partitions) rows: every group piece inside one range partition
-    pk = s.groupBy(PID, *keys).agg(F.min(MID).alias("_lm_km0"), F.count(F.lit(1)).alias("_lm_kn")).persist()
+    pk = s.groupBy(PID, *keys).agg(F.min(MID).alias("_lm_km0"), F.count(F.lit(1)).alias("_lm_kn"))
     parts = pk.groupBy(PID).agg(F.sum("_lm_kn").alias("_lm_n"), F.min("_lm_km0").alias("_lm_m0"))
     w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)   # <= numPartitions rows
     offs = parts.select(PID, "_lm_m0", F.coalesce(F.sum("_lm_n").over(w), F.lit(0)).alias("_lm_off"))
