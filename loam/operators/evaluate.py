@@ -43,12 +43,18 @@ def accuracy_metrics(df: DataFrame, label: str, pred: str, by: Sequence[str] = (
 
 
 def macro_precision_recall(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """Macro-averaged precision and recall over the union of true and predicted classes."""
-    tp = df.groupBy(F.col(label).alias("cls")).agg(
-        F.count(F.lit(1)).alias("support"),
-        F.sum((F.col(label) == F.col(pred)).cast("long")).alias("tp"))
-    pp = df.groupBy(F.col(pred).alias("cls")).agg(F.count(F.lit(1)).alias("predicted"))
-    j = tp.join(pp, "cls", "full_outer").fillna(0, ["support", "tp", "predicted"])
+    """Macro-averaged precision and recall over the union of true and predicted classes.
+
+    One pass: every row is emitted once under its true class and once under its
+    predicted class, and a single groupBy(class) yields support, tp and predicted.
+    """
+    hit = (F.col(label) == F.col(pred)).cast("long")
+    tagged = df.select(F.inline(F.array(
+        F.struct(F.col(label).alias("cls"), F.lit(1).alias("t"), hit.alias("tp"), F.lit(0).alias("p")),
+        F.struct(F.col(pred).alias("cls"), F.lit(0).alias("t"), F.lit(0).cast("long").alias("tp"),
+                 F.lit(1).alias("p")))))
+    j = tagged.groupBy("cls").agg(F.sum("t").alias("support"), F.sum("tp").alias("tp"),
+                                  F.sum("p").alias("predicted"))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     return j.agg(F.avg(prec).alias("macro_precision"), F.avg(rec).alias("macro_recall"),
@@ -97,8 +103,14 @@ def sliced_metrics(df: DataFrame, slice_cols: Sequence[str], metrics: Mapping[st
         *[expr.alias(name) for name, expr in metrics.items()])
 
 
+def metrics_by_split_column(df: DataFrame, split: str, y: str, yhat: str | Column) -> DataFrame:
+    """Train/valid/test metric table from ONE scan carrying a split column."""
+    return regression_metrics(df, y, yhat, by=[split])
+
+
 def metrics_by_split(parts: Mapping[str, DataFrame], y: str, yhat: str | Column) -> DataFrame:
-    """Train/valid/test metric table: union the labelled parts, one groupBy(split)."""
+    """Train/valid/test metric table from separate frames: union the labelled parts, one groupBy.
+    Prefer :func:`metrics_by_split_column` when the parts come from one table."""
     frames = [p.select(F.lit(name).alias("split"), F.col(y).cast("double").alias("_y"),
                        _c(yhat).cast("double").alias("_p")) for name, p in parts.items()]
     u = frames[0]

@@ -125,24 +125,28 @@ def hashed_doc_vector(docs: DataFrame, doc_id: str, text: str, dims: int = 64) -
 
     Sentence s of doc d: weight of token w = count(w in s)/len(s) * idf(w) placed
     at slot md5(w) mod dims; idf from document frequencies.  Long output
-    (doc_id, slot, value) for non-zero slots.
+    (doc_id, slot, value) for non-zero slots.  One tokenization pass: the
+    (doc, sentence, token) counts are kept and feed both idf and the weights;
+    the number of non-empty sentences travels with each row.
     """
     from loam.functions.text import sentence_split, word_tokens
-    sents = posexplode_rows(docs, [F.col(doc_id)], F.split(sentence_split(text), "\n"), "s", "sent")
-    st = sents.select(doc_id, "s", word_tokens(F.col("sent")).alias("_t")).filter(F.size("_t") > 0)
-    n_sent = st.groupBy(doc_id).agg(F.count(F.lit(1)).alias("_ns"))
-    ex = explode_tokens(st, [F.col(doc_id), F.col("s"), F.size("_t").alias("_len")], F.col("_t"))
-    stc = ex.groupBy(doc_id, "s", "_len", "token").agg(F.count(F.lit(1)).alias("cnt"))
+    st = docs.select(F.col(doc_id), F.transform(F.split(sentence_split(text), "\n"),
+                                                lambda x: word_tokens(x)).alias("_st"))
+    st = st.withColumn("_ns", F.size(F.filter("_st", lambda t: F.size(t) > 0)))
+    sents = posexplode_rows(st, [F.col(doc_id), F.col("_ns")], "_st", "s", "_t").filter(F.size("_t") > 0)
+    ex = explode_tokens(sents, [F.col(doc_id), F.col("_ns"), F.col("s"), F.size("_t").alias("_len")], F.col("_t"))
+    stc = (ex.groupBy(doc_id, "_ns", "s", "_len", "token").agg(F.count(F.lit(1)).alias("cnt"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
     dfreq = stc.select(doc_id, "token").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     n = docs.agg(F.count(F.lit(1)).alias("_n"))
     idf = dfreq.crossJoin(F.broadcast(n)).select(
         "token", (F.lit(1.0) + F.ln((F.col("_n") + 1) / (F.col("df") + 1))).alias("idf"))
     j = join_side_table(stc, idf, ["token"])
-    w = j.select(doc_id, "s", F.pmod(md5_int(F.col("token")), F.lit(dims)).cast("int").alias("slot"),
+    w = j.select(doc_id, "_ns", "s", F.pmod(md5_int(F.col("token")), F.lit(dims)).cast("int").alias("slot"),
                  (F.col("cnt") / F.col("_len") * F.col("idf")).alias("w"))
-    per_sent = w.groupBy(doc_id, "s", "slot").agg(F.sum("w").alias("w"))
-    per_doc = per_sent.groupBy(doc_id, "slot").agg(F.sum("w").alias("w"))
-    return per_doc.join(n_sent, doc_id).select(doc_id, "slot", (F.col("w") / F.col("_ns")).alias("value"))
+    per_sent = w.groupBy(doc_id, "_ns", "s", "slot").agg(F.sum("w").alias("w"))
+    per_doc = per_sent.groupBy(doc_id, "_ns", "slot").agg(F.sum("w").alias("w"))
+    return per_doc.select(doc_id, "slot", (F.col("w") / F.col("_ns")).alias("value"))
 
 
 # Markup patterns of the page extractor.

@@ -98,8 +98,7 @@ FROM s GROUP BY split
 """, ids=("EV7",))
 def metrics_by_split(spark, sf):
     li = t(spark, sf, "lineitem").withColumn("split", split3(lineitem_key()))
-    parts = {name: li.filter(F.col("split") == name) for name in ("train", "valid", "test")}
-    m = ev.metrics_by_split(parts, "l_extendedprice", M0.predict())
+    m = ev.metrics_by_split_column(li, "split", "l_extendedprice", M0.predict())
     return m.select("split", r6("rmse").alias("rmse"), r6("mae").alias("mae"), "n")
 
 
