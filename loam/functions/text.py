@@ -89,10 +89,11 @@ def tokenize(text: str | Column, delims: str = TITLE_DELIMITERS) -> Column:
 
 def clean_text_stopwords(text: str | Column, stop_words: list[str] | None = None) -> Column:
     """Lower, split on whitespace, keep letters/digits of each token, drop stop words and empties."""
-    sw = F.array(*[F.lit(w) for w in (stop_words or STOP_WORDS_EN)])
+    words = list(stop_words or STOP_WORDS_EN)
     toks = F.transform(F.split(F.lower(_c(text)), "\\s+"),
                        lambda t: F.regexp_replace(t, "[^\\p{L}\\p{N}]", ""))
-    kept = F.filter(toks, lambda t: (t != "") & ~F.array_contains(sw, t))
+    # isin over a literal list becomes a hashed InSet (O(1) per token), not a linear scan
+    kept = F.filter(toks, lambda t: (t != "") & ~t.isin(*words))
     return F.array_join(kept, " ")
 
 
@@ -121,6 +122,10 @@ def ngrams(tokens: str | Column, n: int) -> Column:
     toks = _c(tokens)
     if n == 1:
         return toks
+    if n == 2:
+        # pair each token with its successor: no per-gram sub-array
+        k = F.greatest(F.size(toks) - 1, F.lit(0))
+        return F.zip_with(F.slice(toks, 1, k), F.slice(toks, 2, k), lambda a, b: F.concat(a, F.lit(" "), b))
     k = F.size(toks) - n + 1
     idx = F.sequence(F.lit(1), F.greatest(k, F.lit(0)))
     idx = F.when(k > 0, idx).otherwise(F.array().cast("array<int>"))

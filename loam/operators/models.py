@@ -73,17 +73,20 @@ def pca(df: DataFrame, k: int, features: str = "features", out: str = "pca") ->
 
 
 def text_grid_search(df: DataFrame, text: str, label: str, reg_params: Sequence[float],
-                     num_features: Sequence[int], folds: int = 5, seed: int = 42, parallelism: int = 2):
+                     num_features: Sequence[int], folds: int = 5, seed: int = 42, parallelism: int = 4):
     """Tokenize -> hashed tf -> idf -> logistic regression; k-fold CV over a param grid."""
-    tok = Tokenizer(inputCol=text, outputCol="_words")
+    # the tokenizer has no parameters and learns nothing: run it once, outside the folds
+    words = Tokenizer(inputCol=text, outputCol="_words").transform(df).select("_words", label)
+    words = words.persist()
     tf = HashingTF(inputCol="_words", outputCol="_tf")
-    idf = IDF(inputCol="_tf", outputCol="_tfidf")
+    idf = IDF(inputCol="_tf", outputCol="_tfidf")          # fitted per fold: no leakage
     lr = LogisticRegression(labelCol=label, featuresCol="_tfidf", maxIter=20)
-    pipe = Pipeline(stages=[tok, tf, idf, lr])
+    pipe = Pipeline(stages=[tf, idf, lr])
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).addGrid(tf.numFeatures, list(num_features)).build()
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, numFolds=folds, seed=seed, parallelism=parallelism,
                         evaluator=BinaryClassificationEvaluator(labelCol=label))
-    model = cv.fit(df)
+    model = cv.fit(words)
+    words.unpersist()
     rows = []
     for pm, metric in zip(grid, model.avgMetrics):
         rows.append({p.name: v for p, v in pm.items()} | {"auc": float(metric)})
