@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.functions.arrays import explode_rows
-from loam.operators.ranking import global_row_number, join_side_table, prefix_sums
+from loam.operators.ranking import global_row_number, join_side_table, limit_ordered, prefix_sums
 
 # Fixed value: the padding word placed at id 0 of a word-set vocabulary.
 PAD_WORD = "#=KS=#"
@@ -200,10 +200,11 @@ def vocabulary(tokens: DataFrame, token: str, top_k: int | None = None,
     counts = tokens.filter(F.col(token).isNotNull()).groupBy(token).agg(cnt.cast("long").alias("frequency"))
     if min_frequency:
         counts = counts.filter(F.col("frequency") >= min_frequency)
+    order = [F.desc("frequency"), F.desc(token)]
     if top_k is not None:
-        # top-k is a report limit; TakeOrdered keeps k rows per partition then merges.
-        counts = counts.orderBy(F.desc("frequency"), F.desc(token)).limit(top_k)
-    ranked = global_row_number(counts, [F.desc("frequency"), F.desc(token)], out="_rn")
+        ranked = limit_ordered(counts, order, top_k, rank_col="_rn")
+    else:
+        ranked = global_row_number(counts, order, out="_rn")
     return ranked.select(token, "frequency", (F.col("_rn") - 1).cast("int").alias("id"))
 
 

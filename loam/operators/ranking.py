@@ -170,3 +170,21 @@ def halo_blocks(df: DataFrame, rn: str, before: int, after: int, block: int = 40
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# Above this many rows a top-k merge (k rows from every partition into one task) is
+# replaced by the distributed row number.
+TAKE_ORDERED_LIMIT = 10_000
+
+
+def limit_ordered(df: DataFrame, order_cols: Sequence[str | Column], n: int, rank_col: str | None = None) -> DataFrame:
+    """First ``n`` rows of a total order.
+
+    Small ``n``: ``orderBy().limit()`` (TakeOrdered: each partition keeps n rows,
+    one task merges them).  Large ``n``: distributed global row number + filter,
+    so no task ever receives n rows from every partition.
+    """
+    if n <= TAKE_ORDERED_LIMIT and rank_col is None:
+        return df.orderBy(*_cols(order_cols)).limit(n)
+    r = global_row_number(df, order_cols, out="_lm_lrn").filter(F.col("_lm_lrn") <= n)
+    return r.withColumnRenamed("_lm_lrn", rank_col) if rank_col else r.drop("_lm_lrn")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loam.functions import numeric as N
+from loam.operators.ranking import limit_ordered
 from loam.operators.transform import FeatureSpec
 from loam.plans.common import SQL_DOC_PROB, doc_quality_prob, r6
 from loam.plans.registry import register, t
@@ -32,7 +33,7 @@ def filter_positive_range(spark, sf):
     f = li.filter(y.between(1995, 1998) & (F.col("l_quantity") > 0) & (F.col("l_discount") > 0)
                   & (F.col("l_tax") > 0))
     # the source LIMIT of the reference, made deterministic by a total order
-    return f.orderBy("l_orderkey", "l_linenumber").limit(1_000_000).agg(F.count(F.lit(1)).alias("n"))
+    return limit_ordered(f, ["l_orderkey", "l_linenumber"], 1_000_000).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("filter_in", """
