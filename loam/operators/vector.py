@@ -128,3 +128,14 @@ def standardize_vectors(df: DataFrame, vec: str, out: str) -> DataFrame:
     s2 = s1.withColumn("_lm_den", F.greatest(F.sqrt(var), F.lit(1.0) / F.sqrt(F.size(vec).cast("double"))))
     return (s2.withColumn(out, F.transform(V.as_double(vec), lambda x: (x - F.col("_lm_mu")) / F.col("_lm_den")))
             .drop("_lm_mu", "_lm_den"))
+
+
+def dense_from_long(df: DataFrame, key: str, index: str, value: str, dims: int, out: str = "vec") -> DataFrame:
+    """(key, index, value) rows -> (key, dense array of ``dims``) with zeros for missing slots.
+
+    The per-key collect holds at most ``dims`` entries (bounded by the vector width).
+    """
+    g = df.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(F.col(index).cast("int"),
+                                                                        F.col(value).cast("double")))).alias("_m"))
+    return g.select(key, F.transform(F.sequence(F.lit(0), F.lit(dims - 1)),
+                                     lambda i: F.coalesce(F.element_at("_m", i), F.lit(0.0))).alias(out))

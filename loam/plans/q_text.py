@@ -322,3 +322,46 @@ SELECT page_id FROM {SQL_PAGE_FIELDS} p WHERE title <> '' AND body <> '' AND top
 def drop_incomplete(spark, sf):
     p = TO.extract_page_fields(t(spark, sf, "pages"))
     return TO.drop_incomplete(p, ["title", "body", "topics"]).select("page_id")
+
+
+# ----------------------------------------------------------------------------- end-to-end similarity
+
+def _sql_hashed_vectors(src: str, id_col: str, text_col: str) -> str:
+    """CTEs computing hashed sentence-mean tf-idf vectors (long form) for ``src``."""
+    return f"""
+sp AS (SELECT {id_col} AS doc_id, string_split(regexp_replace({text_col}, '([.!?])\\s+', '\\1' || chr(10), 'g'), chr(10)) AS l FROM {src}),
+s AS (SELECT doc_id, unnest(l) AS sent, unnest(range(0, len(l))) AS s FROM sp),
+st AS (SELECT doc_id, s, regexp_extract_all(lower(sent), {SQL_WORD_RE}) AS tk FROM s),
+st2 AS (SELECT * FROM st WHERE len(tk) > 0),
+ns AS (SELECT doc_id, count(*) AS ns FROM st2 GROUP BY doc_id),
+ex AS (SELECT doc_id, s, len(tk) AS sl, unnest(tk) AS token FROM st2),
+stc AS (SELECT doc_id, s, sl, token, count(*) AS cnt FROM ex GROUP BY doc_id, s, sl, token),
+df AS (SELECT token, count(DISTINCT doc_id) AS df FROM stc GROUP BY token),
+n AS (SELECT count(*) AS n FROM {src}),
+w AS (SELECT doc_id, s, CAST({sql_md5_int('stc.token')} % 64 AS INTEGER) AS slot,
+             cnt / sl * (1 + ln((n.n + 1) / (df.df + 1))) AS w FROM stc JOIN df ON stc.token = df.token CROSS JOIN n),
+ps AS (SELECT doc_id, s, slot, sum(w) AS w FROM w GROUP BY doc_id, s, slot),
+pd AS (SELECT doc_id, slot, sum(w) AS w FROM ps GROUP BY doc_id, slot),
+hv AS (SELECT pd.doc_id, slot, w / ns AS value FROM pd JOIN ns ON pd.doc_id = ns.doc_id)"""
+
+
+@register("page_similarity", f"""
+WITH pf AS {SQL_PAGE_FIELDS},
+{_sql_hashed_vectors('pf', 'page_id', 'body')},
+probe AS (SELECT min(page_id) AS k1 FROM pf WHERE body LIKE '%the%'),
+pv AS (SELECT hv.slot, hv.value FROM hv JOIN probe ON hv.doc_id = probe.k1),
+dots AS (SELECT hv.doc_id AS k2, sum(hv.value * pv.value) AS dot FROM hv JOIN pv ON hv.slot = pv.slot GROUP BY hv.doc_id),
+norms AS (SELECT doc_id, sqrt(sum(value * value)) AS nrm FROM hv GROUP BY doc_id),
+pn AS (SELECT sqrt(sum(value * value)) AS pnrm FROM pv)
+SELECT probe.k1, norms.doc_id AS k2, round(coalesce(dots.dot, 0.0) / (norms.nrm * pn.pnrm), 6) AS similarity
+FROM norms CROSS JOIN probe CROSS JOIN pn LEFT JOIN dots ON dots.k2 = norms.doc_id
+""", ids=("TV1", "TV2", "TV3", "JN1", "SL2"))
+def page_similarity(spark, sf):
+    """Pages -> title/body -> hashed tf-idf body vectors -> cosine of one probe page vs all."""
+    from loam.operators.vector import dense_from_long, similar_by_vector, single_row
+    pages = TO.extract_page_fields(t(spark, sf, "pages")).select("page_id", "body")
+    vecs = dense_from_long(TO.hashed_doc_vector(pages, "page_id", "body", dims=64), "page_id", "slot", "value", 64)
+    probe_id = single_row(pages.filter(F.col("body").like("%the%")).select("page_id"), ["page_id"])
+    probe = vecs.join(F.broadcast(probe_id), "page_id")          # one row
+    s = similar_by_vector(vecs, "page_id", "vec", probe)
+    return s.select("k1", "k2", r6("similarity").alias("similarity"))
