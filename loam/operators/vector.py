@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from loam.functions import vector as V
 from loam.functions.arrays import explode_rows, posexplode_rows
-from loam.operators.ranking import BROADCAST_ROW_LIMIT
 
 _STATS = {"min": F.min, "max": F.max, "mean": F.avg}
 
@@ -86,30 +85,57 @@ def pooled_long(df: DataFrame, group: str, vec: str, how: Sequence[str]) -> Data
     return e.groupBy(group, "pos").agg(*[_STATS[h]("x").alias(f"v{h}") for h in how])
 
 
-def nearest_centroid(df: DataFrame, vec: str, centroids: DataFrame, cid: str, cvec: str,
-                     out: str = "centroid") -> DataFrame:
-    """Assign every row to its nearest centroid (squared Euclidean; ties -> smallest id).
+# Centroids packed into one broadcast row at most this many at a time.
+CENTROID_CHUNK = 4096
 
-    Centroids are packed into one array (k entries, k checked against the
-    broadcast limit) and searched per row with ``aggregate``: no shuffle.
-    """
-    k = centroids.count()
-    if k > BROADCAST_ROW_LIMIT:
-        raise ValueError(f"{k} centroids exceed the broadcast limit")
-    packed = centroids.agg(F.sort_array(F.collect_list(
+
+def _pack(cents: DataFrame, cid: str, cvec: str) -> DataFrame:
+    return cents.agg(F.sort_array(F.collect_list(
         F.struct(F.col(cid).alias("id"), V.as_double(cvec).alias("c")))).alias("_cents"))
-    j = df.crossJoin(F.broadcast(packed))
+
+
+def _best_in_pack(df: DataFrame, vec: str, packed: DataFrame, id_type) -> DataFrame:
     v = V.as_double(vec)
-    init = F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast(
-        centroids.schema[cid].dataType).alias("id"))
+    init = F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast(id_type).alias("id"))
 
     def step(acc, c):
         d = V.squared_error_sum(v, c["c"])
         better = acc["d"].isNull() | (d < acc["d"])
         return F.when(better, F.struct(d.alias("d"), c["id"].alias("id"))).otherwise(acc)
 
-    best = F.aggregate("_cents", init, step)
-    return j.withColumn(out, best["id"]).withColumn(f"{out}_sqdist", best["d"]).drop("_cents")
+    return df.crossJoin(F.broadcast(packed)).withColumn("_best", F.aggregate("_cents", init, step)).drop("_cents")
+
+
+def nearest_centroid(df: DataFrame, vec: str, centroids: DataFrame, cid: str, cvec: str,
+                     out: str = "centroid", key: str | None = None) -> DataFrame:
+    """Assign every row to its nearest centroid (squared Euclidean; ties -> smallest id).
+
+    Up to ``CENTROID_CHUNK`` centroids (counted) are packed into ONE broadcast row
+    and searched per row with ``aggregate``: no shuffle.  Beyond that, centroids
+    are split into chunks of that size, each chunk is searched the same way, and
+    the per-chunk winners are reduced per row ``key`` (exact for any k).
+    """
+    k = centroids.count()
+    id_type = centroids.schema[cid].dataType
+    if k <= CENTROID_CHUNK:
+        res = _best_in_pack(df, vec, _pack(centroids, cid, cvec), id_type)
+        return res.withColumn(out, F.col("_best.id")).withColumn(f"{out}_sqdist", F.col("_best.d")).drop("_best")
+    if key is None:
+        raise ValueError(f"{k} centroids: pass a row key to search them in chunks")
+    from loam.operators.ranking import global_row_number
+    ranked = global_row_number(centroids.select(cid, cvec), [F.col(cid)], out="_crn")
+    n_chunks = (k + CENTROID_CHUNK - 1) // CENTROID_CHUNK
+    parts = []
+    for c in range(n_chunks):  # a handful of bounded broadcast rows, one per chunk
+        chunk = ranked.filter(F.floor((F.col("_crn") - 1) / CENTROID_CHUNK) == c)
+        best = _best_in_pack(df.select(key, vec), vec, _pack(chunk, cid, cvec), id_type)
+        parts.append(best.select(key, F.struct(F.col("_best.d").alias("d"), F.col("_best.id").alias("id")).alias("_b")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    win = u.groupBy(key).agg(F.min("_b").alias("_b"))   # min over (distance, id): ties -> smallest id
+    return (df.join(win, key).withColumn(out, F.col("_b.id")).withColumn(f"{out}_sqdist", F.col("_b.d"))
+            .drop("_b"))
 
 
 def with_vectorized(df: DataFrame, fn, input_col: str, output: str, return_type: str) -> DataFrame:

@@ -62,3 +62,25 @@ def test_bucket_of_left_closed(spark):
 def test_auc_with_ties(spark):
     df = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.9), (0, 0.1)], "y int, s double")
     assert auroc_exact(df, "y", "s").first().auc == 0.875
+
+
+def test_nearest_centroid_chunked_matches_single_pack(spark, monkeypatch):
+    import random
+
+    from loam.operators import vector as VO
+    rnd = random.Random(3)
+    pts = spark.createDataFrame([(i, [rnd.uniform(-1, 1) for _ in range(4)]) for i in range(200)],
+                                "k long, v array<double>")
+    cents = spark.createDataFrame([(j, [rnd.uniform(-1, 1) for _ in range(4)]) for j in range(37)],
+                                  "cid int, c array<double>")
+    one = {r.k: r.centroid for r in VO.nearest_centroid(pts, "v", cents, "cid", "c").collect()}
+    monkeypatch.setattr(VO, "CENTROID_CHUNK", 8)
+    chunked = {r.k: r.centroid for r in VO.nearest_centroid(pts, "v", cents, "cid", "c", key="k").collect()}
+    assert one == chunked
+
+
+def test_approx_quantile_buckets_close_to_exact(spark):
+    df = spark.range(10000).selectExpr("cast(id as double) as x")
+    exact = FeaturePipeline([QuantileBucketize("x", "b", 4)]).fit(df).boundaries["b"]
+    approx = FeaturePipeline([QuantileBucketize("x", "b", 4, exact=False, epsilon=0.01)]).fit(df).boundaries["b"]
+    assert all(abs(a - e) <= 0.01 * 10000 + 1 for a, e in zip(approx, exact))
