@@ -49,6 +49,14 @@ def linear_fit_predict(train: DataFrame, test: DataFrame, label: str, features:
     return model, model.transform(test)
 
 
+def gbt_fit_predict(train: DataFrame, test: DataFrame, label: str, features: str = "features",
+                    max_iter: int = 20, max_depth: int = 5, seed: int = 42) -> tuple[object, DataFrame]:
+    """Gradient-boosted trees regressor (the tree option of the regression models)."""
+    from pyspark.ml.regression import GBTRegressor
+    m = GBTRegressor(labelCol=label, featuresCol=features, maxIter=max_iter, maxDepth=max_depth, seed=seed).fit(train)
+    return m, m.transform(test)
+
+
 def mlp_fit_predict(train: DataFrame, test: DataFrame, layers: Sequence[int], label: str = "label",
                     features: str = "features", seed: int = 42, max_iter: int = 50) -> tuple[object, DataFrame]:
     """Layered classifier (hidden_units) — Spark's multilayer perceptron (no sample weights)."""

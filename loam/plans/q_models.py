@@ -66,6 +66,23 @@ def kmeans_assign(spark, sf):
     return assigned.select("vec_id", F.col("prediction").alias("cluster"))
 
 
+@register("kmeans_random_init", None, ids=("ML4",))
+def kmeans_random_init(spark, sf):
+    emb = t(spark, sf, "embeddings")
+    d = emb.select("vec_id", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"))
+    model, assigned, cents = M.kmeans(d, k=10, init="random", seed=7)
+    return assigned.select("vec_id", F.col("prediction").alias("cluster"))
+
+
+@register("gbt_regression", None, ids=("ML2",))
+def gbt_regression(spark, sf):
+    li = t(spark, sf, "lineitem").withColumn("split", split2(lineitem_key()))
+    data = M.assemble(li, ["l_quantity", "l_discount", "l_tax"])
+    _, pred = M.gbt_fit_predict(data.filter(F.col("split") == "train"), data.filter(F.col("split") == "eval"),
+                                "l_extendedprice", max_iter=10, max_depth=4)
+    return pred.select("l_orderkey", "l_linenumber", "l_extendedprice", "prediction")
+
+
 @register("pca_project", None, ids=("ML5",))
 def pca_project(spark, sf):
     emb = t(spark, sf, "embeddings")
