@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loam.operators.ranking import prefix_sums
+from loam.operators.ranking import SMALL_RANK_LIMIT, prefix_sums
 
 
 def _c(c: str | Column) -> Column:
@@ -70,7 +70,8 @@ def auroc_exact(df: DataFrame, label: str, score: str) -> DataFrame:
     per = (df.groupBy(F.col(score).cast("double").alias("_s"))
            .agg(F.sum(F.col(label).cast("long")).alias("_pos"),
                 F.count(F.lit(1)).alias("_cnt")))
-    cum = prefix_sums(per, [F.col("_s")], ["_cnt"], inclusive=False, suffix="_below")
+    cum = prefix_sums(per, [F.col("_s")], ["_cnt"], inclusive=False, suffix="_below",
+                      small_limit=SMALL_RANK_LIMIT)
     avg_rank = F.col("_cnt_below") + (F.col("_cnt") + 1) / 2.0
     tot = cum.agg(F.sum(F.col("_pos") * avg_rank).alias("_rsum"),
                   F.sum("_pos").alias("n_pos"),

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,12 +63,30 @@ def _partition_offsets(s: DataFrame, sums: dict[str, Column] | None = None) -> D
     return parts.select(*out)
 
 
-def global_row_number(df: DataFrame, order_cols: Sequence[str | Column], out: str = "rn") -> DataFrame:
+# A single-partition window is used only for inputs counted to be at most this many rows.
+SMALL_RANK_LIMIT = 100_000
+
+
+def _counted_small(df: DataFrame, limit: int) -> tuple[DataFrame, bool]:
+    """Persist ``df`` and check (reading at most limit+1 rows) whether it is small."""
+    p = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return p, p.limit(limit + 1).count() <= limit
+
+
+def global_row_number(df: DataFrame, order_cols: Sequence[str | Column], out: str = "rn",
+                      small_limit: int | None = None) -> DataFrame:
     """1-based row number over a total order, without a single-partition window.
 
     ``order_cols`` should form a total order (append a unique key) for
-    deterministic numbering.
+    deterministic numbering.  ``small_limit`` (for aggregated inputs such as
+    vocabularies): when the input is counted to be at most that many rows, a
+    plain window over it is used instead of the distributed sort + checkpoint.
     """
+    if small_limit:
+        df, small = _counted_small(df, small_limit)
+        if small:
+            w = Window.orderBy(*_cols(order_cols))   # <= small_limit rows, counted
+            return df.withColumn(out, F.row_number().over(w).cast("long"))
     s = indexed_sort(df, order_cols)
     offs = _partition_offsets(s)
     res = s.join(F.broadcast(offs), PID)
@@ -123,13 +142,21 @@ def group_row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], values: Sequence[str],
-                inclusive: bool = True, suffix: str = "_cum") -> DataFrame:
+                inclusive: bool = True, suffix: str = "_cum", small_limit: int | None = None) -> DataFrame:
     """Running sums of ``values`` over a global order, distributed.
 
     Per-partition totals (one row per partition) give offsets; the in-partition
     running sum is a window partitioned by the partition id, whose size is the
     range partition size (bounded).
     """
+    if small_limit:
+        df, small = _counted_small(df, small_limit)
+        if small:
+            hi0 = 0 if inclusive else -1
+            w0 = Window.orderBy(*_cols(order_cols)).rowsBetween(Window.unboundedPreceding, hi0)
+            for v in values:
+                df = df.withColumn(v + suffix, F.coalesce(F.sum(v).over(w0), F.lit(0)))
+            return df
     s = indexed_sort(df, order_cols)
     offs = _partition_offsets(s, {v: F.col(v) for v in values})
     res = s.join(F.broadcast(offs), PID)
@@ -177,7 +204,8 @@ def halo_blocks(df: DataFrame, rn: str, before: int, after: int, block: int = 40
 TAKE_ORDERED_LIMIT = 10_000
 
 
-def limit_ordered(df: DataFrame, order_cols: Sequence[str | Column], n: int, rank_col: str | None = None) -> DataFrame:
+def limit_ordered(df: DataFrame, order_cols: Sequence[str | Column], n: int, rank_col: str | None = None,
+                  small_limit: int | None = None) -> DataFrame:
     """First ``n`` rows of a total order.
 
     Small ``n``: ``orderBy().limit()`` (TakeOrdered: each partition keeps n rows,
@@ -186,5 +214,5 @@ def limit_ordered(df: DataFrame, order_cols: Sequence[str | Column], n: int, ran
     """
     if n <= TAKE_ORDERED_LIMIT and rank_col is None:
         return df.orderBy(*_cols(order_cols)).limit(n)
-    r = global_row_number(df, order_cols, out="_lm_lrn").filter(F.col("_lm_lrn") <= n)
+    r = global_row_number(df, order_cols, out="_lm_lrn", small_limit=small_limit).filter(F.col("_lm_lrn") <= n)
     return r.withColumnRenamed("_lm_lrn", rank_col) if rank_col else r.drop("_lm_lrn")

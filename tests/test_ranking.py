@@ -109,3 +109,15 @@ def test_hot_key_is_split_across_partitions(spark):
     hot_parts = s.filter("g = 0").select(PID).distinct().count()
     assert hot_parts >= 2
     assert max(r["count"] for r in per) < 0.3 * 30000
+
+
+def test_small_and_distributed_vocabulary_paths_agree(spark, monkeypatch):
+    from loam.operators import analyze as A
+    rnd = random.Random(5)
+    toks = spark.createDataFrame([(f"t{rnd.randint(0, 60)}",) for _ in range(2000)], "token string")
+    small = {r.token: r.id for r in A.vocabulary(toks, "token").collect()}
+    monkeypatch.setattr(A, "SMALL_RANK_LIMIT", 3)          # force the distributed path
+    dist = {r.token: r.id for r in A.vocabulary(toks, "token").collect()}
+    top = {r.token: r.id for r in A.vocabulary(toks, "token", top_k=10).collect()}
+    assert small == dist
+    assert top == {k: v for k, v in dist.items() if v < 10}
