@@ -144,8 +144,9 @@ def hashed_doc_vector(docs: DataFrame, doc_id: str, text: str, dims: int = 64) -
     j = join_side_table(stc, idf, ["token"])
     w = j.select(doc_id, "_ns", "s", F.pmod(md5_int(F.col("token")), F.lit(dims)).cast("int").alias("slot"),
                  (F.col("cnt") / F.col("_len") * F.col("idf")).alias("w"))
-    per_sent = w.groupBy(doc_id, "_ns", "s", "slot").agg(F.sum("w").alias("w"))
-    per_doc = per_sent.groupBy(doc_id, "_ns", "slot").agg(F.sum("w").alias("w"))
+    # mean over sentences of per-sentence slot sums = (sum of all weights per slot) / #sentences:
+    # one aggregation, no per-sentence shuffle
+    per_doc = w.groupBy(doc_id, "_ns", "slot").agg(F.sum("w").alias("w"))
     return per_doc.select(doc_id, "slot", (F.col("w") / F.col("_ns")).alias("value"))
 
 
