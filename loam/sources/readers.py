@@ -15,17 +15,41 @@ from pyspark.sql.types import StructType
 
 def read_delimited(spark: SparkSession, path: str | list[str], schema: StructType | str, sep: str = ",",
                    header: bool = False, defaults: Mapping[str, object] | None = None,
-                   drop_columns: list[str] | None = None) -> DataFrame:
-    """Headerless (or 1-header-line) delimited files -> typed DataFrame with defaults.
+                   drop_columns: list[str] | None = None, skip_lines: int = 0) -> DataFrame:
+    """Delimited files with a declared schema -> typed DataFrame with defaults.
 
     ``path`` may be a glob or a list of globs; an empty field becomes the
-    column's default (or stays null without one).
+    column's default (or stays null without one).  ``header`` skips one line per
+    file; ``skip_lines`` skips the first N lines of every file.
     """
-    df = (spark.read.schema(schema).option("sep", sep).option("header", header)
-          .option("mode", "PERMISSIVE").csv(path))
+    if skip_lines > 1 or (skip_lines == 1 and header):
+        df = _read_skipping(spark, path, schema, sep, skip_lines + (1 if header else 0))
+    else:
+        df = (spark.read.schema(schema).option("sep", sep).option("header", header or skip_lines == 1)
+              .option("mode", "PERMISSIVE").csv(path))
     return apply_defaults(df, defaults or {}, drop_columns)
 
 
+def _read_skipping(spark: SparkSession, path, schema, sep: str, n: int) -> DataFrame:
+    """Drop the first ``n`` lines of every file, then parse the rest as CSV records.
+
+    Lines are read with their file path and block start; the in-partition id of
+    each file's first line (from its first block) is one row per file — a
+    table bounded by the number of files, broadcast back.  Rows in a text scan
+    keep file order inside a partition, so position = id - first id.
+    """
+    ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    lines = (spark.read.text(path)
+             .select("value", F.col("_metadata.file_path").alias("_f"),
+                     F.col("_metadata.file_block_start").alias("_b"),
+                     F.monotonically_increasing_id().alias("_i")))
+    first = lines.filter(F.col("_b") == 0).groupBy("_f").agg(F.min("_i").alias("_i0"))
+    body = (lines.join(F.broadcast(first), "_f")
+            .filter((F.col("_b") > 0) | (F.col("_i") - F.col("_i0") >= n)))
+    parsed = body.select(F.from_csv("value", ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("r"))
+    return parsed.select("r.*")
+
+
 def apply_defaults(df: DataFrame, defaults: Mapping[str, object], drop_columns: list[str] | None = None) -> DataFrame:
     cols = []
     for f in df.schema.fields:

@@ -84,3 +84,14 @@ def test_approx_quantile_buckets_close_to_exact(spark):
     exact = FeaturePipeline([QuantileBucketize("x", "b", 4)]).fit(df).boundaries["b"]
     approx = FeaturePipeline([QuantileBucketize("x", "b", 4, exact=False, epsilon=0.01)]).fit(df).boundaries["b"]
     assert all(abs(a - e) <= 0.01 * 10000 + 1 for a, e in zip(approx, exact))
+
+
+def test_read_delimited_skips_n_lines_per_file(spark, tmp_path):
+    from loam.sources.readers import read_delimited
+    for i in range(3):
+        (tmp_path / f"part{i}.csv").write_text("# generated\n# a;b\n" + "".join(f"{i}{j};x{j}\n" for j in range(5)))
+    df = read_delimited(spark, str(tmp_path / "*.csv"), "a INT, b STRING", sep=";", skip_lines=2)
+    got = sorted((r.a, r.b) for r in df.collect())
+    assert got == sorted((int(f"{i}{j}"), f"x{j}") for i in range(3) for j in range(5))
+    one = read_delimited(spark, str(tmp_path / "part0.csv"), "a STRING, b STRING", sep=";", skip_lines=1)
+    assert one.count() == 6
