@@ -53,3 +53,16 @@ def indicator(cond: Column, as_string: bool = False) -> Column:
 def identity_category(x: str | Column, num_buckets: int, default: int = 0) -> Column:
     v = _c(x)
     return F.when(v.between(0, num_buckets - 1), v.cast("int")).otherwise(F.lit(default))
+
+
+def decimal_ratio(x: float) -> tuple[int, int]:
+    """Exact small integer ratio of a decimal fraction (0.7 -> (7, 10)).
+
+    ``float.as_integer_ratio`` gives the binary value (0.7 -> slightly below 7/10),
+    which moves ``floor(n * fraction)`` down by one whenever n * fraction is whole.
+    """
+    for den in (10, 100, 1000, 10000, 100000):
+        num = round(x * den)
+        if abs(num / den - x) < 1e-12:
+            return num, den
+    return x.as_integer_ratio()

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loam.functions.numeric import decimal_ratio
 from loam.operators.ranking import group_row_number, halo_blocks
 
 
@@ -29,7 +30,7 @@ def time_split(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str | Co
     if train_count is not None:
         lim = F.lit(train_count)
     else:
-        num, den = float(train_fraction).as_integer_ratio()
+        num, den = decimal_ratio(float(train_fraction))
         lim = F.floor(F.col("_n") * num / den)
     return r.withColumn("split", F.when(F.col("_t") <= lim, "train").otherwise("test")).drop("_t", "_n")
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.functions.hashing import fingerprint_concat, md5_int, seeded_unit
+from loam.functions.numeric import decimal_ratio
 from loam.operators.ranking import global_row_number, group_row_number
 
 
@@ -70,12 +71,7 @@ def stratified_split(df: DataFrame, label: str, key: str, fractions: Sequence[tu
 
 
 def _ratio(x: float) -> tuple[int, int]:
-    """Exact small integer ratio for a decimal fraction (0.7 -> 7/10)."""
-    for den in (10, 100, 1000, 10000):
-        num = round(x * den)
-        if abs(num / den - x) < 1e-12:
-            return num, den
-    return x.as_integer_ratio()
+    return decimal_ratio(x)
 
 
 def modulo_holdout(df: DataFrame, order_cols: Sequence[str | Column], k: int = 6,

@@ -95,3 +95,10 @@ def test_read_delimited_skips_n_lines_per_file(spark, tmp_path):
     assert got == sorted((int(f"{i}{j}"), f"x{j}") for i in range(3) for j in range(5))
     one = read_delimited(spark, str(tmp_path / "part0.csv"), "a STRING, b STRING", sep=";", skip_lines=1)
     assert one.count() == 6
+
+
+def test_fraction_cut_uses_decimal_ratio(spark):
+    from loam.operators.series import time_split
+    df = spark.range(670).selectExpr("id", "0 as g")
+    n_train = time_split(df, ["g"], ["id"], train_fraction=0.7).filter("split = 'train'").count()
+    assert n_train == 469          # floor(670 * 7 / 10), not floor(670 * 0.69999999999999996)
