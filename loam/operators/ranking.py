@@ -23,11 +23,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.session import materialize
+from loam.session import cached, materialize
 
 PID = "_lm_pid"
 MID = "_lm_mid"
@@ -69,7 +68,7 @@ SMALL_RANK_LIMIT = 100_000
 
 def _counted_small(df: DataFrame, limit: int) -> tuple[DataFrame, bool]:
     """Persist ``df`` and check (reading at most limit+1 rows) whether it is small."""
-    p = df.persist(StorageLevel.MEMORY_AND_DISK)
+    p = cached(df)
     return p, p.limit(limit + 1).count() <= limit
 
 
@@ -100,7 +99,7 @@ def join_side_table(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> Da
     The side table is broadcast only after ``count()`` proves it small; beyond
     the limit the join is a regular shuffle join (AQE skew-join splits hot keys).
     """
-    small = small.persist()
+    small = cached(small)
     n = small.count()
     ren = {k: f"_lm_k_{k}" for k in keys}
     side = small.select(*[F.col(c).alias(ren.get(c, c)) for c in small.columns])

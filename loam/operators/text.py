@@ -11,7 +11,6 @@ Scale notes:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +18,7 @@ from loam.functions.arrays import posexplode_rows
 from loam.functions.hashing import md5_int
 from loam.operators.analyze import vocabulary
 from loam.operators.ranking import join_side_table
+from loam.session import cached
 
 
 def explode_tokens(df: DataFrame, keep: list[str | Column], tokens: Column, out: str = "token") -> DataFrame:
@@ -71,7 +71,7 @@ def tfidf(docs: DataFrame, doc_id: str, tokens: Column, top_k: int | None = None
     """
     # one tokenization pass; the (doc, token, count) index feeds both the vocabulary
     # fit and the id mapping, so keep it (spills to disk; recomputable on executor loss)
-    tc = token_counts(docs, doc_id, tokens, with_length=True).persist(StorageLevel.MEMORY_AND_DISK)
+    tc = cached(token_counts(docs, doc_id, tokens, with_length=True))
     if vocab is None:
         vocab = vocabulary(tc, "token", top_k=top_k, count_col="cnt")
     oov = top_k if top_k is not None else F.lit(None).cast("int")
@@ -135,8 +135,7 @@ def hashed_doc_vector(docs: DataFrame, doc_id: str, text: str, dims: int = 64) -
     st = st.withColumn("_ns", F.size(F.filter("_st", lambda t: F.size(t) > 0)))
     sents = posexplode_rows(st, [F.col(doc_id), F.col("_ns")], "_st", "s", "_t").filter(F.size("_t") > 0)
     ex = explode_tokens(sents, [F.col(doc_id), F.col("_ns"), F.col("s"), F.size("_t").alias("_len")], F.col("_t"))
-    stc = (ex.groupBy(doc_id, "_ns", "s", "_len", "token").agg(F.count(F.lit(1)).alias("cnt"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    stc = cached(ex.groupBy(doc_id, "_ns", "s", "_len", "token").agg(F.count(F.lit(1)).alias("cnt")))
     dfreq = stc.select(doc_id, "token").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     n = docs.agg(F.count(F.lit(1)).alias("_n"))
     idf = dfreq.crossJoin(F.broadcast(n)).select(

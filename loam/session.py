@@ -53,3 +53,26 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+# DataFrames the library persisted for reuse inside a plan (token indexes, counted side tables).
+_CACHED: list[DataFrame] = []
+
+
+def cached(df: DataFrame, level=None) -> DataFrame:
+    """Persist ``df`` (memory, spilling to disk) and remember it for :func:`release_cached`."""
+    from pyspark import StorageLevel
+    p = df.persist(level or StorageLevel.MEMORY_AND_DISK)
+    _CACHED.append(p)
+    return p
+
+
+def release_cached() -> int:
+    """Unpersist every intermediate the library cached; returns how many were released.
+
+    Call it once the results built from them have been written or collected.
+    """
+    n = len(_CACHED)
+    while _CACHED:
+        _CACHED.pop().unpersist()
+    return n

@@ -102,3 +102,17 @@ def test_fraction_cut_uses_decimal_ratio(spark):
     df = spark.range(670).selectExpr("id", "0 as g")
     n_train = time_split(df, ["g"], ["id"], train_fraction=0.7).filter("split = 'train'").count()
     assert n_train == 469          # floor(670 * 7 / 10), not floor(670 * 0.69999999999999996)
+
+
+def test_release_cached(spark):
+    from pyspark.sql import functions as F
+
+    from loam.functions.text import tokenize
+    from loam.operators.text import tfidf
+    from loam.session import release_cached
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b c")], "doc_id long, text string")
+    w, _ = tfidf(docs, "doc_id", tokenize(F.col("text")), top_k=2)
+    rows = w.collect()
+    assert len(rows) > 0
+    assert release_cached() >= 1
+    assert release_cached() == 0
