@@ -121,3 +121,13 @@ def test_small_and_distributed_vocabulary_paths_agree(spark, monkeypatch):
     top = {r.token: r.id for r in A.vocabulary(toks, "token", top_k=10).collect()}
     assert small == dist
     assert top == {k: v for k, v in dist.items() if v < 10}
+
+
+def test_limit_ordered_paths_agree(spark, monkeypatch):
+    from loam.operators import ranking as R
+    df = skewed(spark, n=500)
+    small = [r.id for r in R.limit_ordered(df, [F.col("t"), F.col("id")], 40).collect()]
+    monkeypatch.setattr(R, "TAKE_ORDERED_LIMIT", 5)          # force the distributed path
+    big = [r.id for r in R.limit_ordered(df, [F.col("t"), F.col("id")], 40).collect()]
+    exp = list(df.toPandas().sort_values(["t", "id"])["id"][:40])
+    assert sorted(small) == sorted(exp) and sorted(big) == sorted(exp)
