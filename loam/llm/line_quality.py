@@ -95,11 +95,14 @@ def has_notice(lower: Column) -> Column:
 
 def line_fails(line: Column, any_notice: Column, rules: LineRules) -> Column:
     """Whether a line fails a rule; ``any_notice``: whether the whole text has a notice, so its lines are looked at."""
+    # a conjunction stops at its first false part: most lines have no separator, symbol run or notice
     n = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+"))
     separators = F.regexp_count(line, F.lit(r"(?<![^\x20\x09-\x0D])[|»›•·](?![^\x20\x09-\x0D])"))
-    nav = (separators >= rules.nav_separators) & (n - separators <= rules.nav_words * (separators + 1))
-    noisy = F.regexp_count(line, F.lit(SYMBOL_RUN)) > F.lit(rules.symbol_words) * n
-    notice = any_notice & F.transform(F.array(F.lower(line)), has_notice)[0] & (n <= rules.notice_words)
+    some = reduce(or_, (line.contains(x) for x in "|»›•·"))
+    nav = some & (separators >= rules.nav_separators) & (n - separators <= rules.nav_words * (separators + 1))
+    runs = F.regexp_count(line, F.lit(SYMBOL_RUN))
+    noisy = line.rlike(SYMBOL_RUN) & (runs > F.lit(rules.symbol_words) * n)
+    notice = any_notice & (n <= rules.notice_words) & F.transform(F.array(F.lower(line)), has_notice)[0]
     return nav | noisy | notice
 
 
@@ -122,9 +125,9 @@ def line_quality(docs: DataFrame, text: str = "text", rules: LineRules | None =
     step = step.withColumn("n_repeat_words", repeated_window_words(F.col("_lq_words"), rules.window))
     step = step.withColumn("base_failed", (F.col("n_words") < rules.min_words)
                            | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
-    step = step.withColumn("_lq_lower", F.lower(body)).withColumn("_lq_notice", has_notice(F.col("_lq_lower")))
-    step = step.withColumn("_lq_marked", F.transform(
-        F.split(body, "\n"), lambda x: F.struct(x.alias("line"), line_fails(x, F.col("_lq_notice"), rules).alias("bad"))))
+    noticed = F.transform(F.array(F.lower(body)), has_notice)       # bound once a document, outside the lines' lambda
+    step = step.withColumn("_lq_marked", F.transform(noticed, lambda any_notice: F.transform(
+        F.split(body, "\n"), lambda x: F.struct(x.alias("line"), line_fails(x, any_notice, rules).alias("bad"))))[0])
     step = step.withColumn("clean_text", F.array_join(
         F.filter("_lq_marked", lambda x: ~x["bad"])["line"], "\n"))
     lost = F.array_join(F.filter("_lq_marked", lambda x: x["bad"])["line"], "\n")
@@ -132,4 +135,4 @@ def line_quality(docs: DataFrame, text: str = "text", rules: LineRules | None =
         F.col("word_chars") > 0, F.length(F.regexp_replace(lost, SPACE_CLASS, "")) / F.col("word_chars"))
         .otherwise(F.lit(0.0)))
     step = step.withColumn("kept", ~F.col("base_failed") & (F.col("lost_share") <= rules.max_lost))
-    return step.drop("_lq_words", "_lq_lines", "_lq_marked", "_lq_lower", "_lq_notice")
+    return step.drop("_lq_words", "_lq_lines", "_lq_marked")
