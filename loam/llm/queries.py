@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loam.llm.chat_format import format_turns, read_back, text_part
+from loam.llm.fm_index import remove_repeated_words
 from loam.llm.line_quality import line_quality
 from loam.llm.mixture_packing import pack
 from loam.llm.norm_bucket_topk import top_products
@@ -61,6 +62,11 @@ def op7_simhash_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(table(spark, sf_dir, "embeddings"))
 
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixture_packing": op5_mixture_packing,
     "op6_line_quality": op6_line_quality,
     "op7_simhash_pivot": op7_simhash_pivot,
+    "op8_fm_index": op8_fm_index,
     "op10_norm_bucket_topk": op10_norm_bucket_topk,
 }
 
@@ -97,10 +104,10 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d.h AS payload_digest,
 FROM d LEFT JOIN f ON d.h = f.h""",
     "op10_norm_bucket_topk": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 p AS (
   SELECT q.vec_id AS query_id, c.vec_id,
          CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
