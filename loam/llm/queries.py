@@ -14,6 +14,7 @@ from loam.llm.mixture_packing import pack
 from loam.llm.norm_bucket_topk import top_products
 from loam.llm.shipping import ship_package
 from loam.llm.simhash_pivot import simhash_components
+from loam.llm.suffix_grouping import remove_repeated_bytes
 from loam.llm.warc_chain import read_archives, write_archives
 from loam.session import load_table, scratch_path
 
@@ -40,6 +41,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(messages)).drop("attachment_tokens")
 
 
+def op2_suffix_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
@@ -73,6 +79,7 @@ def op10_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_suffix_grouping": op2_suffix_grouping,
     "op4_warc_chain": op4_warc_chain,
     "op5_mixture_packing": op5_mixture_packing,
     "op6_line_quality": op6_line_quality,
