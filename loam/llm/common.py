@@ -125,3 +125,34 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     total = int(length.sum())
     first = np.repeat(start - np.concatenate([[0], np.cumsum(length)[:-1]]), length) if total else np.zeros(0, np.int64)
     return first + np.arange(total)
+
+
+class PartEncoder:
+    """Token ids of texts from those of their parts, encoding each distinct part once.
+
+    ``encode_new`` maps a list of part strings to a list of id lists; ids are kept per
+    worker, and a memory of ``kept`` parts is emptied when full.
+    """
+
+    def __init__(self, encode_new, kept: int = 300_000):
+        self._encode_new, self._kept = encode_new, kept
+        self._known: dict[int, bytes] = {}
+
+    def __call__(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all parts, one after the other; how many each part has)."""
+        hashes = SpanHash(BYTE_VALUE[raw])(start, end)
+        distinct, place, which = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        new = [i for i, h in enumerate(keys) if h not in self._known]
+        if len(self._known) + len(new) > self._kept:
+            self._known, new = {}, list(range(len(keys)))
+        if new:
+            data = raw.tobytes()
+            parts = [data[start[place[i]]:end[place[i]]].decode("utf-8", "replace") for i in new]
+            for i, ids in zip(new, self._encode_new(parts), strict=True):
+                self._known[keys[i]] = np.array(ids, "<u4").tobytes()
+        found = [self._known[h] for h in keys]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        each = size[which]
+        return flat[ranges((np.cumsum(size) - size)[which], each)], each

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.llm.common import SpanHash, BYTE_VALUE, ranges, text_chunks, word_spans
+from loam.llm.common import PartEncoder, ranges, text_chunks, word_spans
 from loam.session import scratch_path
 
 FRACTION = 16                 # bits of a quantum behind the point
@@ -44,34 +44,20 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[int, bytes] = {}
+        self.parts = PartEncoder(
+            lambda words: [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)], WORDS_KEPT)
 
     def encode(self, raw: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by ``end_id``; offsets)."""
         start, end, words = word_spans(raw, off)
-        hashes = SpanHash(BYTE_VALUE[raw])(start, end)
-        distinct, place, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.known]
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known, new = {}, list(range(len(keys)))
-        if new:
-            data = raw.tobytes()
-            texts = [data[start[place[i]]:end[place[i]]].decode("utf-8", "replace") for i in new]
-            for i, e in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.known[keys[i]] = np.array(e.ids, "<u4").tobytes()
-        found = [self.known[h] for h in keys]
-        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        flat = np.frombuffer(b"".join(found), "<u4")
-        first = np.cumsum(size) - size
-        each = size[which]
+        ids, each = self.parts(raw, start, end)
         sums = np.concatenate([[0], np.cumsum(each)])
         per_text = sums[words[1:]] - sums[words[:-1]] + 1
         out_off = np.concatenate([[0], np.cumsum(per_text)])
         out = np.full(out_off[-1], end_id, "<u4")
         body = np.ones(out.size, bool)
         body[out_off[1:] - 1] = False
-        out[body] = flat[ranges(first[which], each)]
+        out[body] = ids
         return out, out_off
 
 

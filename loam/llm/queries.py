@@ -12,6 +12,7 @@ from loam.llm.fm_index import remove_repeated_words
 from loam.llm.line_quality import line_quality
 from loam.llm.mixture_packing import pack
 from loam.llm.norm_bucket_topk import top_products
+from loam.llm.piece_transducer import encode_documents
 from loam.llm.shipping import ship_package
 from loam.llm.simhash_pivot import simhash_components
 from loam.llm.suffix_grouping import remove_repeated_bytes
@@ -73,6 +74,11 @@ def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_documents(docs, tokenizer_path("piece_bpe_32k.model")).drop("ids")
+
+
 def op10_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_quality": op6_line_quality,
     "op7_simhash_pivot": op7_simhash_pivot,
     "op8_fm_index": op8_fm_index,
+    "op9_piece_transducer": op9_piece_transducer,
     "op10_norm_bucket_topk": op10_norm_bucket_topk,
 }
 
