@@ -12,6 +12,7 @@ from loam.llm.fm_index import remove_repeated_words
 from loam.llm.line_quality import line_quality
 from loam.llm.mixture_packing import pack
 from loam.llm.norm_bucket_topk import top_products
+from loam.llm.pii_surrogates import replace_entities
 from loam.llm.piece_transducer import encode_documents
 from loam.llm.shipping import ship_package
 from loam.llm.simhash_pivot import simhash_components
@@ -47,6 +48,15 @@ def op2_suffix_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# The surrogates' key of the registered query and the pipeline; in use it is a secret of the caller's.
+SURROGATE_KEY = b"loam registered query"
+
+
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+    return out.select("doc_id", F.size("pii_entities").cast("long").alias("n_entities"), "text", "pii_entities")
+
+
 def op4_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
@@ -86,6 +96,7 @@ def op10_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_suffix_grouping": op2_suffix_grouping,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op4_warc_chain": op4_warc_chain,
     "op5_mixture_packing": op5_mixture_packing,
     "op6_line_quality": op6_line_quality,
