@@ -90,12 +90,16 @@ def place_fields(place: Column) -> tuple[Column, Column, Column]:
     return F.shiftrightunsigned(place, 50).cast("int"), first, first + place.bitwiseAND(F.lit(511))
 
 
-def tagged(docs: DataFrame, text: str) -> DataFrame:
-    """(doc_id, tag, text); the tag, of the text's hash, tells rows apart that share a doc_id."""
+def tagged(docs: DataFrame, text: str, rest: list[str] | None = None) -> DataFrame:
+    """(doc_id, tag, text); the tag, of the text's hash, tells rows apart that share a doc_id.
+
+    ``rest``: other columns, which go along in a struct ``_rest`` so that no name can clash.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     tag = F.shiftrightunsigned(F.xxhash64(body), 64 - TAG_BITS).cast("int")
+    more = [F.struct(*rest).alias("_rest")] if rest else []
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), tag.alias("tag"),
-                       body.alias("text"))
+                       body.alias("text"), *more)
 
 
 def all_records(docs: DataFrame, units: Units) -> DataFrame:

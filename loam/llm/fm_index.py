@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from loam.llm.anchored import Units, covered, original_id, repeated_spans, tagged, with_spans
+from loam.llm.anchored import Units, covered, original_id, repeated_spans, tagged
 from loam.llm.common import U64, text_buffer, text_chunks, word_hashes, word_spans
 from pyspark.sql import functions as F
 
@@ -159,36 +159,59 @@ def find_repeats(width: int):
     return shard
 
 
-KEPT = "doc_id long, n_words long, n_removed long, kept string"
+KEPT = "n_words long, n_removed long, kept string"
 
 
-def remove_repeated_words(docs: DataFrame, text: str = "text", width: int = 13, shard_bytes: int = 8 << 20) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept) for every row: the words left, joined by single spaces.
-
-    A word goes if a window of ``width`` words over it also starts in a document with a
-    smaller doc_id; windows are judged on the input.  Null texts have no words.  A null
-    doc_id counts as the smallest; rows that repeat a doc_id do not take from each other.
-    Ties have no other order than doc_id; an empty table gives an empty one; other
-    columns are not read.
-    """
+def _without_repeats(rows: DataFrame, width: int, shard_bytes: int, verbatim: bool) -> DataFrame:
+    """``rows`` (with a ``tag`` column of ``tagged`` and a ``text``) with the columns of ``KEPT`` added."""
     units = Units(words=True, width=width, gram=min(5, width))
-    rows = tagged(docs, text)
-    spans = repeated_spans(rows, units, True, find_repeats(width), shard_bytes)
+    slim = rows.select("doc_id", "tag", "text")
+    spans = repeated_spans(slim, units, True, find_repeats(width), shard_bytes)
+    joined = rows.join(spans, ["doc_id", "tag"], "left").select(*rows.columns, "spans")
+    passed = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, raw, off in text_chunks(batches):
             start, end, texts = word_spans(raw, off)
             data, out = raw.tobytes(), []
-            spans_col = chunk.column(2)
+            spans_col = chunk.column(chunk.schema.get_field_index("spans"))
             for i in range(chunk.num_rows):
                 a, b = texts[i], texts[i + 1]
                 gone = covered(spans_col[i].values if spans_col[i].is_valid else None, int(b - a), width)
-                keep = np.flatnonzero(~gone) + a
-                kept = b" ".join([data[x:y] for x, y in zip(start[keep].tolist(), end[keep].tolist(), strict=True)])
-                out.append((int(b - a), int(gone.sum()), kept.decode()))
+                lost = int(gone.sum())
+                if verbatim and not lost:
+                    kept = data[off[i]:off[i + 1]]
+                else:
+                    keep = np.flatnonzero(~gone) + a
+                    kept = b" ".join([data[x:y] for x, y in zip(start[keep].tolist(), end[keep].tolist(), strict=True)])
+                out.append((int(b - a), lost, kept.decode()))
             n, r, k = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array(n, pa.int64()), pa.array(r, pa.int64()),
-                                              pa.array(k, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+            yield pa.RecordBatch.from_arrays(
+                [*(chunk.column(chunk.schema.get_field_index(c)) for c in passed), pa.array(n, pa.int64()),
+                 pa.array(r, pa.int64()), pa.array(k, pa.string())], names=[*passed, "n_words", "n_removed", "kept"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*passed).schema.fields)
+    return joined.mapInArrow(run, f"{fields}, {KEPT}")
 
-    out = with_spans(rows, spans).mapInArrow(run, KEPT)
-    return out.withColumn("doc_id", original_id(F.col("doc_id")))
+
+def remove_repeated_words(docs: DataFrame, text: str = "text", width: int = 13, shard_bytes: int = 8 << 20) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept) for every row: the words left, joined by single spaces.
+
+    A word goes if a window of ``width`` words over it also starts in a document with a
+    smaller doc_id; windows are judged on the input.  Null texts have no words.  A null
+    doc_id counts as the smallest; rows that repeat a doc_id do not take from each other.
+    Ties have no other order than doc_id; an empty table gives an empty one; other
+    columns are not read.
+    """
+    out = _without_repeats(tagged(docs, text), width, shard_bytes, False)
+    return out.select(original_id(F.col("doc_id")).alias("doc_id"), "n_words", "n_removed", "kept")
+
+
+def keep_unrepeated_words(docs: DataFrame, width: int = 13, shard_bytes: int = 8 << 20) -> DataFrame:
+    """``docs`` with ``text`` cleared of repeated passages as by :func:`remove_repeated_words`; a text that loses
+    nothing keeps its own white space.  Null texts become empty."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = tagged(docs, "text", rest)
+    out = _without_repeats(rows, width, shard_bytes, True)
+    return out.select(original_id(F.col("doc_id")).alias("doc_id"), F.col("kept").alias("text"),
+                      *[F.col(f"_rest.{c}").alias(c) for c in rest])

@@ -93,6 +93,11 @@ def op10_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(table(spark, sf_dir, "embeddings"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_suffix_grouping": op2_suffix_grouping,
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fm_index": op8_fm_index,
     "op9_piece_transducer": op9_piece_transducer,
     "op10_norm_bucket_topk": op10_norm_bucket_topk,
+    "pipeline": pipeline,
 }
 
 _NL = "chr(10)"
