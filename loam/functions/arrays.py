@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 
 def explode_rows(df: DataFrame, keep: list, arr: Column | str, out: str = "value") -> DataFrame:
-    """Rows of ``keep`` + one row per array element (null elements are dropped)."""
+    """Rows of ``keep`` + one row per array element, null elements included; empty/null arrays give no rows."""
     a = F.col(arr) if isinstance(arr, str) else arr
-    return df.select(*keep, F.explode_outer(a).alias(out)).filter(F.col(out).isNotNull())
+    rows = df.select(*keep, F.posexplode_outer(a).alias("_lm_pos", out))
+    return rows.filter(F.col("_lm_pos").isNotNull()).drop("_lm_pos")
 
 
 def posexplode_rows(df: DataFrame, keep: list, arr: Column | str, pos: str = "pos", out: str = "value",

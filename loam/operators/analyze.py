@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.functions.arrays import explode_rows
-from loam.operators.ranking import (SMALL_RANK_LIMIT, global_row_number, join_side_table, limit_ordered,
+from loam.operators.ranking import (global_row_number, join_side_table, limit_ordered,
                                    prefix_sums)
 
 # Fixed value: the padding word placed at id 0 of a word-set vocabulary.
@@ -78,8 +78,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     if not keys:
         base = base.withColumn("_lm_all", F.lit(0))
     vc = base.filter(F.col("_v").isNotNull()).groupBy(*gkeys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ps = prefix_sums(vc, [F.col(k) for k in gkeys] + [F.col("_v")], ["_c"], inclusive=False, suffix="_before",
-                     small_limit=SMALL_RANK_LIMIT)
+    ps = prefix_sums(vc, [F.col(k) for k in gkeys] + [F.col("_v")], ["_c"], inclusive=False, suffix="_before")
     grp = ps.groupBy(*gkeys).agg(F.min("_c_before").alias("_g0"), F.sum("_c").alias("_n"))
     r = join_side_table(ps, grp, gkeys).withColumn("_lo_rank", F.col("_c_before") - F.col("_g0"))
     covers = lambda rank: (F.col("_lo_rank") < rank) & (rank <= F.col("_lo_rank") + F.col("_c"))
@@ -204,9 +203,9 @@ def vocabulary(tokens: DataFrame, token: str, top_k: int | None = None,
         counts = counts.filter(F.col("frequency") >= min_frequency)
     order = [F.desc("frequency"), F.desc(token)]
     if top_k is not None:
-        ranked = limit_ordered(counts, order, top_k, rank_col="_rn", small_limit=SMALL_RANK_LIMIT)
+        ranked = limit_ordered(counts, order, top_k, rank_col="_rn")
     else:
-        ranked = global_row_number(counts, order, out="_rn", small_limit=SMALL_RANK_LIMIT)
+        ranked = global_row_number(counts, order, out="_rn")
     return ranked.select(token, "frequency", (F.col("_rn") - 1).cast("int").alias("id"))
 
 
@@ -214,7 +213,7 @@ def word_set_vocabulary(docs: DataFrame, text: str, pad_word: str = PAD_WORD) ->
     """Distinct space-separated words, ids 1..n in byte order, pad word at id 0."""
     words = (explode_rows(docs, [], F.split(F.col(text), " "), "word")
              .filter(F.col("word") != "").distinct())
-    ranked = global_row_number(words, [F.col("word")], out="_rn", small_limit=SMALL_RANK_LIMIT)
+    ranked = global_row_number(words, [F.col("word")], out="_rn")
     vocab = ranked.select("word", F.col("_rn").cast("int").alias("id"))
     pad = docs.sparkSession.range(1).select(F.lit(pad_word).alias("word"), F.lit(0).alias("id"))
     return pad.unionByName(vocab)

@@ -1,17 +1,14 @@
 """Spark ML models where Spark has a distributed implementation.
 
 Thin, explicit wrappers: feature assembly -> estimator -> predictions/metrics.
-Training runs in Spark ML (distributed gradient / Lloyd iterations); the only
-Python-side step is the recursive AR forecast, done per series on the last
-``p`` values only (bounded input per group).
+Training runs in Spark ML (distributed gradient / Lloyd iterations); the recursive
+AR forecast is a native aggregate over the last ``p`` values of each series.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.clustering import KMeans
@@ -20,10 +17,10 @@ from pyspark.ml.feature import PCA, HashingTF, IDF, OneHotEncoder, Tokenizer, Ve
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.operators.series import series_tail
+from loam.operators.ranking import group_row_number, halo_blocks
 
 
 def assemble(df: DataFrame, inputs: Sequence[str], out: str = "features") -> DataFrame:
@@ -101,48 +98,39 @@ def text_grid_search(df: DataFrame, text: str, label: str, reg_params: Sequence[
     return model, rows
 
 
-def ar_fit(series: DataFrame, keys: Sequence[str], order_cols: Sequence[str | Column], value: str, p: int):
-    """AR(p) by least squares on lag features of all series (Spark LinearRegression)."""
-    from loam.operators.series import lag_features
-    lags = list(range(1, p + 1))
-    lf = lag_features(series, keys, order_cols, value, lags).dropna(subset=[f"{value}_lag{k}" for k in lags])
-    data = assemble(lf, [f"{value}_lag{k}" for k in lags])
-    model = LinearRegression(labelCol=value, featuresCol="features", regParam=0.0).fit(data)
-    return model
-
-
 def ar_forecast(series: DataFrame, keys: Sequence[str], order_cols: Sequence[str | Column], value: str,
                 p: int, horizon: int) -> DataFrame:
-    """Fit AR(p) and forecast ``horizon`` steps per series recursively.
+    """Fit AR(p) on all series by least squares and forecast ``horizon`` steps of each: (keys..., h, forecast).
 
-    Only the last p values of each series go to the per-series Python step
-    (``applyInPandas`` on bounded groups); coefficients are broadcast as literals.
+    One ranking serves the lags and the tails.  The recursion runs over an array of the
+    last p values, as a native aggregate.  A series shorter than p has no forecast and is
+    left out; a null among its last p values makes its forecasts null.
     """
     keys = list(keys)
-    model = ar_fit(series, keys, order_cols, value, p)
-    coef = [float(c) for c in model.coefficients]
-    b0 = float(model.intercept)
-    last = series_tail(series, keys, order_cols, p)
-    from loam.operators.ranking import group_row_number
-    last = group_row_number(last, keys, order_cols, out="_t").select(*keys, "_t", F.col(value).cast("double"))
-    key_schema = ", ".join(f"{k} {series.schema[k].dataType.simpleString()}" for k in keys)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_t")
-        hist = list(pdf[value].astype("float64"))
-        out = []
-        for h in range(1, horizon + 1):
-            lagv = hist[::-1][:p]
-            lagv += [0.0] * (p - len(lagv))
-            y = b0 + float(np.dot(coef, lagv))
-            hist.append(y)
-            out.append((h, y))
-        res = pd.DataFrame(out, columns=["h", "forecast"])
-        for k in keys:
-            res[k] = pdf[k].iloc[0]
-        return res[keys + ["h", "forecast"]]
-
-    return last.groupBy(*keys).applyInPandas(run, schema=f"{key_schema}, h int, forecast double")
+    ranked = group_row_number(series, keys, order_cols, out="t", size_col="_n")
+    lags = [f"{value}_lag{k}" for k in range(1, p + 1)]
+    h = halo_blocks(ranked, "t", before=p, after=0)
+    w = Window.partitionBy(*keys, "_lm_blk").orderBy("t")
+    h = h.select("*", *[F.lag(value, k).over(w).alias(c) for k, c in enumerate(lags, 1)]).filter("_lm_own")
+    model = LinearRegression(labelCol=value, featuresCol="features", regParam=0.0, solver="normal").fit(
+        assemble(h.dropna(subset=[value, *lags]), lags))
+    coef, b0 = [float(c) for c in model.coefficients], float(model.intercept)
+
+    # the last p values, newest first
+    tail = ranked.filter((F.col("_n") >= p) & (F.col("t") > F.col("_n") - p)).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("t", F.col(value).cast("double").alias("v"))), asc=False).alias("_tail"))
+
+    def step(acc, _):
+        y = F.lit(b0)
+        for k, c in enumerate(coef):
+            y = y + F.lit(c) * acc["last"][k]
+        return F.transform(F.array(y), lambda x: F.struct(
+            F.concat(F.array(x), F.slice(acc["last"], 1, p - 1)).alias("last"), F.concat(acc["out"], F.array(x)).alias("out")))[0]
+
+    start = F.struct(F.transform("_tail", lambda s: s["v"]).alias("last"), F.array().cast("array<double>").alias("out"))
+    out = tail.select(*keys, F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda acc: acc["out"]).alias("_f"))
+    return out.select(*keys, F.posexplode("_f").alias("_h", "forecast")).select(
+        *keys, (F.col("_h") + 1).alias("h"), "forecast")
 
 
 def regression_rmse(pred: DataFrame, label: str, prediction: str = "prediction") -> float:

@@ -13,7 +13,7 @@ Both break when one key holds a large share of the rows.  These helpers instead:
 4. add the offset to the in-partition position.
 
 Grouped numbering subtracts each group's first global number; per-group starts
-are joined back with a size-checked broadcast.  Windows that must look a few rows
+are joined back without a hint, so that AQE picks broadcast or shuffle by size.  Windows that must look a few rows
 back or ahead (lags, sliding windows) use *halo blocks*: rows are cut into blocks
 of at most ``block`` rows per group and the few neighbouring rows are duplicated,
 so every window partition is bounded regardless of group size.
@@ -26,14 +26,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.session import cached, materialize
+from loam.session import materialize
 
 PID = "_lm_pid"
 MID = "_lm_mid"
 
-# Broadcast a per-group side table only below this many rows (checked with count()).
-BROADCAST_ROW_LIMIT = 2_000_000
-
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -62,30 +59,12 @@ def _partition_offsets(s: DataFrame, sums: dict[str, Column] | None = None) -> D
     return parts.select(*out)
 
 
-# A single-partition window is used only for inputs counted to be at most this many rows.
-SMALL_RANK_LIMIT = 100_000
-
-
-def _counted_small(df: DataFrame, limit: int) -> tuple[DataFrame, bool]:
-    """Persist ``df`` and check (reading at most limit+1 rows) whether it is small."""
-    p = cached(df)
-    return p, p.limit(limit + 1).count() <= limit
-
-
-def global_row_number(df: DataFrame, order_cols: Sequence[str | Column], out: str = "rn",
-                      small_limit: int | None = None) -> DataFrame:
+def global_row_number(df: DataFrame, order_cols: Sequence[str | Column], out: str = "rn") -> DataFrame:
     """1-based row number over a total order, without a single-partition window.
 
     ``order_cols`` should form a total order (append a unique key) for
-    deterministic numbering.  ``small_limit`` (for aggregated inputs such as
-    vocabularies): when the input is counted to be at most that many rows, a
-    plain window over it is used instead of the distributed sort + checkpoint.
+    deterministic numbering; inputs of every size take the same path.
     """
-    if small_limit:
-        df, small = _counted_small(df, small_limit)
-        if small:
-            w = Window.orderBy(*_cols(order_cols))   # <= small_limit rows, counted
-            return df.withColumn(out, F.row_number().over(w).cast("long"))
     s = indexed_sort(df, order_cols)
     offs = _partition_offsets(s)
     res = s.join(F.broadcast(offs), PID)
@@ -96,15 +75,11 @@ def global_row_number(df: DataFrame, order_cols: Sequence[str | Column], out: st
 def join_side_table(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Null-safe equi-join of a big table with a per-key side table.
 
-    The side table is broadcast only after ``count()`` proves it small; beyond
-    the limit the join is a regular shuffle join (AQE skew-join splits hot keys).
+    No hint: Spark broadcasts the side if its size in bytes, known at run time, allows
+    it, and otherwise shuffles (AQE's skew join splits hot keys).
     """
-    small = cached(small)
-    n = small.count()
     ren = {k: f"_lm_k_{k}" for k in keys}
     side = small.select(*[F.col(c).alias(ren.get(c, c)) for c in small.columns])
-    if n <= BROADCAST_ROW_LIMIT:
-        side = F.broadcast(side)
     cond = None
     for k in keys:
         c = big[k].eqNullSafe(side[ren[k]])
@@ -141,21 +116,13 @@ def group_row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], values: Sequence[str],
-                inclusive: bool = True, suffix: str = "_cum", small_limit: int | None = None) -> DataFrame:
+                inclusive: bool = True, suffix: str = "_cum") -> DataFrame:
     """Running sums of ``values`` over a global order, distributed.
 
     Per-partition totals (one row per partition) give offsets; the in-partition
     running sum is a window partitioned by the partition id, whose size is the
     range partition size (bounded).
     """
-    if small_limit:
-        df, small = _counted_small(df, small_limit)
-        if small:
-            hi0 = 0 if inclusive else -1
-            w0 = Window.orderBy(*_cols(order_cols)).rowsBetween(Window.unboundedPreceding, hi0)
-            for v in values:
-                df = df.withColumn(v + suffix, F.coalesce(F.sum(v).over(w0), F.lit(0)))
-            return df
     s = indexed_sort(df, order_cols)
     offs = _partition_offsets(s, {v: F.col(v) for v in values})
     res = s.join(F.broadcast(offs), PID)
@@ -177,8 +144,7 @@ def halo_blocks(df: DataFrame, rn: str, before: int, after: int, block: int = 40
     ``block + before + after`` rows, and frames reaching up to ``before`` rows
     back / ``after`` rows ahead are exact for own rows.
     """
-    if before + after > block:
-        raise ValueError("halo larger than block")
+    block = max(block, before + after)
     pos = F.col(rn) - 1
     own_blk = F.floor(pos / block).cast("long")
     off = F.pmod(pos, F.lit(block))
@@ -203,8 +169,7 @@ def halo_blocks(df: DataFrame, rn: str, before: int, after: int, block: int = 40
 TAKE_ORDERED_LIMIT = 10_000
 
 
-def limit_ordered(df: DataFrame, order_cols: Sequence[str | Column], n: int, rank_col: str | None = None,
-                  small_limit: int | None = None) -> DataFrame:
+def limit_ordered(df: DataFrame, order_cols: Sequence[str | Column], n: int, rank_col: str | None = None) -> DataFrame:
     """First ``n`` rows of a total order.
 
     Small ``n``: ``orderBy().limit()`` (TakeOrdered: each partition keeps n rows,
@@ -213,5 +178,5 @@ def limit_ordered(df: DataFrame, order_cols: Sequence[str | Column], n: int, ran
     """
     if n <= TAKE_ORDERED_LIMIT and rank_col is None:
         return df.orderBy(*_cols(order_cols)).limit(n)
-    r = global_row_number(df, order_cols, out="_lm_lrn", small_limit=small_limit).filter(F.col("_lm_lrn") <= n)
+    r = global_row_number(df, order_cols, out="_lm_lrn").filter(F.col("_lm_lrn") <= n)
     return r.withColumnRenamed("_lm_lrn", rank_col) if rank_col else r.drop("_lm_lrn")

@@ -71,10 +71,11 @@ def sliding_windows(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str
     r = group_row_number(df, keys, order_cols, out="t")
     h = halo_blocks(r.select(*keys, "t", value), "t", before=0, after=size - 1, block=block)
     w = Window.partitionBy(*keys, "_lm_blk").orderBy("t").rowsBetween(0, size - 1)
-    win = (h.withColumn("_w", F.collect_list(F.col(value)).over(w))
+    win = (h.withColumn("_w", F.collect_list(F.struct(value)).over(w))
            .filter(F.col("_lm_own") & (F.size("_w") == size) & (F.pmod(F.col("t") - 1, F.lit(step)) == 0)))
-    return win.select(*keys, F.col("t").alias("start"), F.slice("_w", 1, n_in).alias("x"),
-                      F.slice("_w", n_in + 1, n_out).alias("y"))
+    values = F.transform("_w", lambda s: s[value])        # structs, as a list of values would skip nulls
+    return win.select(*keys, F.col("t").alias("start"), F.slice(values, 1, n_in).alias("x"),
+                      F.slice(values, n_in + 1, n_out).alias("y"))
 
 
 def series_chunks(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str | Column], value: str,

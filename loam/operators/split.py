@@ -41,7 +41,7 @@ def threshold_split(df: DataFrame, col: str | Column, max_train_bucket: int = 75
 
 
 def random_fraction(df: DataFrame, key: str | Column, fraction: float, seed: int = 42,
-                    resolution: int = 1_000_000) -> DataFrame:
+                    resolution: int = 1 << 60) -> DataFrame:
     """Seeded Bernoulli-like sample by hash threshold: reproducible, one scan, no shuffle."""
     return df.filter(seeded_unit(key, seed, resolution) < F.lit(int(round(fraction * resolution))))
 

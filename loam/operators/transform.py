@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from loam.functions.hashing import cross_bucket, hash_bucket
 from loam.functions.numeric import identity_category
 from loam.operators.analyze import bucket_boundaries, vocabulary
-from loam.operators.ranking import BROADCAST_ROW_LIMIT
 
 
 def _c(c: str | Column) -> Column:
@@ -118,11 +117,15 @@ def bucket_of(x: Column, boundaries: Sequence[float]) -> Column:
     """Number of boundaries <= x (left-closed buckets, len+1 of them); null stays null."""
     if not boundaries:
         return F.when(x.isNotNull(), F.lit(0))
-    out = None
-    for b in boundaries:
-        term = (x >= F.lit(float(b))).cast("int")
-        out = term if out is None else out + term
-    return out
+    values = [float(b) for b in boundaries]
+
+    def search(lo: int, hi: int) -> Column:           # a balanced tree of comparisons
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x >= F.lit(values[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return F.when(x.isNotNull(), search(0, len(values)))
 
 
 @dataclass(frozen=True)
@@ -243,8 +246,6 @@ class FittedTransform:
             if isinstance(s, Vocabulary):
                 v = self.vocabs[s.out].select(F.col("value").alias(f"_lm_vk_{s.out}"),
                                               F.col("id").alias(f"_lm_vid_{s.out}"))
-                if self.vocab_sizes[s.out] <= BROADCAST_ROW_LIMIT:
-                    v = F.broadcast(v)  # size known from the fit
                 cur = cur.join(v, F.col(s.col).cast("string") == F.col(f"_lm_vk_{s.out}"), "left")
         out = [F.col(k) for k in self.keep] + [s.apply(self).alias(s.out) for s in self.steps]
         return cur.select(*out)
@@ -262,11 +263,11 @@ class FittedTransform:
     @staticmethod
     def load(spark: SparkSession, path: str, steps: list[Step],
              process_features: Callable[[DataFrame], DataFrame] | None = None) -> "FittedTransform":
-        """Reload statistics and vocabularies; ``steps`` (the code) must match the saved names."""
+        """Reload statistics and vocabularies; ``steps`` (the code) must match what was saved, parameters included."""
         meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
-        saved = [m["out"] for m in meta["steps"]]
-        if saved != [s.out for s in steps]:
-            raise ValueError(f"steps {saved} do not match {[s.out for s in steps]}")
+        now = json.loads(json.dumps([_step_meta(s) for s in steps]))
+        if meta["steps"] != now:
+            raise ValueError(f"saved steps {meta['steps']} do not match {now}")
         vocabs = {name: spark.read.parquet(f"{path}/vocab/{name}") for name in meta["vocab_sizes"]}
         return FittedTransform(steps, meta["keep"], meta["stats"], meta["boundaries"], vocabs,
                                meta["vocab_sizes"], process_features)
@@ -274,7 +275,7 @@ class FittedTransform:
 
 def _step_meta(s: Step) -> dict:
     d = {"type": type(s).__name__, "out": s.out}
-    for k in ("col", "cols", "top_k", "oov", "num_buckets", "boundaries", "values", "offset"):
+    for k in ("col", "cols", "top_k", "oov", "num_buckets", "boundaries", "values", "offset", "ddof", "exact", "epsilon", "default"):
         if hasattr(s, k):
             v = getattr(s, k)
             d[k] = list(v) if isinstance(v, tuple) else v

@@ -24,6 +24,14 @@ def single_row(df: DataFrame, order_cols: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*order_cols).limit(1)
 
 
+def _one_probe(probe: DataFrame, key: str, vec: str) -> DataFrame:
+    """The probe's only row as (k1, _v1); several rows are an error, none gives none."""
+    p = probe.agg(F.count(F.lit(1)).alias("_n"), F.first(key).alias("k1"), F.first(vec).alias("_v1")).filter("_n > 0")
+    one = F.when(F.col("_n") == 1, F.col("_v1")).otherwise(
+        F.raise_error(F.lit("the probe has more than one row")).cast(probe.schema[vec].dataType))
+    return p.select("k1", one.alias("_v1"))
+
+
 def similar_by_vector(df: DataFrame, key: str, vec: str, probe: DataFrame,
                       top_k: int | None = None) -> DataFrame:
     """Cosine similarity of one probe vector against every row: (k1, k2, similarity).
@@ -31,7 +39,7 @@ def similar_by_vector(df: DataFrame, key: str, vec: str, probe: DataFrame,
     The probe side is exactly one row, so the cross join is a broadcast nested
     loop join streaming the big side once; the dot product is fused per row.
     """
-    p = probe.select(F.col(key).alias("k1"), F.col(vec).alias("_v1")).limit(1)
+    p = _one_probe(probe, key, vec)
     j = df.select(F.col(key).alias("k2"), F.col(vec).alias("_v2")).crossJoin(F.broadcast(p))
     out = j.select("k1", "k2", V.cosine("_v1", "_v2").alias("similarity"))
     if top_k is not None:
@@ -45,7 +53,7 @@ def similar_by_unnest(df: DataFrame, key: str, vec: str, probe: DataFrame) -> Da
     ``arrays_zip`` pairs elements by offset without a join; the group-by is the
     reference's "sum of products" collapse (partial aggregation before shuffle).
     """
-    p = probe.select(F.col(key).alias("k1"), F.col(vec).alias("_v1")).limit(1)
+    p = _one_probe(probe, key, vec)
     j = df.select(F.col(key).alias("k2"), F.col(vec).alias("_v2")).crossJoin(F.broadcast(p))
     z = explode_rows(j, ["k1", "k2"], F.arrays_zip(V.as_double("_v1").alias("a"),
                                                     V.as_double("_v2").alias("b")), "z")
@@ -85,57 +93,41 @@ def pooled_long(df: DataFrame, group: str, vec: str, how: Sequence[str]) -> Data
     return e.groupBy(group, "pos").agg(*[_STATS[h]("x").alias(f"v{h}") for h in how])
 
 
-# Centroids packed into one broadcast row at most this many at a time.
+# Centroids in one broadcast row; larger sets are folded pack by pack on the same rows.
 CENTROID_CHUNK = 4096
 
 
-def _pack(cents: DataFrame, cid: str, cvec: str) -> DataFrame:
-    return cents.agg(F.sort_array(F.collect_list(
+def _fold_pack(df: DataFrame, vec: str, cents: DataFrame, cid: str, cvec: str) -> DataFrame:
+    """``_best`` (d, id) of every row, improved by one pack of centroids; null distances never win."""
+    packed = cents.agg(F.sort_array(F.collect_list(
         F.struct(F.col(cid).alias("id"), V.as_double(cvec).alias("c")))).alias("_cents"))
-
-
-def _best_in_pack(df: DataFrame, vec: str, packed: DataFrame, id_type) -> DataFrame:
     v = V.as_double(vec)
-    init = F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast(id_type).alias("id"))
 
     def step(acc, c):
         d = V.squared_error_sum(v, c["c"])
-        better = acc["d"].isNull() | (d < acc["d"])
+        better = d.isNotNull() & (acc["d"].isNull() | (d < acc["d"]) | ((d == acc["d"]) & (c["id"] < acc["id"])))
         return F.when(better, F.struct(d.alias("d"), c["id"].alias("id"))).otherwise(acc)
 
-    return df.crossJoin(F.broadcast(packed)).withColumn("_best", F.aggregate("_cents", init, step)).drop("_cents")
+    return df.crossJoin(F.broadcast(packed)).withColumn("_best", F.aggregate("_cents", F.col("_best"), step)).drop("_cents")
 
 
 def nearest_centroid(df: DataFrame, vec: str, centroids: DataFrame, cid: str, cvec: str,
-                     out: str = "centroid", key: str | None = None) -> DataFrame:
+                     out: str = "centroid") -> DataFrame:
     """Assign every row to its nearest centroid (squared Euclidean; ties -> smallest id).
 
-    Up to ``CENTROID_CHUNK`` centroids (counted) are packed into ONE broadcast row
-    and searched per row with ``aggregate``: no shuffle.  Beyond that, centroids
-    are split into chunks of that size, each chunk is searched the same way, and
-    the per-chunk winners are reduced per row ``key`` (exact for any k).
+    One path for any number of centroids: packs of at most ``CENTROID_CHUNK`` go one
+    after the other through a running (distance, id) on the same row, so there is no
+    shuffle of the rows, no key and no join.  Null centroids are skipped; a null vector
+    gets a null centroid.
     """
-    k = centroids.count()
-    id_type = centroids.schema[cid].dataType
-    if k <= CENTROID_CHUNK:
-        res = _best_in_pack(df, vec, _pack(centroids, cid, cvec), id_type)
-        return res.withColumn(out, F.col("_best.id")).withColumn(f"{out}_sqdist", F.col("_best.d")).drop("_best")
-    if key is None:
-        raise ValueError(f"{k} centroids: pass a row key to search them in chunks")
     from loam.operators.ranking import global_row_number
+    id_type = centroids.schema[cid].dataType
     ranked = global_row_number(centroids.select(cid, cvec), [F.col(cid)], out="_crn")
-    n_chunks = (k + CENTROID_CHUNK - 1) // CENTROID_CHUNK
-    parts = []
-    for c in range(n_chunks):  # a handful of bounded broadcast rows, one per chunk
-        chunk = ranked.filter(F.floor((F.col("_crn") - 1) / CENTROID_CHUNK) == c)
-        best = _best_in_pack(df.select(key, vec), vec, _pack(chunk, cid, cvec), id_type)
-        parts.append(best.select(key, F.struct(F.col("_best.d").alias("d"), F.col("_best.id").alias("id")).alias("_b")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    win = u.groupBy(key).agg(F.min("_b").alias("_b"))   # min over (distance, id): ties -> smallest id
-    return (df.join(win, key).withColumn(out, F.col("_b.id")).withColumn(f"{out}_sqdist", F.col("_b.d"))
-            .drop("_b"))
+    packs = -(-max(1, ranked.count()) // CENTROID_CHUNK)
+    res = df.withColumn("_best", F.struct(F.lit(None).cast("double").alias("d"), F.lit(None).cast(id_type).alias("id")))
+    for k in range(packs):
+        res = _fold_pack(res, vec, ranked.filter(F.floor((F.col("_crn") - 1) / CENTROID_CHUNK) == k), cid, cvec)
+    return res.withColumn(out, F.col("_best.id")).withColumn(f"{out}_sqdist", F.col("_best.d")).drop("_best")
 
 
 def with_vectorized(df: DataFrame, fn, input_col: str, output: str, return_type: str) -> DataFrame:

@@ -44,7 +44,7 @@ def lineitem_pipeline() -> TR.FeaturePipeline:
     ], keep=LI_KEYS)
 
 
-def _round_out(df):
+def round_lineitem_features(df):
     return df.select(*LI_KEYS, r6("qty_z").alias("qty_z"), r6("price_01").alias("price_01"), "disc_bucket",
                      "flag_id", r6("price_log").alias("price_log"), "supp_hash", "flag_x_status", "line_id")
 
@@ -73,7 +73,7 @@ FROM s e CROSS JOIN st LEFT JOIN v ON e.l_returnflag = v.value WHERE e.split = '
 def fit_train_apply_eval(spark, sf):
     li = t(spark, sf, "lineitem").withColumn("split", split2(lineitem_key()))
     ft = lineitem_pipeline().fit(li.filter(F.col("split") == "train"))
-    return _round_out(ft.transform(li.filter(F.col("split") == "eval")))
+    return round_lineitem_features(ft.transform(li.filter(F.col("split") == "eval")))
 
 
 @register("artefact_roundtrip", SQL_FIT_APPLY, ids=("IO11",))
@@ -84,7 +84,7 @@ def artefact_roundtrip(spark, sf):
     path = scratch_path(spark, "transform")
     ft.save(path)
     loaded = TR.FittedTransform.load(spark, path, pipe.steps)
-    return _round_out(loaded.transform(li.filter(F.col("split") == "eval")))
+    return round_lineitem_features(loaded.transform(li.filter(F.col("split") == "eval")))
 
 
 @register("scale_z_score", f"""

@@ -43,12 +43,12 @@ def sliding_windows(spark, sf):
 
 
 @register("series_as_array", f"""
-SELECT user_id, CAST(0 AS BIGINT) AS chunk_id, min(rn) AS first_t, count(*) AS n_values,
+SELECT user_id, CAST((rn - 1) // 16 AS BIGINT) AS chunk_id, min(rn) AS first_t, count(*) AS n_values,
        string_agg(CAST(value AS VARCHAR), ',' ORDER BY rn) AS values_text
-FROM {SQL_EVENTS_RN} r GROUP BY user_id
+FROM {SQL_EVENTS_RN} r GROUP BY user_id, (rn - 1) // 16
 """, ids=("WN10",))
 def series_as_array(spark, sf):
     e = t(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    c = S.series_chunks(e, ["user_id"], ["ts", "event_id"], "value", chunk=10_000)
+    c = S.series_chunks(e, ["user_id"], ["ts", "event_id"], "value", chunk=16)
     return c.select("user_id", "chunk_id", "first_t", F.size("values").cast("bigint").alias("n_values"),
                     F.array_join(F.transform("values", lambda v: v.cast("string")), ",").alias("values_text"))

@@ -69,7 +69,7 @@ def stratified_split(spark, sf):
 
 
 @register("random_fraction", f"""
-SELECT o_orderkey FROM orders WHERE {sql_seeded('o_orderkey', 42, 1000000)} < 300000
+SELECT o_orderkey FROM orders WHERE {sql_seeded("o_orderkey", 42, 1 << 60)} < {round(0.3 * (1 << 60))}
 """, ids=("WN5",))
 def random_fraction(spark, sf):
     o = t(spark, sf, "orders")
@@ -78,7 +78,7 @@ def random_fraction(spark, sf):
 
 @register("split_complement_anti", f"""
 SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN
-  (SELECT o_orderkey FROM orders WHERE {sql_seeded('o_orderkey', 42, 1000000)} < 300000)
+  (SELECT o_orderkey FROM orders WHERE {sql_seeded("o_orderkey", 42, 1 << 60)} < {round(0.3 * (1 << 60))})
 """, ids=("JN4",))
 def split_complement_anti(spark, sf):
     o = t(spark, sf, "orders").select("o_orderkey", "o_custkey")

@@ -172,7 +172,11 @@ def nearest_centroid(spark, sf):
 
 
 def _np_norm(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: float(np.sqrt(np.dot(np.asarray(v, dtype=np.float64), np.asarray(v, dtype=np.float64)))))
+    """Norms of a whole batch at once: one flat array and the places where its vectors start."""
+    sizes = s.map(len).to_numpy()
+    flat = np.concatenate([*s.to_numpy(), np.zeros(1)]).astype(np.float64)
+    sums = np.add.reduceat(flat * flat, np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int))
+    return pd.Series(np.sqrt(np.where(sizes > 0, sums, 0.0)))
 
 
 @register("vectorized_udf", """

@@ -20,6 +20,7 @@ def checkpoint_base(spark: SparkSession) -> str:
     """Shared base folder for checkpoints and scratch output."""
     sc = spark.sparkContext
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf = conf or sc.getCheckpointDir()         # set by the caller on the context
     if conf:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(conf)

@@ -20,12 +20,13 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: StructTyp
 
     ``path`` may be a glob or a list of globs; an empty field becomes the
     column's default (or stays null without one).  ``header`` skips one line per
-    file; ``skip_lines`` skips the first N lines of every file.
+    file; ``skip_lines`` skips the first N lines of every file,
+    blank ones included; blank lines are no records.
     """
-    if skip_lines > 1 or (skip_lines == 1 and header):
+    if skip_lines:
         df = _read_skipping(spark, path, schema, sep, skip_lines + (1 if header else 0))
     else:
-        df = (spark.read.schema(schema).option("sep", sep).option("header", header or skip_lines == 1)
+        df = (spark.read.schema(schema).option("sep", sep).option("header", header)
               .option("mode", "PERMISSIVE").csv(path))
     return apply_defaults(df, defaults or {}, drop_columns)
 
@@ -44,8 +45,10 @@ def _read_skipping(spark: SparkSession, path, schema, sep: str, n: int) -> DataF
                      F.col("_metadata.file_block_start").alias("_b"),
                      F.monotonically_increasing_id().alias("_i")))
     first = lines.filter(F.col("_b") == 0).groupBy("_f").agg(F.min("_i").alias("_i0"))
+    # one row per file: less than the file listing that the scan's plan holds on the driver anyway
     body = (lines.join(F.broadcast(first), "_f")
             .filter((F.col("_b") > 0) | (F.col("_i") - F.col("_i0") >= n)))
+    body = body.filter(F.length(F.trim("value")) > 0)       # as the CSV reader: blank lines are no records
     parsed = body.select(F.from_csv("value", ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("r"))
     return parsed.select("r.*")
 

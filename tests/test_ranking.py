@@ -111,16 +111,31 @@ def test_hot_key_is_split_across_partitions(spark):
     assert max(r["count"] for r in per) < 0.3 * 30000
 
 
-def test_small_and_distributed_vocabulary_paths_agree(spark, monkeypatch):
+def test_vocabulary_order(spark):
+    from collections import Counter
+
     from loam.operators import analyze as A
     rnd = random.Random(5)
-    toks = spark.createDataFrame([(f"t{rnd.randint(0, 60)}",) for _ in range(2000)], "token string")
-    small = {r.token: r.id for r in A.vocabulary(toks, "token").collect()}
-    monkeypatch.setattr(A, "SMALL_RANK_LIMIT", 3)          # force the distributed path
-    dist = {r.token: r.id for r in A.vocabulary(toks, "token").collect()}
+    data = [f"t{rnd.randint(0, 60)}" for _ in range(2000)]
+    toks = spark.createDataFrame([(x,) for x in data], "token string")
+    count = Counter(data)
+    # most frequent first, ties by token, both descending
+    want = {w: k for k, w in enumerate(sorted(count, key=lambda w: (count[w], w), reverse=True))}
+    got = {r.token: r.id for r in A.vocabulary(toks, "token").collect()}
     top = {r.token: r.id for r in A.vocabulary(toks, "token", top_k=10).collect()}
-    assert small == dist
-    assert top == {k: v for k, v in dist.items() if v < 10}
+    assert got == want and top == {k: v for k, v in want.items() if v < 10}
+
+
+def test_lag_beyond_a_block(spark):
+    from loam.operators.series import lag_features, sliding_windows
+    df = spark.range(6000).select(F.lit(1).alias("g"), F.col("id").alias("t0"),
+                                  F.when(F.col("id") != 100, F.col("id")).cast("double").alias("v"))
+    got = {r.t0: r.v_lag5000 for r in lag_features(df, ["g"], ["t0"], "v", [5000]).collect()}
+    assert all(got[i] == (None if i < 5000 or i == 5100 else i - 5000) for i in range(6000))
+    win = sliding_windows(df.filter("t0 < 150"), ["g"], ["t0"], "v", 4, 2).collect()
+    assert len(win) == 145
+    with_null = [r for r in win if None in r.x + r.y]
+    assert len(with_null) == 6 and all(len(r.x) == 4 and len(r.y) == 2 for r in win)
 
 
 def test_limit_ordered_paths_agree(spark, monkeypatch):

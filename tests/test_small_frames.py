@@ -75,8 +75,51 @@ def test_nearest_centroid_chunked_matches_single_pack(spark, monkeypatch):
                                   "cid int, c array<double>")
     one = {r.k: r.centroid for r in VO.nearest_centroid(pts, "v", cents, "cid", "c").collect()}
     monkeypatch.setattr(VO, "CENTROID_CHUNK", 8)
-    chunked = {r.k: r.centroid for r in VO.nearest_centroid(pts, "v", cents, "cid", "c", key="k").collect()}
-    assert one == chunked
+    more = cents.union(spark.createDataFrame([(-1, None)], cents.schema))
+    packs = {r.k: r.centroid for r in VO.nearest_centroid(pts, "v", more, "cid", "c").collect()}
+    assert one == packs and -1 not in packs.values()
+
+
+def test_a_probe_of_several_rows_is_refused(spark):
+    import pytest
+
+    from loam.operators import vector as VO
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "k long, v array<double>")
+    assert VO.similar_by_vector(df, "k", "v", df.filter("k = 1")).count() == 2
+    with pytest.raises(Exception, match="more than one row"):
+        VO.similar_by_vector(df, "k", "v", df).collect()
+
+
+def test_forecast_of_short_series(spark):
+    from loam.operators.models import ar_forecast
+    rows = [("a", i, float(i % 5)) for i in range(40)] + [("b", 0, 500.0)]
+    got = ar_forecast(spark.createDataFrame(rows, "g string, t int, v double"), ["g"], ["t"], "v", 3, 4).collect()
+    assert {r.g for r in got} == {"a"} and sorted(r.h for r in got) == [1, 2, 3, 4]
+
+
+def test_changed_step_parameters_are_refused(spark, tmp_path):
+    import pytest
+
+    from loam.operators.transform import FeaturePipeline, FittedTransform, FixedBucketize
+    df = spark.createDataFrame([(1.0,), (3.0,)], "x double")
+    FeaturePipeline([FixedBucketize("x", "b", (2.0,))]).fit(df).save(str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="do not match"):
+        FittedTransform.load(spark, str(tmp_path / "t"), [FixedBucketize("x", "b", (7.0,))])
+
+
+def test_skipped_lines_and_blank_lines(spark, tmp_path):
+    from loam.sources.readers import read_delimited
+    (tmp_path / "f.csv").write_text("junk\n\n1,a\n\n2,\n")
+    for n in (1, 2):
+        got = read_delimited(spark, str(tmp_path / "f.csv"), "k int, s string", skip_lines=n, defaults={"s": "none"}).collect()
+        assert sorted(tuple(r) for r in got) == [(1, "a"), (2, "none")]
+
+
+def test_small_fractions_sample(spark):
+    from loam.operators.split import random_fraction
+    df = spark.range(200_000)
+    assert 0 < random_fraction(df, "id", 1e-4).count() < 60
+    assert random_fraction(df, "id", 4e-7).count() <= 3
 
 
 def test_approx_quantile_buckets_close_to_exact(spark):
