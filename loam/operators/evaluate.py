@@ -42,22 +42,23 @@ def accuracy_metrics(df: DataFrame, label: str, pred: str, by: Sequence[str] = (
                  F.sum("_n").alias("n"))
 
 
-def macro_precision_recall(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """Macro-averaged precision and recall over the union of true and predicted classes.
+def macro_precision_recall(df: DataFrame, label: str, pred: str, by: str | None = None) -> DataFrame:
+    """Macro-averaged precision and recall over the union of true and predicted classes (of each ``by``).
 
     One pass: every row is emitted once under its true class and once under its
     predicted class, and a single groupBy(class) yields support, tp and predicted.
     """
     hit = (F.col(label) == F.col(pred)).cast("long")
-    tagged = df.select(F.inline(F.array(
+    keys = [by] if by else []
+    tagged = df.select(*keys, F.inline(F.array(
         F.struct(F.col(label).alias("cls"), F.lit(1).alias("t"), hit.alias("tp"), F.lit(0).alias("p")),
         F.struct(F.col(pred).alias("cls"), F.lit(0).alias("t"), F.lit(0).cast("long").alias("tp"),
                  F.lit(1).alias("p")))))
-    j = tagged.groupBy("cls").agg(F.sum("t").alias("support"), F.sum("tp").alias("tp"),
+    j = tagged.groupBy(*keys, "cls").agg(F.sum("t").alias("support"), F.sum("tp").alias("tp"),
                                   F.sum("p").alias("predicted"))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
-    return j.agg(F.avg(prec).alias("macro_precision"), F.avg(rec).alias("macro_recall"),
+    return j.groupBy(*keys).agg(F.avg(prec).alias("macro_precision"), F.avg(rec).alias("macro_recall"),
                  F.count(F.lit(1)).alias("n_classes"))
 
 

@@ -98,6 +98,17 @@ def sequence_in_out(arr: Column, n_in: int, n_out: int) -> list[Column]:
     return [F.slice(arr, 1, n_in).alias("seq_in"), F.slice(arr, n_in + 1, n_out).alias("seq_out")]
 
 
+def falling(t: Column) -> Column:
+    """-t (noise-free)."""
+    return -t.cast("double")
+
+
+def alternating(t: Column) -> Column:
+    """2t at even and -2t at odd places (noise-free)."""
+    x = F.lit(2.0) * t.cast("double")
+    return F.when(F.pmod(t, F.lit(2)) == 0, x).otherwise(-x)
+
+
 def signal(t: Column, period: float, trend: float) -> Column:
     """sin(pi * t / period) + t / trend (noise-free signal generator)."""
     x = t.cast("double")

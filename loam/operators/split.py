@@ -46,6 +46,12 @@ def random_fraction(df: DataFrame, key: str | Column, fraction: float, seed: int
     return df.filter(seeded_unit(key, seed, resolution) < F.lit(int(round(fraction * resolution))))
 
 
+def random_rest(df: DataFrame, key: str | Column, fraction: float, seed: int = 42,
+                resolution: int = 1 << 60) -> DataFrame:
+    """The rows that :func:`random_fraction` leaves, by the same threshold: no join."""
+    return df.filter(seeded_unit(key, seed, resolution) >= F.lit(int(round(fraction * resolution))))
+
+
 def complement(df: DataFrame, sample: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key is not in ``sample`` (left anti join)."""
     return df.join(sample.select(key), key, "left_anti")
