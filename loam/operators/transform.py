@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -261,10 +261,16 @@ class FittedTransform:
             v.write.mode("overwrite").parquet(f"{path}/vocab/{name}")
 
     @staticmethod
-    def load(spark: SparkSession, path: str, steps: list[Step],
+    def load(spark: SparkSession, path: str, steps: list[Step] | None = None,
              process_features: Callable[[DataFrame], DataFrame] | None = None) -> "FittedTransform":
-        """Reload statistics and vocabularies; ``steps`` (the code) must match what was saved, parameters included."""
+        """Reload a fitted transform from its folder alone, or check ``steps`` (the code) against it.
+
+        Given steps must match what was saved, parameters included.  Steps that hold code of
+        the user's (``Expr``) cannot be saved, so transforms with them need their steps.
+        """
         meta = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+        if steps is None:
+            steps = [_step_of(m) for m in meta["steps"]]
         now = json.loads(json.dumps([_step_meta(s) for s in steps]))
         if meta["steps"] != now:
             raise ValueError(f"saved steps {meta['steps']} do not match {now}")
@@ -274,14 +280,22 @@ class FittedTransform:
 
 
 def _step_meta(s: Step) -> dict:
-    d = {"type": type(s).__name__, "out": s.out}
-    for k in ("col", "cols", "top_k", "oov", "num_buckets", "boundaries", "values", "offset", "ddof", "exact", "epsilon", "default"):
-        if hasattr(s, k):
-            v = getattr(s, k)
-            d[k] = list(v) if isinstance(v, tuple) else v
+    d = {"type": type(s).__name__}
+    for f in fields(s):
+        v = getattr(s, f.name)
+        if not callable(v):
+            d[f.name] = list(v) if isinstance(v, tuple) else v
     return d
 
 
+def _step_of(meta: dict) -> Step:
+    kinds = {c.__name__: c for c in Step.__subclasses__()}
+    kind = kinds.get(meta["type"])
+    if kind is None or kind is Expr:
+        raise ValueError(f"step {meta} holds code: pass the steps")
+    return kind(**{k: tuple(v) if isinstance(v, list) else v for k, v in meta.items() if k != "type"})
+
+
 @dataclass
 class FeaturePipeline:
     steps: list[Step]

@@ -87,6 +87,16 @@ def artefact_roundtrip(spark, sf):
     return round_lineitem_features(loaded.transform(li.filter(F.col("split") == "eval")))
 
 
+@register("artefact_from_folder", SQL_FIT_APPLY, ids=("IO11",))
+def artefact_from_folder(spark, sf):
+    """As ``artefact_roundtrip``, but nothing but the folder says what the steps were."""
+    li = t(spark, sf, "lineitem").withColumn("split", split2(lineitem_key()))
+    path = scratch_path(spark, "transform")
+    lineitem_pipeline().fit(li.filter(F.col("split") == "train")).save(path)
+    loaded = TR.FittedTransform.load(spark, path)
+    return round_lineitem_features(loaded.transform(li.filter(F.col("split") == "eval")))
+
+
 @register("scale_z_score", f"""
 WITH s AS (SELECT *, {sql_split2(SQL_LINEITEM_KEY)} AS split FROM lineitem),
 st AS (SELECT avg(l_extendedprice) AS m, stddev_pop(l_extendedprice) AS sd FROM s WHERE split = 'train')
