@@ -21,12 +21,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from loam.llm.common import BYTE_VALUE, U64, SpanHash, mix, sliding_min, text_chunks, word_hashes, word_spans
 
 TAG_BITS = 14
+ANCHOR_BITS = 48              # records are only brought together by anchors; more bits would only travel
+
+
+def _never_null(**fields) -> StructType:
+    """A schema without nulls: joins then add no filters, and equal exchanges stay equal and are reused."""
+    return StructType([StructField(name, kind, False) for name, kind in fields.items()])
 
 
 @dataclass(frozen=True)
@@ -91,15 +99,49 @@ def place_fields(place: Column) -> tuple[Column, Column, Column]:
 
 
 def tagged(docs: DataFrame, text: str, rest: list[str] | None = None) -> DataFrame:
-    """(doc_id, tag, text); the tag, of the text's hash, tells rows apart that share a doc_id.
+    """(doc_id, tag, text, rest); the tag, of the text's hash, tells rows apart that share a doc_id.
 
-    ``rest``: other columns, which go along in a struct ``_rest`` so that no name can clash.
+    ``rest``: names of other columns, which go along in a struct, so that no name can clash.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     tag = F.shiftrightunsigned(F.xxhash64(body), 64 - TAG_BITS).cast("int")
-    more = [F.struct(*rest).alias("_rest")] if rest else []
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), tag.alias("tag"),
-                       body.alias("text"), *more)
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
+                       F.coalesce(tag, F.lit(0)).alias("tag"), body.alias("text"),
+                       F.struct(*(rest or [F.lit(0).alias("none")])).alias("rest"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, tag, packed): ``tagged`` documents with their texts compressed, for the way through a shuffle.
+
+    One struct holds text and rest, so that all who read it shuffle the same thing, once.
+    """
+    rest = docs.schema["rest"].dataType
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for rows, raw, off in text_chunks(batches):
+            small = [press.compress(raw[off[i]:off[i + 1]].tobytes()) for i in range(rows.num_rows)]
+            both = pa.StructArray.from_arrays([pa.array(small, pa.binary()), rows.column(3)], names=["text", "rest"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), both], names=["doc_id", "tag", "packed"])
+
+    kind = StructType([StructField("text", BinaryType(), False), StructField("rest", rest, True)])
+    return docs.mapInArrow(run, _never_null(doc_id=LongType(), tag=IntegerType(), packed=kind))
+
+
+def unpacked(batches: Iterable[pa.RecordBatch], max_bytes: int = 1 << 20
+             ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes, offsets) as from ``text_chunks``, from a ``packed`` column."""
+    press = zstandard.ZstdDecompressor()
+    for batch in batches:
+        small = batch.column(batch.schema.get_field_index("packed")).field("text")
+        first, size, parts = 0, 0, []
+        for i in range(batch.num_rows):
+            parts.append(press.decompress(small[i].as_py()))
+            size += len(parts[-1])
+            if size >= max_bytes or i == batch.num_rows - 1:
+                off = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])
+                yield batch.slice(first, i + 1 - first), np.frombuffer(b"".join(parts), np.uint8), off
+                first, size, parts = i + 1, 0, []
 
 
 def all_records(docs: DataFrame, units: Units) -> DataFrame:
@@ -111,16 +153,20 @@ def all_records(docs: DataFrame, units: Units) -> DataFrame:
             r = anchor_records(hashes, texts, units)
             local = r.at - texts[r.text]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(r.anchor.view(np.int64)), pa.array(r.content.view(np.int64)), pa.array(ids[r.text]),
+                [pa.array((r.anchor >> U64(64 - ANCHOR_BITS)).astype(np.int64)), pa.array(r.content.view(np.int64)), pa.array(ids[r.text]),
                  pa.array(pack_place(tags[r.text], local, r.at - r.first, r.last - r.first))],
                 names=["anchor", "content", "doc_id", "place"])
 
-    return docs.mapInArrow(run, "anchor long, content long, doc_id long, place long")
+    return docs.select("doc_id", "tag", "text").mapInArrow(run, _never_null(
+        anchor=LongType(), content=LongType(), doc_id=LongType(), place=LongType()))
 
 
-def repeated_spans(docs: DataFrame, units: Units, other_document: bool, shard: Callable, shard_units: int) -> DataFrame:
+def repeated_spans(docs: DataFrame, small: DataFrame, units: Units, other_document: bool, shard: Callable,
+                   shard_bytes: int) -> DataFrame:
     """(doc_id, tag, spans): windows [a, b] of a ``tagged`` document that a shard function has found.
 
+    ``small`` are the same documents, ``packed``.
+
     ``other_document``: only an anchor that occurs in two documents is looked at (else two
     places).  ``shard(records)`` gets a list of dicts of arrays (see ``take``) and yields
     (record number, first window, last window, low) with window numbers in the record; the
@@ -141,24 +187,23 @@ def repeated_spans(docs: DataFrame, units: Units, other_document: bool, shard: C
         F.collect_list(F.struct("place", "anchor", "content", "high", "copies")).alias("wanted"))
 
     def take(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, raw, off in text_chunks([batch]):
-                _, start, end, texts = units.split(raw, off)
-                wants = rows.column(3)
-                flat, count = wants.flatten(), np.diff(wants.offsets.to_numpy())
-                owner = np.repeat(np.arange(rows.num_rows), count)
-                place = flat.field("place").to_numpy()
-                at = ((place >> 18) & ((1 << 32) - 1)) + texts[owner]
-                before, more = (place >> 9) & 511, place & 511
-                lo, hi = start[at - before], end[at - before + more + units.width - 1]
-                data = raw.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [flat.field("anchor"), flat.field("content"), rows.column(0).take(pa.array(owner)), flat.field("high"),
-                     flat.field("copies"), pa.array(before), pa.array(more + 1),
-                     pa.array([data[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], pa.binary())],
-                    names=["anchor", "content", "low", "high", "copies", "before", "windows", "body"])
-
-    bodies = docs.join(wanted, ["doc_id", "tag"]).select("doc_id", "tag", "text", "wanted").mapInArrow(
+        for rows, raw, off in unpacked(batches):
+            _, start, end, texts = units.split(raw, off)
+            wants = rows.column(3)
+            flat, count = wants.flatten(), np.diff(wants.offsets.to_numpy())
+            owner = np.repeat(np.arange(rows.num_rows), count)
+            place = flat.field("place").to_numpy()
+            at = ((place >> 18) & ((1 << 32) - 1)) + texts[owner]
+            before, more = (place >> 9) & 511, place & 511
+            lo, hi = start[at - before], end[at - before + more + units.width - 1]
+            data = raw.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [flat.field("anchor"), flat.field("content"), rows.column(0).take(pa.array(owner)), flat.field("high"),
+                 flat.field("copies"), pa.array(before), pa.array(more + 1),
+                 pa.array([data[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], pa.binary())],
+                names=["anchor", "content", "low", "high", "copies", "before", "windows", "body"])
+
+    bodies = small.join(wanted, ["doc_id", "tag"]).select("doc_id", "tag", "packed", "wanted").mapInArrow(
         take, "anchor long, content long, low long, high long, copies long, before long, windows long, body binary")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,14 +216,21 @@ def repeated_spans(docs: DataFrame, units: Units, other_document: bool, shard: C
                 [rows.column("anchor").combine_chunks().take(pick), rows.column("content").combine_chunks().take(pick),
                  pa.array(a), pa.array(b), pa.array(low, pa.int64())], names=["anchor", "content", "a", "b", "low"])
 
+        def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ends = np.cumsum(np.fromiter((len(x) for x in batch.column(7).to_pylist()), np.int64, batch.num_rows))
+                i = 0
+                while i < batch.num_rows:
+                    j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + shard_bytes, side="right")))
+                    yield batch.slice(i, j - i)
+                    i = j
+
         held: list[pa.RecordBatch] = []
         size = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in pieces(batches):
             held.append(batch)
             size += batch.column(7).nbytes
-            if size < shard_units:
+            if size < shard_bytes:
                 continue
             rows = pa.Table.from_batches(held)
             keys = rows.column("anchor").to_numpy()
@@ -200,18 +252,12 @@ def repeated_spans(docs: DataFrame, units: Units, other_document: bool, shard: C
                       ).groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans"))
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """(doc_id, text, spans) for every row of ``tagged`` documents; no spans: null."""
-    return docs.join(spans, ["doc_id", "tag"], "left").select("doc_id", "text", "spans")
-
-
 def covered(spans, n: int, width: int) -> np.ndarray:
     """Which of a text's ``n`` units lie in the windows of its spans."""
     out = np.zeros(n + 1, np.int64)
     if spans is not None and len(spans):
-        flat = spans.values if hasattr(spans, "values") else spans
-        np.add.at(out, flat.field("a").to_numpy(), 1)
-        np.add.at(out, flat.field("b").to_numpy() + width, -1)
+        np.add.at(out, spans.field("a").to_numpy(), 1)
+        np.add.at(out, spans.field("b").to_numpy() + width, -1)
     return np.cumsum(out[:n]) > 0
 
 

@@ -17,11 +17,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-
-from loam.llm.anchored import Units, covered, original_id, repeated_spans, tagged
-from loam.llm.common import U64, text_buffer, text_chunks, word_hashes, word_spans
 from pyspark.sql import functions as F
 
+from loam.llm.anchored import Units, covered, original_id, packed, repeated_spans, tagged, unpacked
+from loam.llm.common import U64, text_buffer, word_hashes, word_spans
+
+
 
 class WaveletTree:
     """Rank queries on a sequence of small integers, in the pointerless (level-wise) layout."""
@@ -159,22 +160,16 @@ def find_repeats(width: int):
     return shard
 
 
-KEPT = "n_words long, n_removed long, kept string"
-
-
 def _without_repeats(rows: DataFrame, width: int, shard_bytes: int, verbatim: bool) -> DataFrame:
-    """``rows`` (with a ``tag`` column of ``tagged`` and a ``text``) with the columns of ``KEPT`` added."""
-    units = Units(words=True, width=width, gram=min(5, width))
-    slim = rows.select("doc_id", "tag", "text")
-    spans = repeated_spans(slim, units, True, find_repeats(width), shard_bytes)
-    joined = rows.join(spans, ["doc_id", "tag"], "left").select(*rows.columns, "spans")
-    passed = [c for c in rows.columns if c != "text"]
+    """(doc_id, n_words, n_removed, kept, rest) of ``tagged`` rows."""
+    units = Units(words=True, width=width, gram=min(4, width))
+    small = packed(rows)
+    spans = repeated_spans(rows, small, units, True, find_repeats(width), shard_bytes)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, raw, off in text_chunks(batches):
+        for chunk, raw, off in unpacked(batches):
             start, end, texts = word_spans(raw, off)
-            data, out = raw.tobytes(), []
-            spans_col = chunk.column(chunk.schema.get_field_index("spans"))
+            data, out, spans_col = raw.tobytes(), [], chunk.column(2)
             for i in range(chunk.num_rows):
                 a, b = texts[i], texts[i + 1]
                 gone = covered(spans_col[i].values if spans_col[i].is_valid else None, int(b - a), width)
@@ -187,14 +182,15 @@ def _without_repeats(rows: DataFrame, width: int, shard_bytes: int, verbatim: bo
                 out.append((int(b - a), lost, kept.decode()))
             n, r, k = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [*(chunk.column(chunk.schema.get_field_index(c)) for c in passed), pa.array(n, pa.int64()),
-                 pa.array(r, pa.int64()), pa.array(k, pa.string())], names=[*passed, "n_words", "n_removed", "kept"])
+                [chunk.column(0), pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(k, pa.string()),
+                 chunk.column(1).field("rest")], names=["doc_id", "n_words", "n_removed", "kept", "rest"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*passed).schema.fields)
-    return joined.mapInArrow(run, f"{fields}, {KEPT}")
+    rest = rows.schema["rest"].dataType.simpleString()
+    joined = small.join(spans, ["doc_id", "tag"], "left").select("doc_id", "packed", "spans")
+    return joined.mapInArrow(run, f"doc_id long, n_words long, n_removed long, kept string, rest {rest}")
 
 
-def remove_repeated_words(docs: DataFrame, text: str = "text", width: int = 13, shard_bytes: int = 8 << 20) -> DataFrame:
+def remove_repeated_words(docs: DataFrame, text: str = "text", width: int = 13, shard_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row: the words left, joined by single spaces.
 
     A word goes if a window of ``width`` words over it also starts in a document with a
@@ -207,11 +203,11 @@ def remove_repeated_words(docs: DataFrame, text: str = "text", width: int = 13,
     return out.select(original_id(F.col("doc_id")).alias("doc_id"), "n_words", "n_removed", "kept")
 
 
-def keep_unrepeated_words(docs: DataFrame, width: int = 13, shard_bytes: int = 8 << 20) -> DataFrame:
+def keep_unrepeated_words(docs: DataFrame, width: int = 13, shard_bytes: int = 4 << 20) -> DataFrame:
     """``docs`` with ``text`` cleared of repeated passages as by :func:`remove_repeated_words`; a text that loses
     nothing keeps its own white space.  Null texts become empty."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = tagged(docs, "text", rest)
     out = _without_repeats(rows, width, shard_bytes, True)
     return out.select(original_id(F.col("doc_id")).alias("doc_id"), F.col("kept").alias("text"),
-                      *[F.col(f"_rest.{c}").alias(c) for c in rest])
+                      *[F.col("rest").getField(c).alias(c) for c in rest])

@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.llm.anchored import Units, covered, original_id, repeated_spans, tagged, with_spans
-from loam.llm.common import BYTE_VALUE, U64, SpanHash, mix, ranges, text_chunks
+from loam.llm.anchored import Units, covered, original_id, packed, repeated_spans, tagged, unpacked
+from loam.llm.common import BYTE_VALUE, U64, SpanHash, mix, ranges
 
 BLOCK = 64
 
@@ -194,10 +194,11 @@ def remove_repeated_bytes(docs: DataFrame, text: str = "text", width: int = 400,
     """
     units = Units(words=False, width=width, gram=min(16, width))
     rows = tagged(docs, text)
-    spans = repeated_spans(rows, units, False, find_repeats(width), shard_bytes)
+    small = packed(rows)
+    spans = repeated_spans(rows, small, units, False, find_repeats(width), shard_bytes)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, raw, off in text_chunks(batches):
+        for chunk, raw, off in unpacked(batches):
             out, spans_col = [], chunk.column(2)
             for i in range(chunk.num_rows):
                 body = raw[off[i]:off[i + 1]]
@@ -209,5 +210,6 @@ def remove_repeated_bytes(docs: DataFrame, text: str = "text", width: int = 400,
                 [chunk.column(0), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.binary())],
                 names=[c.split()[0] for c in KEPT.split(", ")])
 
-    out = with_spans(rows, spans).mapInArrow(run, KEPT)
+    joined = small.join(spans, ["doc_id", "tag"], "left").select("doc_id", "packed", "spans")
+    out = joined.mapInArrow(run, KEPT)
     return out.withColumn("doc_id", original_id(F.col("doc_id")))
