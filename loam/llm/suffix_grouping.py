@@ -184,7 +184,7 @@ def find_repeats(width: int, block: int = BLOCK):
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-def remove_repeated_bytes(docs: DataFrame, text: str = "text", width: int = 400, shard_bytes: int = 16 << 20) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, text: str = "text", width: int = 400, shard_bytes: int = 2 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) for every row: the bytes left.
 
     A byte goes if a string of ``width`` bytes over it also starts anywhere else, in the
