@@ -7,7 +7,7 @@
 
 The result is an immutable :class:`FittedTransform`; ``transform(df)`` is a
 single ``select`` of literal-parameterized expressions plus vocabulary lookups
-(broadcast: a vocabulary's size is known from the fit).  Eval data only ever
+(no hints: Spark broadcasts by size).  Eval data only ever
 sees train statistics.  ``save``/``load`` write the artefacts through Spark
 (JSON metadata + one Parquet table per vocabulary), so any shared filesystem works.
 """
