@@ -88,16 +88,23 @@ def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text",
             i = j
 
 
-def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and ``len(off)`` offsets of the texts in word counts."""
+def word_spans(raw: np.ndarray, off: np.ndarray, cut: np.ndarray | None = None
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and ``len(off)`` offsets of the texts in word counts.
+
+    ``cut``, a 256 x 256 table, says between which bytes of a word it is cut in two.
+    """
     n = raw.size
     space = _SPACE[raw]
     edge = np.zeros(n + 1, bool)
     edge[off] = True
+    part = edge[1:n]
+    if cut is not None:
+        part = part | cut.ravel()[raw[:-1].astype(np.int32) << 8 | raw[1:]]
     begins = ~space
-    begins[1:] &= space[:-1] | edge[1:n]
+    begins[1:] &= space[:-1] | part
     ends = ~space
-    ends[:-1] &= space[1:] | edge[1:n]
+    ends[:-1] &= space[1:] | part
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     return start, end, np.searchsorted(start, off)
 
@@ -130,11 +137,11 @@ def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 class PartEncoder:
     """Token ids of texts from those of their parts, encoding each distinct part once.
 
-    ``encode_new`` maps a list of part strings to a list of id lists; ids are kept per
+    ``encode_new`` maps a list of part strings to their ids as little-endian bytes; ids are kept per
     worker, and a memory of ``kept`` parts is emptied when full.
     """
 
-    def __init__(self, encode_new, kept: int = 300_000):
+    def __init__(self, encode_new, kept: int = 600_000):
         self._encode_new, self._kept = encode_new, kept
         self._known: dict[int, bytes] = {}
 
@@ -148,9 +155,10 @@ class PartEncoder:
             self._known, new = {}, list(range(len(keys)))
         if new:
             data = raw.tobytes()
-            parts = [data[start[place[i]]:end[place[i]]].decode("utf-8", "replace") for i in new]
+            where = place[new]
+            parts = [data[a:b].decode("utf-8", "replace") for a, b in zip(start[where].tolist(), end[where].tolist(), strict=True)]
             for i, ids in zip(new, self._encode_new(parts), strict=True):
-                self._known[keys[i]] = np.array(ids, "<u4").tobytes()
+                self._known[keys[i]] = ids
         found = [self._known[h] for h in keys]
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), "<u4")

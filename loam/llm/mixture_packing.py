@@ -27,29 +27,56 @@ from loam.llm.common import PartEncoder, ranges, text_chunks, word_spans
 from loam.session import scratch_path
 
 FRACTION = 16                 # bits of a quantum behind the point
-WORDS_KEPT = 300_000          # word encodings that a worker remembers; a fuller memory is emptied
+WORDS_KEPT = 700_000          # word encodings that a worker remembers; a fuller memory is emptied
 SOURCES = 100_000             # queues that a plan may have; more is an error, as every task holds the plan
 
 _TOKENIZERS: dict[str, tuple] = {}
 
 
+def _cuts() -> np.ndarray:
+    """Byte pairs between which this kind of tokenizer always starts anew: an ASCII letter and an ASCII
+    punctuation mark.  Not at apostrophes, which begin suffixes, nor at bars, which special tokens have inside."""
+    code = np.arange(256)
+    letter = ((code | 32) >= 97) & ((code | 32) <= 122)
+    mark = (code > 32) & (code < 127) & ~letter & ~((code >= 48) & (code <= 57)) & (code != 39) & (code != 124)
+    return letter[:, None] & mark[None, :] | mark[:, None] & letter[None, :]
+
+
 class WordEncoder:
     """Token ids of texts, encoding each distinct word once.
 
-    No token of this kind of tokenizer reaches over ASCII white space, so a text's
-    ids are those of its words, one after the other.
+    The tokenizer must be one that lower-cases and splits at white space, between letters
+    and between other characters: then a text's ids are those of its words and marks, one
+    after the other.
     """
 
+    CUTS = _cuts()
+    BETWEEN = "<|startoftext|>"        # parts the words that are encoded in one go
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts = PartEncoder(
-            lambda words: [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)], WORDS_KEPT)
+        self.between = self.tokenizer.token_to_id(self.BETWEEN)
+        self.parts = PartEncoder(self.encode_words, WORDS_KEPT)
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, as little-endian bytes."""
+        if self.between is None or any(self.BETWEEN in w for w in words):
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        out: list[bytes] = []
+        for k in range(0, len(words), 1000):
+            ids = np.array(self.tokenizer.encode(self.BETWEEN.join(words[k:k + 1000]), add_special_tokens=False).ids, "<u4")
+            at = np.flatnonzero(ids == self.between) * 4
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *(at + 4).tolist()], [*at.tolist(), len(data)], strict=True)]
+        return out
 
     def encode(self, raw: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by ``end_id``; offsets)."""
-        start, end, words = word_spans(raw, off)
+        if b"<|" not in raw.tobytes():           # special tokens are matched before lower-casing
+            raw = np.where((raw >= 65) & (raw <= 90), raw | 32, raw)
+        start, end, words = word_spans(raw, off, self.CUTS)
         ids, each = self.parts(raw, start, end)
         sums = np.concatenate([[0], np.cumsum(each)])
         per_text = sums[words[1:]] - sums[words[:-1]] + 1

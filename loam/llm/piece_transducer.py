@@ -118,13 +118,22 @@ class Transducer:
                 state = nxt
             self.accepts[state] = i
         self.unknown_cost = UNKNOWN_COST - min((model.scores[i] for i in self.ids.values()), default=0.0)
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         # what each id decodes to
         self.output = [b"" if k in (Model.CONTROL, Model.UNKNOWN) else bytes([int(p[3:5], 16)]) if k == Model.BYTE
                        else p.replace(MARK, " ").encode() for p, k in zip(model.pieces, model.kinds, strict=True)]
         if self.unknown < len(self.output) and not self.fallback:
             self.output[self.unknown] = " ⁇ ".encode()
-        self.encoder = PartEncoder(lambda parts: [self.shortest_path(p) for p in parts])
+        # bytes between which no piece goes on: two ASCII characters that are neighbours in none
+        self.cuts = np.zeros((256, 256), bool)
+        self.cuts[:128, :128] = True
+        for piece in self.ids:
+            plain = piece.replace(MARK, " ") if model.escape else piece
+            for a, b in zip(plain, plain[1:], strict=False):
+                if a < "\x80" and b < "\x80":
+                    self.cuts[ord(a), ord(b)] = False
+        path = self.bpe_path if model.algorithm == BPE else self.shortest_path
+        self.encoder = PartEncoder(lambda parts: [np.array(path(p), "<u4").tobytes() for p in parts])
 
     def merged(self, symbols: list[str]) -> list[str]:
         """What the merges make of symbols: the best-scored neighbours first, the first of equals."""
@@ -141,13 +150,13 @@ class Transducer:
 
     def allowed(self, left: int, right: int) -> bool:
         """Whether piece ``right`` may follow piece ``left`` (-1: a start) in a BPE path."""
-        key = (left, right)
+        key = left << 20 | right
         known = self._pairs.get(key)
         if known is None:
-            want = [self.model.pieces[i] for i in key if i >= 0]
+            want = [self.model.pieces[i] for i in (left, right) if i >= 0]
             known = self.merged(list("".join(want))) == want
             if len(self._pairs) >= PAIRS_KEPT:
-                self._pairs = {}
+                self._pairs.clear()
             self._pairs[key] = known
         return known
 
@@ -198,6 +207,43 @@ class Transducer:
             at, state = before, previous
         return out[::-1]
 
+    def bpe_path(self, part: str) -> list[int]:
+        """:meth:`shortest_path` of a BPE model.  One path of finite cost reaches each place, as one
+        sequence of pieces is what the merges make of the text before it, so a place holds one state."""
+        text = part.replace(" ", MARK) if self.model.escape else part
+        n = len(text)
+        arcs, accepts, pairs, unseen = self.arcs, self.accepts, self._pairs, self.allowed
+        last, before = [None] * (n + 1), [0] * (n + 1)
+        last[0] = -1
+        for i in range(n):
+            left = last[i]
+            if left is None:
+                continue
+            state, j, single = 0, i, False
+            while j < n:
+                state = arcs[state].get(text[j])
+                if state is None:
+                    break
+                j += 1
+                piece = accepts[state]
+                if piece >= 0:
+                    single |= j == i + 1
+                    if last[j] is None:
+                        known = pairs.get(left << 20 | piece)
+                        if unseen(left, piece) if known is None else known:
+                            last[j], before[j] = piece, i
+            if not single and last[i + 1] is None:       # no piece for this character: its bytes
+                last[i + 1], before[i + 1] = -1, i
+        out: list[int] = []
+        while n:
+            if last[n] < 0:
+                data = text[before[n]:n].encode()
+                out += [self.bytes[b] for b in reversed(data)] if self.fallback else [self.unknown]
+            else:
+                out.append(last[n])
+            n = before[n]
+        return out[::-1]
+
     def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts; offsets)."""
         n = np.diff(off)
@@ -205,15 +251,16 @@ class Transducer:
             raw = np.insert(raw, off[:-1][n > 0], 32)
             off = off + np.concatenate([[0], np.cumsum(n > 0)])
         size = raw.size
-        space, line = raw == 32, raw == 10
-        mark = np.zeros(size + 1, bool)          # just after a mark that is in the text itself
+        new = np.zeros(size + 1, bool)
+        new[off] = True
+        # a character follows the mark in pieces only at their start, so marks that are in the text cut nothing
+        new[1:size] |= self.cuts.ravel()[raw[:-1].astype(np.int32) << 8 | raw[1:]]
+        space = raw == 32
+        mark = np.zeros(size + 1, bool)
         if size > 2:
             mark[3:] = (raw[:-2] == 0xE2) & (raw[1:-1] == 0x96) & (raw[2:] == 0x81)
-        new = line.copy()
-        new[1:] |= line[:-1] | (space[1:] & ~space[:-1] & ~mark[1:size])
-        edge = np.zeros(size + 1, bool)
-        edge[off] = True
-        start = np.flatnonzero(new | edge[:size])
+        new[1:size] |= space[1:] & (raw[:-1] >= 128) & ~mark[1:size]
+        start = np.flatnonzero(new[:size])
         end = np.r_[start[1:], size] if start.size else start
         texts = np.searchsorted(start, off)
         ids, each = self.encoder(raw, start, end)
