@@ -28,7 +28,7 @@ from loam.session import scratch_path
 
 FRACTION = 16                 # bits of a quantum behind the point
 WORDS_KEPT = 700_000          # word encodings that a worker remembers; a fuller memory is emptied
-SOURCES = 100_000             # queues that a plan may have; more is an error, as every task holds the plan
+CELLS = 1 << 18               # (round, queue) pairs that are looked at in one go
 
 _TOKENIZERS: dict[str, tuple] = {}
 
@@ -130,27 +130,52 @@ class Plan:
             if rest >> bit & 1:
                 self.edges.append(self.edges[-1] + (1 << bit))
 
-    def sent(self, rounds: np.ndarray) -> np.ndarray:
+    def sent(self, rounds: np.ndarray, queues: slice = slice(None)) -> np.ndarray:
         """Tokens that each queue has sent before each round."""
-        last = -(-(self.totals << FRACTION) // self.quanta)         # rounds after which a queue is empty
-        return np.minimum(self.totals, np.minimum(rounds[:, None], last) * self.quanta >> FRACTION)
+        totals, quanta = self.totals[queues], self.quanta[queues]
+        last = -(-(totals << FRACTION) // quanta)                   # rounds after which a queue is empty
+        return np.minimum(totals, np.minimum(rounds[:, None], last) * quanta >> FRACTION)
+
+    def stream_start(self, rounds: np.ndarray, queue: np.ndarray) -> np.ndarray:
+        """Where each queue's tokens of a round begin in the stream.
+
+        Rounds and queues are taken in blocks of ``CELLS`` pairs, so memory depends on neither's number.
+        """
+        out = np.zeros(rounds.size, np.int64)
+        order = np.argsort(rounds, kind="stable")
+        sorted_rounds = rounds[order]
+        new = np.flatnonzero(np.r_[True, sorted_rounds[1:] != sorted_rounds[:-1]]) if rounds.size else np.zeros(0, np.int64)
+        distinct, ends = sorted_rounds[new], np.r_[new[1:], rounds.size]
+        wide = min(self.totals.size, CELLS)
+        tall = max(1, CELLS // max(wide, 1))
+        for k in range(0, distinct.size, tall):
+            r = distinct[k:k + tall]
+            mine = order[new[k]:ends[k + r.size - 1]]
+            row, q = np.repeat(np.arange(r.size), ends[k:k + r.size] - new[k:k + r.size]), queue[mine]
+            for c in range(0, self.totals.size, wide):
+                before = self.sent(r, slice(c, c + wide))
+                step = self.sent(r + 1, slice(c, c + wide)) - before
+                ahead = np.concatenate([np.zeros((r.size, 1), np.int64), np.cumsum(step, axis=1)], axis=1)
+                out[mine] += before.sum(axis=1)[row] + ahead[row, np.clip(q - c, 0, step.shape[1])]
+        return out
 
     def place(self, queue: np.ndarray, start: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
         """Pieces of texts at ``start`` in their queues: text, start in it, length, window, offset there."""
         w = self.quanta[queue]
         first = -(-((start + 1) << FRACTION) // w) - 1
         last = -(-((start + n) << FRACTION) // w) - 1
-        count = last - first + 1
+        # a queue of less than a token a round: only the rounds that send one, so pieces are no more than tokens
+        slow = w < 1 << FRACTION
+        count = np.where(slow, n, last - first + 1)
         text = np.repeat(np.arange(queue.size), count)
-        r = ranges(first, count)
-        q = queue[text]
-        before, after = self.sent(r), self.sent(r + 1)
-        row = np.arange(r.size)
-        lo = np.maximum(before[row, q], start[text])
-        hi = np.minimum(after[row, q], start[text] + n[text])
-        step = after - before
-        ahead = np.cumsum(step, axis=1) - step                      # sent in this round by queues before
-        pos = before.sum(axis=1) + ahead[row, q] + lo - before[row, q]
+        q, nth = queue[text], ranges(np.zeros_like(count), count)
+        r = np.where(slow[text], -(-((start[text] + nth + 1) << FRACTION) // w[text]) - 1, first[text] + nth)
+        totals, quanta = self.totals[q], self.quanta[q]
+        before = np.minimum(totals, r * quanta >> FRACTION)
+        after = np.minimum(totals, (r + 1) * quanta >> FRACTION)
+        lo = np.maximum(before, start[text])
+        hi = np.minimum(after, start[text] + n[text])
+        pos = self.stream_start(r, q) + lo - before
         size = hi - lo
         keep = size > 0
         text, pos, size, begin = text[keep], pos[keep], size[keep], (lo - start[text])[keep]
@@ -200,20 +225,20 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, t
     tokenize(docs, tokenizer, end_id, text, source).write.option("compression", "zstd").parquet(path)
     rows = spark.read.parquet(path)
     per_part = rows.groupBy("source", "part").agg(F.sum("n").alias("n"))
-    queues = sorted((r["source"], r["n"]) for r in per_part.groupBy("source").agg(F.sum("n").alias("n"))
-                    .limit(SOURCES + 1).collect())
-    if len(queues) > SOURCES:
-        raise ValueError(f"more than {SOURCES} sources: map them to fewer queues first")
-    place = {s: i for i, (s, _) in enumerate(queues)}
+    queues = sorted((r["source"], r["n"]) for r in per_part.groupBy("source").agg(F.sum("n").alias("n")).collect())
     plan = Plan([n for _, n in queues], [targets[s] for s, _ in queues] if targets is not None else None, length)
+    # names stay in a table: tasks hold the plan's numbers only
+    names = spark.createDataFrame(pa.table({"source": pa.array([s for s, _ in queues], pa.string()),
+                                            "queue": pa.array(np.arange(len(queues)))}))
 
     # where each document starts in its queue: parts before, then rows before in its part
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = per_part.select("source", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     within = Window.partitionBy("source", "part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.select("source", "part", "seq", F.coalesce(F.sum("n").over(within), F.lit(0)).alias("ahead"))
-    starts = starts.join(base, ["source", "part"]).select("part", "seq", (F.col("base") + F.col("ahead")).alias("queue_start"))
-    ready = rows.join(starts, ["part", "seq"]).select("doc_id", "source", "n", "ids", "queue_start")
+    starts = starts.join(base.join(names, "source"), ["source", "part"]).select(
+        "part", "seq", "queue", (F.col("base") + F.col("ahead")).alias("queue_start"))
+    ready = rows.join(starts, ["part", "seq"]).select("doc_id", "source", "n", "ids", "queue_start", "queue")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,9 +249,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, t
                     yield pieces(batch.slice(lo, hi - lo))
 
     def pieces(rows: pa.RecordBatch) -> pa.RecordBatch:
-        names, n = rows.column(1).to_pylist(), rows.column(2).to_numpy()
-        queue = np.fromiter((place[s] for s in names), np.int64, len(names))
-        got = plan.place(queue, rows.column(4).to_numpy(), n)
+        n = rows.column(2).to_numpy()
+        got = plan.place(rows.column(5).to_numpy(), rows.column(4).to_numpy(), n)
         blobs, owner = rows.column(3).to_pylist(), got["text"]
         cut = [blobs[t][4 * a:4 * (a + m)] for t, a, m in zip(owner.tolist(), got["start"].tolist(), got["length"].tolist(), strict=True)]
         take = pa.array(owner)

@@ -250,6 +250,47 @@ def test_packing_targets(spark):
     assert sent[4].tolist() == [200, 100, 100]
 
 
+@pytest.mark.parametrize("cells", [1 << 18, 7])
+def test_packing_places(monkeypatch, cells):
+    """Every token's place, against the rounds played one by one; blocks cut rounds and queues anywhere."""
+    from loam.llm import mixture_packing as M
+    monkeypatch.setattr(M, "CELLS", cells)
+    rng = random.Random(3)
+    totals = [rng.randint(1, 400) for _ in range(30)] + [3, 2000]
+    for targets in (None, [rng.random() + 0.01 for _ in totals]):
+        plan = M.Plan(totals, targets, 16)
+        stream, sent, r = {}, [0] * len(totals), 0
+        while sum(sent) < sum(totals):
+            r += 1
+            for s, total in enumerate(totals):
+                now = min(total, r * int(plan.quanta[s]) >> M.FRACTION)
+                for t in range(sent[s], now):
+                    stream[s, t] = len(stream)
+                sent[s] = now
+        docs = [(s, a, min(50, total - a)) for s, total in enumerate(totals) for a in range(0, total, 50)]
+        rng.shuffle(docs)
+        got = plan.place(*(np.array(x, np.int64) for x in zip(*docs, strict=True)))
+        seen = {}
+        for t, a, m, w, o in zip(*(got[c].tolist() for c in ("text", "start", "length", "window", "offset")), strict=True):
+            for j in range(m):
+                seen[docs[t][0], docs[t][1] + a + j] = int(plan._edge(np.array([w]))[0]) + o + j
+        assert seen == stream
+
+
+def test_packing_memory_is_bounded(spark):
+    """A rare source spans millions of rounds, and many sources make wide ones: neither is held at once."""
+    import tracemalloc
+
+    from loam.llm.mixture_packing import Plan
+    for totals in ([1000] + [10**10 // 19] * 19, [10**6] * 500, [1000] * 200_000):
+        plan = Plan(totals, None, 2048)
+        tracemalloc.start()
+        got = plan.place(np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([min(totals[0], 1000)]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got["length"].sum() == min(totals[0], 1000) and peak < 100 << 20
+
+
 def test_chat_round_trip(spark):
     from loam.llm.chat_format import format_turns, parse_turns, read_back, text_part
     turns = [(1, 0, "user", "hi <| <|| <|im_end|>\n<|im_start|>assistant\nno"), (1, 1, "assistant", "yes <"), (1, 1, "assistant", "yes <"),
