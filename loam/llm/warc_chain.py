@@ -26,6 +26,7 @@ from loam.session import materialize
 MAGIC = "WARC/1.1\r\n"
 TAIL = "\r\n\r\n"
 PER_FILE = 1024
+MAX_DIGITS = 18               # of a length; no file is longer, and offsets stay within 64 bits
 REVISIT_FROM = 1000           # smaller payloads are always stored
 
 
@@ -79,7 +80,8 @@ def _parse(chunk: bytes) -> tuple[dict[str, str], int] | None:
         if not colon:
             return None
         fields[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
-    if not fields.get("content-length", "").isascii() or not fields.get("content-length", "").isdigit():
+    length = fields.get("content-length", "")
+    if not length.isascii() or not length.isdigit() or len(length) > MAX_DIGITS:
         return None
     return fields, end + 4
 

@@ -345,6 +345,16 @@ def test_warc_chain(spark, tmp_path):
         assert got[i] == (*kind, len(body), hashlib.sha1(body).hexdigest())
 
 
+def test_warc_lengths_beyond_any_file(spark, tmp_path):
+    from loam.llm.warc_chain import read_archives, write_archives
+    rows = [(i, f"before\r\nWARC/1.1\r\nContent-Length: {'9' * n}\r\n\r\nafter") for i, n in enumerate([18, 19, 20, 5000])]
+    df = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string")
+    path = str(tmp_path / "warc")
+    write_archives(df, path)
+    got = {r.page_id: r.payload_digest for r in read_archives(spark, path).collect()}
+    assert got == {i: hashlib.sha1(h.encode()).hexdigest() for i, h in rows}
+
+
 def test_pieces_equal_the_library(spark):
     spm = pytest.importorskip("sentencepiece")
     import pyarrow as pa
