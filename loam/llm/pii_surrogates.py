@@ -6,9 +6,12 @@ mentions in different formats corefer.  A surrogate of the canonical value is dr
 a keyed hash: letters stay letters of their case and script, digits digits; check digits
 are computed anew, octets stay octets, names keep their gender and script.
 
-Distinctness is checked over the whole corpus: surrogates that two entities share, or
-that are some entity's own value, are drawn again, in rounds of joins, until none is
-left.  Mentions are then rewritten in their own format.
+Distinctness is checked over the whole corpus, on what a text shows (names without the
+gender they were found with): surrogates that two entities share, or that are some
+entity's own value, are drawn again, in rounds of joins, until none is left.  Shapes grow
+by a character every few rounds, so a small space of short values is no end.  A person
+whose mentions tell no gender is the one of that name whose mentions do, if all agree.
+Mentions are then rewritten in their own format.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loam.session import materialize
@@ -45,6 +48,8 @@ _GENDER = {t: g for g, titles in TITLES.items() for t in titles}
 _FEMALE = {n for (g, _), names in NAMES.items() if g == "f" for n in names}
 _MALE = {n for (g, _), names in NAMES.items() if g == "m" for n in names}
 
+WIDEN_AFTER = 8               # rounds after which a surrogate may be one character longer, and again after as many
+
 # Types in order of precedence: a mention that overlaps an earlier type's is dropped.
 PATTERNS = {
     "email": re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@(?:[\w-]{1,63}\.)+[^\W\d_]{2,24}(?![\w-])"),
@@ -157,37 +162,38 @@ class Draw:
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    """A canonical surrogate of a canonical value."""
+    """A canonical surrogate of a canonical value; late attempts are longer, but for IP addresses."""
     draw = Draw(key, f"{kind}|{attempt}|{value}")
+    more = "0" * (attempt // WIDEN_AFTER)
     if kind == "email":
         local, _, domain = value.partition("@")
         names, _, top = domain.rpartition(".")
-        return f"{draw.like(local)}@{draw.like(names)}.{top}"
+        return f"{draw.like(local + more)}@{draw.like(names)}.{top}"
     if kind == "ipv4":
         return ".".join(str(1 + draw.below(223) if k == 0 else draw.below(256)) for k in range(4))
     if kind == "card":
-        body = value[0] + draw.like(value[1:-1])
+        body = value[0] + draw.like(value[1:-1] + more)
         return body + (str(luhn(body)) if luhn(value[:-1]) == int(value[-1]) else draw.like(value[-1]))
     if kind == "phone":
         plus, digits = ("+", value[1:]) if value.startswith("+") else ("", value)
         keep = max(0, len(digits) - 10)          # the country code stays
-        new = draw.like(digits[keep:])
+        new = draw.like(digits[keep:] + more)
         return plus + digits[:keep] + (str(2 + draw.below(8)) + new[1:] if new else "")
     if kind == "iban":
-        body = draw.like(value[4:])
+        body = draw.like(value[4:] + more)
         return value[:2] + _iban_check(value[:2], body) + body
     if kind == "access_key":
         head = re.match(r"AKIA|ASIA|ghp_|gho_|sk-|xox[abp]-", value)[0]
-        return head + draw.like(value[len(head):])
+        return head + draw.like(value[len(head):] + more)
     if kind == "person":
         gender, _, name = value.partition("|")
-        parts = re.split(r"([ -])", name)
+        parts = re.split(r"([ -])", name + name[-1] * len(more))
         script = script_of(name)
         pool = NAMES[gender, script] if gender != "x" else NAMES["f", script] + NAMES["m", script]
         # a given name where there are two or more; family names are made up in the name's shape
         out = [pool[draw.below(len(pool))] if k == 0 and len(parts) > 1 else draw.like(p) for k, p in enumerate(parts)]
         return f"{gender}|{''.join(out)}"
-    return draw.like(value, hexadecimal=bool(re.fullmatch(r"[0-9a-f]+", value)))
+    return draw.like(value + more, hexadecimal=bool(re.fullmatch(r"[0-9a-f]+", value)))
 
 
 def render(kind: str, mention: str, canonical: str) -> str:
@@ -196,10 +202,10 @@ def render(kind: str, mention: str, canonical: str) -> str:
         return canonical.partition("|")[2]
     if kind in ("card", "ssn", "phone"):
         digits = iter(canonical.lstrip("+"))
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join([next(digits) if c.isdigit() else c for c in mention]) + "".join(digits)
     if kind == "iban":
         chars = iter(canonical)
-        return "".join(c if c == " " else next(chars) for c in mention)
+        return "".join([c if c == " " else next(chars) for c in mention]) + "".join(chars)
     if kind == "email":
         if mention.isupper():
             return canonical.upper()
@@ -208,8 +214,23 @@ def render(kind: str, mention: str, canonical: str) -> str:
     return canonical
 
 
+def shown(kind: Column, value: Column) -> Column:
+    """What a text shows of a canonical value: a name without its gender."""
+    return F.when(kind == "person", F.substring(value, 3, 1 << 30)).otherwise(value)
+
+
+def settled(entities: DataFrame) -> DataFrame:
+    """(kind, value, canonical): ``entities``, people without a gender under the only one that their name has elsewhere."""
+    gender, name = F.substring("value", 1, 1), shown(F.col("kind"), F.col("value"))
+    known = entities.filter((F.col("kind") == "person") & (gender != "x")).groupBy(name.alias("_name")).agg(
+        F.min(gender).alias("_g"), F.max(gender).alias("_high")).filter("_g = _high")
+    open_ = entities.filter((F.col("kind") == "person") & (gender == "x")).withColumn("_name", name)
+    same = open_.join(known, "_name").select("kind", "value", F.concat("_g", F.lit("|"), "_name").alias("canonical"))
+    return entities.join(same, ["kind", "value"], "left").select("kind", "value", F.coalesce("canonical", "value").alias("canonical"))
+
+
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
-    """(kind, value, surrogate) for distinct (kind, value), with no surrogate shared or equal to any value.
+    """(kind, value, surrogate) for distinct (kind, value), with no surrogate shown like another or like any value.
 
     Each round draws for the entities still without one; of those that draw the same, the
     first keeps it.  What is taken, by an earlier round or as a real value, is drawn again.
@@ -224,22 +245,23 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         return run
 
     schema = "kind string, value string, surrogate string"
-    real = entities.select("kind", F.col("value").alias("surrogate"))
+    new = shown(F.col("kind"), F.col("surrogate")).alias("shown")
+    real = entities.select("kind", shown(F.col("kind"), F.col("value")).alias("shown"))
     done, todo, attempt = None, entities, 0
     while True:
-        first = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("value"))
-        drawn = todo.mapInArrow(draw(attempt), schema).withColumn("_first", first).filter("_first = 1").drop("_first")
-        free = drawn.join(real, ["kind", "surrogate"], "left_anti")
+        first = F.row_number().over(Window.partitionBy("kind", "shown").orderBy("value"))
+        drawn = todo.mapInArrow(draw(attempt), schema).select("*", new).withColumn("_first", first).filter("_first = 1").drop("_first")
+        free = drawn.join(real, ["kind", "shown"], "left_anti")
         if done is not None:
-            free = free.join(done, ["kind", "surrogate"], "left_anti")
+            free = free.join(done.select("kind", new), ["kind", "shown"], "left_anti")
         free = free.select("kind", "value", "surrogate")
         done = materialize(free if done is None else done.union(free))
         todo = materialize(entities.join(done, ["kind", "value"], "left_anti").select("kind", "value"))
         if todo.isEmpty():
             return done
         attempt += 1
-        if attempt > 200:
-            raise ValueError("no free surrogates are left for some entities")
+        if attempt > 200:         # only IP addresses: all else has long grown
+            raise ValueError("no free surrogates are left for some IP addresses")
 
 
 def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
@@ -261,7 +283,9 @@ def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["_pii_id", "kind", "value"])
 
     mentions = materialize(body.mapInArrow(find, "_pii_id string, kind string, value string").distinct())
-    table = assign(materialize(mentions.select("kind", "value").distinct()), key)
+    entities = materialize(settled(materialize(mentions.select("kind", "value").distinct())))
+    table = assign(materialize(entities.select("kind", F.col("canonical").alias("value")).distinct()), key)
+    table = entities.join(table.withColumnRenamed("value", "canonical"), ["kind", "canonical"]).drop("canonical")
     per_doc = mentions.join(table, ["kind", "value"]).groupBy("_pii_id").agg(
         F.collect_list(F.struct("kind", "value", "surrogate")).alias("_pii_map"))
     names = [c for c in docs.columns if c != "pii_entities"]

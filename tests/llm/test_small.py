@@ -461,6 +461,33 @@ def test_surrogates_stay_distinct(spark):
     assert len(got) == 600 and len(set(new)) == 600 and not set(new) & {r.value for r in got}
 
 
+def test_shown_names_stay_distinct(spark):
+    """More names of two letters than there are such names: none may be shown twice, whatever the gender."""
+    from loam.llm import pii_surrogates as P
+    values = [f"{g}|{a}{b}" for g in "fmx" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "abcdefghijkl"]
+    got = P.assign(spark.createDataFrame([("person", v) for v in values], "kind string, value string"), b"k").collect()
+    new = [r.surrogate[2:] for r in got]
+    assert len(new) == len(values) == len(set(new)) and not set(new) & {v[2:] for v in values}
+    assert all(r.surrogate[0] == r.value[0] for r in got)
+
+
+def test_a_space_of_one_is_widened(spark):
+    from loam.llm.pii_surrogates import replace_entities
+    rows = [(1, "password=********"), (2, "password=!!!!!!!!")]
+    one, two = (r.text for r in replace_entities(frame(spark, rows), b"k").orderBy("doc_id").collect())
+    assert one != rows[0][1] and two != rows[1][1] and one != two
+
+
+def test_people_without_a_gender_are_settled(spark):
+    from loam.llm.pii_surrogates import replace_entities
+    rows = [(1, "Dr Robin Weber met Mr Robin Weber"), (2, "Dr Li, Mr Li and Mrs Li"), (3, "Prof Kim Solo")]
+    by = {r.doc_id: r.text for r in replace_entities(frame(spark, rows), b"k").collect()}
+    first, second = by[1][3:].split(" met Mr ")
+    assert first == second != "Robin Weber"
+    names = re.findall(r"(?:Dr|Mr|Mrs) (\w+)", by[2])
+    assert len(set(names)) == 3 and "Li" not in names
+
+
 @pytest.mark.parametrize("name", ["op1_chat_format", "op2_suffix_grouping", "op3_pii_surrogates", "op4_warc_chain", "op5_mixture_packing",
                                   "op6_line_quality", "op7_simhash_pivot", "op8_fm_index", "op9_piece_transducer", "op10_norm_bucket_topk"])
 def test_empty_tables(spark, tmp_path, name):
