@@ -83,6 +83,33 @@ def _iban_check(country: str, body: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+def _holds(kind: str, mention: str) -> bool:
+    """Whether the check digits of a card or account number are right."""
+    if kind == "card":
+        digits = re.sub(r"\D", "", mention)
+        return luhn(digits[:-1]) == int(digits[-1])
+    value = mention.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
+
+
+def _checked(kind: str, text: str) -> Iterator[tuple[int, int, re.Match]]:
+    """(start, end, match) of numbers whose check digits hold.
+
+    An account number's match may have taken in words after it, so it is also tried without its
+    last groups; where nothing holds, the search goes on just behind the match's start.
+    """
+    at = 0
+    while m := PATTERNS[kind].search(text, at):
+        a, b = m.span()
+        ends = [b]
+        if kind == "iban":
+            ends += [a + k for k in range(b - a - 1, 0, -1) if text[a + k] == " " and len(text[a:a + k].replace(" ", "")) >= 15]
+        end = next((e for e in ends if _holds(kind, text[a:e])), None)
+        if end is not None:
+            yield a, end, m
+        at = a + 1 if end is None else end
+
+
 def script_of(text: str) -> str:
     for c in text:
         if c.isalpha():
@@ -105,8 +132,9 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         run.append("person")
     found: list[tuple[int, int, str, str]] = []
     for kind in run:
-        for m in PATTERNS[kind].finditer(text):
-            a, b = m.span(1) if m.lastindex else m.span()
+        spans = _checked(kind, text) if kind in ("card", "iban") else (
+            (*(m.span(1) if m.lastindex else m.span()), m) for m in PATTERNS[kind].finditer(text))
+        for a, b, m in spans:
             if any(x < b and a < y for x, y, _, _ in found):
                 continue
             value = text[a:b]
@@ -173,7 +201,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return ".".join(str(1 + draw.below(223) if k == 0 else draw.below(256)) for k in range(4))
     if kind == "card":
         body = value[0] + draw.like(value[1:-1] + more)
-        return body + (str(luhn(body)) if luhn(value[:-1]) == int(value[-1]) else draw.like(value[-1]))
+        return body + str(luhn(body))
     if kind == "phone":
         plus, digits = ("+", value[1:]) if value.startswith("+") else ("", value)
         keep = max(0, len(digits) - 10)          # the country code stays

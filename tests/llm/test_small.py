@@ -488,6 +488,16 @@ def test_people_without_a_gender_are_settled(spark):
     assert len(set(names)) == 3 and "Li" not in names
 
 
+def test_numbers_without_right_check_digits_stay(spark):
+    from loam.llm.pii_surrogates import detect, replace_entities
+    plain = ["order 4111111111111112 of 3000 4000 5000 6001", "no 5500-0000-0000-0005 here", "part DE88 3704 0044 0532 0130 00"]
+    out = replace_entities(frame(spark, list(enumerate(plain))), b"k").orderBy("doc_id").collect()
+    assert [r.text for r in out] == plain and not any(r.pii_entities for r in out)
+    assert [v[2:] for v in detect("3100 4111 1111 1111 1111")] == [("card", "4111111111111111")]
+    assert [v[2:] for v in detect("to DE89 3704 0044 0532 0130 00 BANK OF XY12 GB82 WEST 1234 5698 7654 32.")] == [
+        ("iban", "DE89370400440532013000"), ("iban", "GB82WEST12345698765432")]
+
+
 @pytest.mark.parametrize("name", ["op1_chat_format", "op2_suffix_grouping", "op3_pii_surrogates", "op4_warc_chain", "op5_mixture_packing",
                                   "op6_line_quality", "op7_simhash_pivot", "op8_fm_index", "op9_piece_transducer", "op10_norm_bucket_topk"])
 def test_empty_tables(spark, tmp_path, name):
