@@ -292,33 +292,44 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
             raise ValueError("no free surrogates are left for some IP addresses")
 
 
-def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
-    """``docs`` with entities in ``text`` replaced, and ``pii_entities`` (kind, start, end in the new text) added.
+def row_key(text: str) -> list[Column]:
+    """A row's id and its text's hash: rows that share an id, or have none, share no entities (if two hashes
+    were equal, both rows would only know more entities than they need)."""
+    return [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_pii_id"), F.xxhash64(F.col(text)).alias("_pii_text")]
 
-    A null text stays null, a text without entities as it is.  Rows that repeat a doc_id or
-    have none are rewritten each by itself; an empty table gives an empty one; other
-    columns pass through, but for one that bears the added name, which is replaced.
-    """
-    if not key:
-        raise ValueError("a key is needed")
-    body = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_pii_id"), F.col(text).alias("text"))
+
+def entity_maps(docs: DataFrame, key: bytes, text: str) -> DataFrame:
+    """(_pii_id, _pii_text, _pii_map): each row's entities with their surrogates, by :func:`row_key`."""
+    body = docs.select(*row_key(text), F.col(text).alias("text"))
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            seen = {(i, kind, value): None for i, t in zip(*(c.to_pylist() for c in rows.columns), strict=True) if t
+            seen = {(i, h, kind, value): None for i, h, t in zip(*(c.to_pylist() for c in rows.columns), strict=True) if t
                     for _, _, kind, value in detect(t)}
-            cols = list(zip(*seen, strict=True)) or [[], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cols], names=["_pii_id", "kind", "value"])
+            i, h, kind, value = list(zip(*seen, strict=True)) or [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.string()), pa.array(h, pa.int64()), pa.array(kind, pa.string()),
+                                              pa.array(value, pa.string())], names=["_pii_id", "_pii_text", "kind", "value"])
 
-    mentions = materialize(body.mapInArrow(find, "_pii_id string, kind string, value string").distinct())
+    mentions = materialize(body.mapInArrow(find, "_pii_id string, _pii_text long, kind string, value string").distinct())
     entities = materialize(settled(materialize(mentions.select("kind", "value").distinct())))
     table = assign(materialize(entities.select("kind", F.col("canonical").alias("value")).distinct()), key)
     table = entities.join(table.withColumnRenamed("value", "canonical"), ["kind", "canonical"]).drop("canonical")
-    per_doc = mentions.join(table, ["kind", "value"]).groupBy("_pii_id").agg(
+    return mentions.join(table, ["kind", "value"]).groupBy("_pii_id", "_pii_text").agg(
         F.collect_list(F.struct("kind", "value", "surrogate")).alias("_pii_map"))
+
+
+def replace_entities(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
+    """``docs`` with entities in ``text`` replaced, and ``pii_entities`` (kind, start, end in the new text) added.
+
+    A null text stays null, a text without entities as it is.  Rows that repeat a doc_id or
+    have none are rewritten each by itself; an empty table gives an empty one; other
+    columns pass through, but for one that bears the added name, which is replaced.
+    """
+    if not key:
+        raise ValueError("a key is needed")
     names = [c for c in docs.columns if c != "pii_entities"]
-    joined = docs.select(*names, F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_pii_id")).join(
-        per_doc, "_pii_id", "left").select(*names, "_pii_map")
+    joined = docs.select(*names, *row_key(text)).join(entity_maps(docs, key, text), ["_pii_id", "_pii_text"], "left").select(
+        *names, "_pii_map")
 
     def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:

@@ -498,6 +498,15 @@ def test_numbers_without_right_check_digits_stay(spark):
         ("iban", "DE89370400440532013000"), ("iban", "GB82WEST12345698765432")]
 
 
+def test_rows_of_one_id_share_no_entities(spark):
+    from loam.llm.pii_surrogates import entity_maps, replace_entities
+    rows = [(i, f"mail to user{k}@host{k}.example.org") for i in (None, 7) for k in range(40)] * 2
+    df = frame(spark, rows)
+    assert [len(r._pii_map) for r in entity_maps(df, b"k", "text").collect()] == [1] * 80
+    out = [(r.doc_id, r.text) for r in replace_entities(df, b"k").collect()]
+    assert len(out) == 160 and len(set(out)) == 80 and not {t for _, t in out} & {t for _, t in rows}
+
+
 @pytest.mark.parametrize("name", ["op1_chat_format", "op2_suffix_grouping", "op3_pii_surrogates", "op4_warc_chain", "op5_mixture_packing",
                                   "op6_line_quality", "op7_simhash_pivot", "op8_fm_index", "op9_piece_transducer", "op10_norm_bucket_topk"])
 def test_empty_tables(spark, tmp_path, name):
