@@ -11,7 +11,8 @@ are counted, and one of them, with its count, stands for all: a group of copies
 as much as one text after that.  An operator's shard function gets whole anchor groups
 of distinct records, a bounded number of units at a time.
 
-Hashes have 64 bits, a record's identity 128.
+Hashes have 64 bits, a record's identity 128.  Rows that share a doc_id but not a text, or
+have none, are told apart by a hash of 64 bits (see :func:`tagged`).
 """
 
 from __future__ import annotations
@@ -24,11 +25,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from loam.llm.common import BYTE_VALUE, U64, SpanHash, mix, sliding_min, text_chunks, word_hashes, word_spans
+from loam.session import materialize
 
-TAG_BITS = 14
+NO_ID = -(1 << 63)            # stands for a null doc_id
+SHARED_IDS = 1_000_000        # doc_ids with several texts: so many are sent to all tasks, more are joined by a shuffle
 ANCHOR_BITS = 48              # records are only brought together by anchors; more bits would only travel
 
 
@@ -86,28 +89,35 @@ def anchor_records(hashes: np.ndarray, texts: np.ndarray, units: Units) -> Recor
     return Records(owner[first], gram[a], content, a, first, last)
 
 
-def pack_place(tag: np.ndarray, at: np.ndarray, before: np.ndarray, more: np.ndarray) -> np.ndarray:
-    """Tag, anchor position, windows before the anchor, windows after the first: one long."""
-    return (tag.astype(np.int64) << 50) | (at.astype(np.int64) << 18) | (before << 9) | more
+def pack_place(at: np.ndarray, before: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Anchor position, windows before the anchor, windows after the first: one long."""
+    return (at.astype(np.int64) << 18) | (before << 9) | more
 
 
-def place_fields(place: Column) -> tuple[Column, Column, Column]:
-    """(tag, first window, last window) of a packed place."""
-    at = F.shiftrightunsigned(place, 18).bitwiseAND(F.lit((1 << 32) - 1))
-    first = at - F.shiftrightunsigned(place, 9).bitwiseAND(F.lit(511))
-    return F.shiftrightunsigned(place, 50).cast("int"), first, first + place.bitwiseAND(F.lit(511))
+def first_window(place: Column) -> Column:
+    """The first window of a packed place."""
+    return F.shiftrightunsigned(place, 18) - F.shiftrightunsigned(place, 9).bitwiseAND(F.lit(511))
 
 
 def tagged(docs: DataFrame, text: str, rest: list[str] | None = None) -> DataFrame:
-    """(doc_id, tag, text, rest); the tag, of the text's hash, tells rows apart that share a doc_id.
+    """(doc_id, tag, text, rest); doc_id and tag are a row's identity.
 
+    The tag is the text's 64-bit hash where a doc_id is null or has several texts, and 0, which
+    costs next to nothing on its way through shuffles, where the doc_id does by itself.
     ``rest``: names of other columns, which go along in a struct, so that no name can clash.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    tag = F.shiftrightunsigned(F.xxhash64(body), 64 - TAG_BITS).cast("int")
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
-                       F.coalesce(tag, F.lit(0)).alias("tag"), body.alias("text"),
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    rows = docs.select(doc_id.alias("doc_id"), F.xxhash64(body).alias("hash"), body.alias("text"),
                        F.struct(*(rest or [F.lit(0).alias("none")])).alias("rest"))
+    shared = materialize(rows.filter(F.col("doc_id") != NO_ID).groupBy("doc_id").agg(
+        F.min("hash").alias("_low"), F.max("hash").alias("_high")).filter("_low <> _high").select(F.col("doc_id").alias("_id")))
+    own, n = F.col("doc_id") == NO_ID, shared.count()
+    if n:
+        rows = rows.join(F.broadcast(shared) if n <= SHARED_IDS else shared, F.col("doc_id") == F.col("_id"), "left")
+        own = own | F.col("_id").isNotNull()
+    tag = F.coalesce(F.when(own, F.col("hash")), F.lit(0).cast("long"))
+    return rows.select("doc_id", tag.alias("tag"), "text", "rest")
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -125,7 +135,7 @@ def packed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), both], names=["doc_id", "tag", "packed"])
 
     kind = StructType([StructField("text", BinaryType(), False), StructField("rest", rest, True)])
-    return docs.mapInArrow(run, _never_null(doc_id=LongType(), tag=IntegerType(), packed=kind))
+    return docs.mapInArrow(run, _never_null(doc_id=LongType(), tag=LongType(), packed=kind))
 
 
 def unpacked(batches: Iterable[pa.RecordBatch], max_bytes: int = 1 << 20
@@ -145,7 +155,7 @@ def unpacked(batches: Iterable[pa.RecordBatch], max_bytes: int = 1 << 20
 
 
 def all_records(docs: DataFrame, units: Units) -> DataFrame:
-    """(anchor, content, doc_id, place) of every anchor record of ``tagged`` documents."""
+    """(anchor, content, doc_id, tag, place) of every anchor record of ``tagged`` documents."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, off in text_chunks(batches):
             ids, tags = rows.column(0).to_numpy(), rows.column(1).to_numpy()
@@ -154,11 +164,11 @@ def all_records(docs: DataFrame, units: Units) -> DataFrame:
             local = r.at - texts[r.text]
             yield pa.RecordBatch.from_arrays(
                 [pa.array((r.anchor >> U64(64 - ANCHOR_BITS)).astype(np.int64)), pa.array(r.content.view(np.int64)), pa.array(ids[r.text]),
-                 pa.array(pack_place(tags[r.text], local, r.at - r.first, r.last - r.first))],
-                names=["anchor", "content", "doc_id", "place"])
+                 pa.array(tags[r.text]), pa.array(pack_place(local, r.at - r.first, r.last - r.first))],
+                names=["anchor", "content", "doc_id", "tag", "place"])
 
     return docs.select("doc_id", "tag", "text").mapInArrow(run, _never_null(
-        anchor=LongType(), content=LongType(), doc_id=LongType(), place=LongType()))
+        anchor=LongType(), content=LongType(), doc_id=LongType(), tag=LongType(), place=LongType()))
 
 
 def repeated_spans(docs: DataFrame, small: DataFrame, units: Units, other_document: bool, shard: Callable,
@@ -181,9 +191,9 @@ def repeated_spans(docs: DataFrame, small: DataFrame, units: Units, other_docume
         alive = records.withColumn("_n", F.count("*").over(same_anchor)).filter("_n > 1").drop("_n")
 
     distinct = alive.groupBy("anchor", "content").agg(
-        F.min(F.struct("doc_id", "place")).alias("one"), F.max("doc_id").alias("high"), F.count("*").alias("copies"))
-    wanted = distinct.select("one.doc_id", "one.place", "anchor", "content", "high", "copies")
-    wanted = wanted.withColumn("tag", place_fields(F.col("place"))[0]).groupBy("doc_id", "tag").agg(
+        F.min(F.struct("doc_id", "tag", "place")).alias("one"), F.max("doc_id").alias("high"), F.count("*").alias("copies"))
+    wanted = distinct.select("one.doc_id", "one.tag", "one.place", "anchor", "content", "high", "copies")
+    wanted = wanted.groupBy("doc_id", "tag").agg(
         F.collect_list(F.struct("place", "anchor", "content", "high", "copies")).alias("wanted"))
 
     def take(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,10 +255,10 @@ def repeated_spans(docs: DataFrame, small: DataFrame, units: Units, other_docume
     grouped = bodies.repartition("anchor").sortWithinPartitions("anchor", "content")
     found = grouped.mapInArrow(search, "anchor long, content long, a long, b long, low long")
     found = found.select(F.col("anchor").alias("_a"), F.col("content").alias("_c"), "a", "b", "low")
-    tag, first, _ = place_fields(F.col("place"))
+    first = first_window(F.col("place"))
     hit = alive.join(found, (F.col("anchor") == F.col("_a")) & (F.col("content") == F.col("_c")))
     hit = hit.filter(F.col("low").isNull() | (F.col("low") < F.col("doc_id")))
-    return hit.select("doc_id", tag.alias("tag"), F.struct((first + F.col("a")).alias("a"), (first + F.col("b")).alias("b")).alias("span")
+    return hit.select("doc_id", "tag", F.struct((first + F.col("a")).alias("a"), (first + F.col("b")).alias("b")).alias("span")
                       ).groupBy("doc_id", "tag").agg(F.collect_list("span").alias("spans"))
 
 
@@ -262,4 +272,4 @@ def covered(spans, n: int, width: int) -> np.ndarray:
 
 
 def original_id(c: Column) -> Column:
-    return F.when(c != F.lit(-(1 << 63)), c)
+    return F.when(c != F.lit(NO_ID), c)

@@ -128,6 +128,23 @@ def test_repeated_words(spark, width):
     assert Counter(got) == Counter(kept_words(texts(), width))
 
 
+@pytest.mark.parametrize("repeated", [None, 7])
+def test_many_texts_under_one_id(spark, repeated):
+    """700 texts of one id, half of which have one passage: each loses its own words and bytes only."""
+    from loam.llm.fm_index import remove_repeated_words
+    from loam.llm.suffix_grouping import remove_repeated_bytes
+    rng = random.Random(8)
+    prose = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    passage = prose(40)
+    rows = [(repeated, prose(rng.randint(1, 60)) + (" " + passage if k % 2 else "") + " " + prose(rng.randint(1, 60))) for k in range(700)]
+    rows += [(-5 if repeated is not None else 3, passage), (9, rows[0][1])]
+    order = [(-(1 << 63) if i is None else i, t) for i, t in rows]
+    got = Counter((-(1 << 63) if r[0] is None else r[0], *r[1:]) for r in remove_repeated_words(frame(spark, rows)).collect())
+    assert got == Counter(kept_words(order, 13))
+    got = Counter((*r[:4], bytes(r.kept)) for r in remove_repeated_bytes(frame(spark, rows), width=90).collect())
+    assert got == Counter(kept_bytes(rows, 90))
+
+
 def test_shards_of_any_size_agree(spark):
     from loam.llm.fm_index import remove_repeated_words
     a, b = (Counter(map(tuple, remove_repeated_words(frame(spark, texts()), shard_bytes=n).collect())) for n in (1, 8 << 20))
