@@ -11,12 +11,18 @@ are counted, and one of them, with its count, stands for all: a group of copies
 as much as one text after that.  An operator's shard function gets whole anchor groups
 of distinct records, a bounded number of units at a time.
 
+A group that is too large for one shard (a passage in very many surroundings) is divided on
+the task's disk: its windows by how many units they have before the anchor, in halves, and
+within a half by the hash of the units that all windows of the half have in common.  Equal
+windows stay together; pieces that are equal become one, and those that are alone go.
+
 Hashes have 64 bits, a record's identity 128.  Rows that share a doc_id but not a text, or
 have none, are told apart by a hash of 64 bits (see :func:`tagged`).
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -27,9 +33,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from loam.llm.common import BYTE_VALUE, U64, SpanHash, mix, sliding_min, text_chunks, word_hashes, word_spans
+from loam.llm.common import BYTE_VALUE, U64, SpanHash, mix, ranges, sliding_min, text_chunks, word_hashes, word_spans
 from loam.session import materialize
 
+HOT = 4                       # an anchor's records of more than so many shards are divided
+FAN = 16                      # files that a half of them is dealt to
 NO_ID = -(1 << 63)            # stands for a null doc_id
 SHARED_IDS = 1_000_000        # doc_ids with several texts: so many are sent to all tasks, more are joined by a shuffle
 ANCHOR_BITS = 48              # records are only brought together by anchors; more bits would only travel
@@ -171,6 +179,127 @@ def all_records(docs: DataFrame, units: Units) -> DataFrame:
         anchor=LongType(), content=LongType(), doc_id=LongType(), tag=LongType(), place=LongType()))
 
 
+class Spill:
+    """Records in an unnamed file of the task, read as often as wanted."""
+
+    def __init__(self):
+        self._file = self._writer = None
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        if rows.num_rows:
+            if self._file is None:
+                self._file = tempfile.TemporaryFile()
+                self._writer = pa.ipc.new_stream(self._file, rows.schema)
+            self._writer.write_batch(rows)
+
+    def read(self) -> Iterator[pa.RecordBatch]:
+        if self._file is not None:
+            if self._writer is not None:          # once: closing writes an end mark where the file stands
+                self._writer.close()
+                self._writer = None
+            self._file.seek(0)
+            yield from pa.ipc.open_stream(self._file)
+
+    def close(self) -> None:
+        if self._file is not None:
+            self._file.close()
+        self._file = self._writer = None
+
+
+def cut_records(rows: pa.RecordBatch, units: Units, lo: int, hi: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The records' windows with lo <= units before the anchor < hi, and the hash of what all such windows share.
+
+    A piece has a name by its units, as a record's content is one."""
+    before, windows, shift = (rows.column(c).to_numpy() for c in ("before", "windows", "shift"))
+    a, b = np.maximum(0, before - hi + 1), np.minimum(windows - 1, before - lo)
+    ok = np.flatnonzero(a <= b)
+    body = rows.column("body").cast(pa.large_binary())
+    off = np.frombuffer(body.buffers()[1], np.int64)[body.offset:body.offset + len(body) + 1]
+    raw = np.frombuffer(body.buffers()[2], np.uint8)[off[0]:off[-1]]
+    hashes, start, end, texts = units.split(raw, off - off[0])
+    a, b, before, first = a[ok], b[ok], before[ok], texts[ok]
+    spans = SpanHash(hashes)
+    key = spans(first + before - lo, first + before - hi + 1 + units.width)
+    name = mix(spans(first + a, first + b + units.width) ^ (before - a).astype(U64) * U64(0x9E3779B97F4A7C15))
+    data = raw.tobytes()
+    cut = [data[x:y] for x, y in zip(start[first + a].tolist(), end[first + b + units.width - 1].tolist(), strict=True)]
+    new = {"before": pa.array(before - a), "windows": pa.array(b - a + 1), "shift": pa.array(shift[ok] + a),
+           "body": pa.array(cut, pa.binary()), "name": pa.array(name.view(np.int64)), "key": pa.array(key.view(np.int64))}
+    kept = rows.take(pa.array(ok))
+    names = [c for c in rows.schema.names if c != "key"] + ["key"]
+    return pa.RecordBatch.from_arrays([new[c] if c in new else kept.column(c) for c in names], names=names), key
+
+
+def repeated_keys(group: Spill) -> np.ndarray:
+    """Keys of two copies or more, in order; a window of any other key is nowhere else."""
+    keys, copies = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for rows in group.read():
+        keys, where = np.unique(np.concatenate([keys, rows.column("key").to_numpy()]), return_inverse=True)
+        total = np.zeros(keys.size, np.int64)
+        np.add.at(total, where, np.concatenate([copies, rows.column("copies").to_numpy()]))
+        copies = total
+    return keys[copies > 1]
+
+
+def divided(group: Spill, units: Units, shard: Callable, limit: int, lo: int, hi: int, depth: int = 0) -> Iterator[pa.RecordBatch]:
+    """What ``shard`` finds in the windows of a group with lo <= units before the anchor < hi, holding
+    distinct records of about ``limit`` bytes at a time."""
+    alive = repeated_keys(group) if depth else None
+    if alive is not None and not alive.size:
+        return
+
+    def parts() -> Iterator[pa.RecordBatch]:
+        for rows in group.read():
+            yield rows if alive is None else rows.filter(pa.array(np.isin(rows.column("key").to_numpy(), alive)))
+
+    # equal pieces are one
+    number: dict[int, int] = {}
+    ones: list[list] = []
+    size, fits = 0, True
+    for rows in parts():
+        cols = [rows.column(c).to_pylist() for c in ("low", "high", "copies", "before", "windows", "body")]
+        for name, low, high, copies, *rest in zip(rows.column("name").to_pylist(), *cols, strict=True):
+            k = number.setdefault(name, len(ones))
+            if k == len(ones):
+                ones.append([low, high, copies, *rest])
+                size += len(rest[-1]) + 64
+            else:
+                one = ones[k]
+                one[0], one[1], one[2] = min(one[0], low), max(one[1], high), one[2] + copies
+        fits = size <= limit or len(ones) < 2
+        if not fits:
+            break
+    if fits:
+        if ones:
+            *cols, body = zip(*ones, strict=True)
+            cols = dict(zip(("low", "high", "copies", "before", "windows"), (np.array(c, np.int64) for c in cols), strict=True))
+            found, a, b, low = shard(cols, pa.array(body, pa.binary()))
+            order, each = np.argsort(found, kind="stable"), np.bincount(found, minlength=len(ones))
+            first, low = np.cumsum(each) - each, pa.array(low, pa.int64())
+            for rows in parts():
+                k = np.fromiter((number[x] for x in rows.column("name").to_pylist()), np.int64, rows.num_rows)
+                owner, got = np.repeat(np.arange(k.size), each[k]), order[ranges(first[k], each[k])]
+                shift = rows.column("shift").to_numpy()[owner]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("anchor").take(pa.array(owner)), rows.column("content").take(pa.array(owner)),
+                     pa.array(a[got] + shift), pa.array(b[got] + shift), low.take(pa.array(got))],
+                    names=["anchor", "content", "a", "b", "low"])
+        return
+    del number, ones
+    middle = (lo + hi) // 2
+    for x, y in [(lo, hi)] if hi - lo == 1 else [(lo, middle), (middle, hi)]:
+        files = [Spill() for _ in range(FAN)]
+        for rows in parts():
+            if rows.num_rows:
+                piece, key = cut_records(rows, units, x, y)
+                to = mix(key + U64(depth)) % U64(FAN)
+                for k in np.unique(to).tolist():
+                    files[k].add(piece.filter(pa.array(to == k)))
+        for file in files:
+            yield from divided(file, units, shard, limit, x, y, depth + 1)
+            file.close()
+
+
 def repeated_spans(docs: DataFrame, small: DataFrame, units: Units, other_document: bool, shard: Callable,
                    shard_bytes: int) -> DataFrame:
     """(doc_id, tag, spans): windows [a, b] of a ``tagged`` document that a shard function has found.
@@ -235,9 +364,24 @@ def repeated_spans(docs: DataFrame, small: DataFrame, units: Units, other_docume
                     yield batch.slice(i, j - i)
                     i = j
 
+        def divide(group: Spill) -> Iterator[pa.RecordBatch]:
+            yield from divided(group, units, shard, HOT * shard_bytes, 0, units.width - units.gram + 1)
+            group.close()
+
+        def shifted(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.zeros(batch.num_rows, np.int64)), batch.column(1)],
+                                              names=[*batch.schema.names, "shift", "name"])
+
         held: list[pa.RecordBatch] = []
-        size = 0
+        size, hot = 0, None
         for batch in pieces(batches):
+            if hot is not None:                                      # an anchor's group that is too large
+                same = int(np.searchsorted(batch.column(0).to_numpy(), anchor, side="right"))
+                hot.add(shifted(batch.slice(0, same)))
+                if same == batch.num_rows:
+                    continue
+                yield from divide(hot)
+                hot, batch = None, batch.slice(same)
             held.append(batch)
             size += batch.column(7).nbytes
             if size < shard_bytes:
@@ -249,6 +393,13 @@ def repeated_spans(docs: DataFrame, small: DataFrame, units: Units, other_docume
                 yield emit(rows.slice(0, cut))
             held = rows.slice(cut).to_batches()
             size = sum(x.column(7).nbytes for x in held)
+            if size > HOT * shard_bytes:
+                hot, anchor = Spill(), keys[-1]
+                for x in held:
+                    hot.add(shifted(x))
+                held, size = [], 0
+        if hot is not None:
+            yield from divide(hot)
         if held:
             yield emit(pa.Table.from_batches(held))
 

@@ -151,6 +151,37 @@ def test_shards_of_any_size_agree(spark):
     assert a == b
 
 
+def surroundings():
+    """One passage in 300 different surroundings, some of which come twice."""
+    rng = random.Random(9)
+    prose = lambda n: " ".join(str(rng.randrange(10**6)) for _ in range(n))
+    passage, left, right = prose(40), prose(9), prose(9)
+    rows = [(k, (prose(9) if k % 5 else left) + " " + passage + " " + (prose(9) if k % 7 else right)) for k in range(300)]
+    return rows + [(300, passage), (301, rows[1][1])]
+
+
+@pytest.mark.parametrize("shard_bytes", [300, 3000])
+def test_a_passage_in_many_surroundings(spark, monkeypatch, shard_bytes):
+    """No shard gets more than a few times its bytes, whatever an anchor's group has, and results stay."""
+    from loam.llm import fm_index, suffix_grouping
+    def bounded(make):
+        def make_bounded(width):
+            shard = make(width)
+
+            def run(cols, body):
+                assert len(body) == 1 or sum(map(len, body.to_pylist())) <= 8 * shard_bytes
+                return shard(cols, body)
+            return run
+        return make_bounded
+    for module in (fm_index, suffix_grouping):
+        monkeypatch.setattr(module, "find_repeats", bounded(module.find_repeats))
+    rows = surroundings()
+    got = fm_index.remove_repeated_words(frame(spark, rows), shard_bytes=shard_bytes).collect()
+    assert Counter(map(tuple, got)) == Counter(kept_words(rows, 13))
+    got = suffix_grouping.remove_repeated_bytes(frame(spark, rows), width=90, shard_bytes=shard_bytes).collect()
+    assert Counter((*r[:4], bytes(r.kept)) for r in got) == Counter(kept_bytes(rows, 90))
+
+
 def kept_bytes(rows, width):
     count = Counter()
     data = [(t or "").encode() for _, t in rows]
