@@ -24,8 +24,8 @@ from loam.llm.mixture_packing import pack
 from loam.llm.pii_surrogates import replace_entities
 from loam.llm.queries import SURROGATE_KEY, table, tokenizer_path
 from loam.llm.shipping import ship_package
-from loam.llm.simhash_pivot import simhash_components
-from loam.session import scratch_path
+from loam.llm.simhash_pivot import fingerprints, simhash_members
+from loam.session import materialize, scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -41,16 +41,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component; of rows that repeat its doc_id, one."""
+    """One document of each near-duplicate component; of rows that repeat its doc_id in it, one.
+
+    Rows of one doc_id may be in several components: each is judged by its own.
+    """
     ship_package(spark)
-    groups = simhash_components(docs.select("doc_id", "text"))
+    groups = simhash_members(docs.select("doc_id", "text"))
+    mixed = materialize(groups.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("doc_id"))
+    rest = [c for c in COLUMNS if c != "doc_id"]
     # a document that stays is its component's; rows without an id stay, as nothing tells which is first
     gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     again = groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    several = not mixed.isEmpty()
+    if several:
+        # their rows' components by their texts: text's hash -> fingerprint -> component
+        rows = docs.join(mixed, "doc_id", "left_semi").withColumn("_text", F.xxhash64("text"))
+        prints = fingerprints(rows.select(F.col("_text").alias("doc_id"), "text")).distinct().withColumnRenamed("doc_id", "_text")
+        own = groups.join(mixed, "doc_id", "left_semi").select("fingerprint", "component_id", "root").distinct()
+        first = rows.join(prints, "_text").join(own, "fingerprint").filter("doc_id = component_id").groupBy("doc_id", "root").agg(
+            F.min(F.struct(*rest)).alias("row")).select("doc_id", "row.*")
+        docs = docs.join(mixed, "doc_id", "left_anti")
     left = docs.join(gone, "doc_id", "left_anti")
     once = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min(F.struct(*[c for c in COLUMNS if c != "doc_id"])).alias("row")).select("doc_id", "row.*")
-    return _documents(left.join(again, "doc_id", "left_anti").select(*COLUMNS).union(once.select(*COLUMNS)))
+        F.min(F.struct(*rest)).alias("row")).select("doc_id", "row.*")
+    out = left.join(again, "doc_id", "left_anti").select(*COLUMNS).union(once.select(*COLUMNS))
+    return _documents(out.union(first.select(*COLUMNS)) if several else out)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -197,11 +197,16 @@ def simhash_components(docs: DataFrame, text: str = "text", shingle: int = 3, ma
     if it has no other (then it is null).  Repeated rows come out as often as they
     came in; other columns are not read.
     """
+    return simhash_members(docs, text, shingle, max_bits).drop("root")
+
+
+def simhash_members(docs: DataFrame, text: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """:func:`simhash_components` with the component's ``root``, which tells components apart that share an id."""
     prints = materialize(fingerprints(docs, text, shingle))
     nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("low"))
     parts = connected_components(near_links(nodes.select("fingerprint"), max_bits))
     member = nodes.join(parts, nodes["fingerprint"] == parts["node"], "left").select(
         "fingerprint", "low", F.coalesce("root", "fingerprint").alias("root"))
     lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = member.join(lowest, "root").select(F.col("fingerprint").alias("_fp"), "component_id")
-    return prints.join(named, F.col("fingerprint") == F.col("_fp")).select("doc_id", "fingerprint", "component_id")
+    named = member.join(lowest, "root").select(F.col("fingerprint").alias("_fp"), "component_id", "root")
+    return prints.join(named, F.col("fingerprint") == F.col("_fp")).select("doc_id", "fingerprint", "component_id", "root")

@@ -60,6 +60,15 @@ def test_simhash_stage(stages):
     assert all(r.text == text[r.doc_id] for r in after)
 
 
+def test_simhash_rows_of_one_id(spark):
+    """Each component keeps a row, also where rows of one id are in several components."""
+    one, two, three = (PLANTED[k][1] for k in (0, 3, 4))
+    rows = [(1, one), (5, one), (5, two), (6, two), (7, three), (7, PLANTED[1][1]), (7, three), (8, three), (None, "no id at all"), (9, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r.doc_id, r.text) for r in P.simhash_dedup(spark, df, "").collect())
+    assert got == Counter([(1, one), (5, two), (7, three), (7, PLANTED[1][1]), (None, "no id at all"), (9, None)])
+
+
 def test_substring_stage(stages):
     before, after = stages[0][2], stages[0][3]
     want = {i: (n, k) for i, _, n, k in kept_words([(r.doc_id, r.text) for r in before], 13)}
