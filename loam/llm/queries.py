@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loam.llm.chat_format import format_turns, read_back, text_part
+from loam.llm.filter_audit import filter_audit
 from loam.llm.fm_index import remove_repeated_words
 from loam.llm.line_quality import line_quality
 from loam.llm.mixture_packing import pack
@@ -17,6 +18,7 @@ from loam.llm.piece_transducer import encode_documents
 from loam.llm.shipping import ship_package
 from loam.llm.simhash_pivot import simhash_components
 from loam.llm.suffix_grouping import remove_repeated_bytes
+from loam.llm.url_boosting import url_verdicts
 from loam.llm.warc_chain import read_archives, write_archives
 from loam.session import load_table, scratch_path
 
@@ -93,6 +95,15 @@ def op10_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(table(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return filter_audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+def op13_url_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -109,6 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fm_index": op8_fm_index,
     "op9_piece_transducer": op9_piece_transducer,
     "op10_norm_bucket_topk": op10_norm_bucket_topk,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_url_boosting": op13_url_boosting,
     "pipeline": pipeline,
 }
 
@@ -145,4 +158,39 @@ p AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_filter_audit": r"""
+WITH RECURSIVE l(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o(filter_order, applied) AS (
+  SELECT '', 0 UNION ALL SELECT filter_order || letter, applied | bit FROM o, l WHERE applied & bit = 0),
+t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM t),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+          FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, (CASE WHEN len(words) < 50 THEN 1 ELSE 0 END)
+       + (CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END)
+       + (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END)
+       + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+       + (CASE WHEN w.doc_id > first_id THEN 16 ELSE 0 END) AS mask,
+       coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM w LEFT JOIN marks ON w.doc_id = marks.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+s AS (
+  SELECT filter_order, i AS step, l.letter, l.bit,
+         list_sum(list_transform(range(1, i), lambda j: 1 << (ascii(filter_order[j]) - 65))) AS before
+  FROM o, range(1, 6) r(i), l WHERE length(filter_order) = 5 AND l.letter = filter_order[i]),
+r AS (
+  SELECT part, filter_order, step, letter,
+         sum(CASE WHEN mask & bit <> 0 AND mask & coalesce(before, 0) = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & (bit | coalesce(before, 0)) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & bit <> 0 AND mask & coalesce(before, 0) <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & bit <> 0 AND mask & coalesce(before, 0) = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & bit <> 0 AND mask & coalesce(before, 0) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM s, c GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM r""",
 }
