@@ -88,14 +88,15 @@ def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text",
             i = j
 
 
-def word_spans(raw: np.ndarray, off: np.ndarray, cut: np.ndarray | None = None
+def word_spans(raw: np.ndarray, off: np.ndarray, cut: np.ndarray | None = None, space: np.ndarray = _SPACE
                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and ``len(off)`` offsets of the texts in word counts.
 
-    ``cut``, a 256 x 256 table, says between which bytes of a word it is cut in two.
+    ``cut``, a 256 x 256 table, says between which bytes of a word it is cut in two; ``space`` says
+    which bytes part words.
     """
     n = raw.size
-    space = _SPACE[raw]
+    space = space[raw]
     edge = np.zeros(n + 1, bool)
     edge[off] = True
     part = edge[1:n]

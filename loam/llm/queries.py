@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loam.llm.chat_format import format_turns, read_back, text_part
 from loam.llm.filter_audit import filter_audit
 from loam.llm.fm_index import remove_repeated_words
+from loam.llm.geometric_blocks import rank_documents
 from loam.llm.line_quality import line_quality
 from loam.llm.mixture_packing import pack
 from loam.llm.norm_bucket_topk import top_products
@@ -100,6 +101,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
 
 
+def op12_geometric_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rank_documents(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op13_url_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages").select("page_id", "url"))
 
@@ -121,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_piece_transducer": op9_piece_transducer,
     "op10_norm_bucket_topk": op10_norm_bucket_topk,
     "op11_filter_audit": op11_filter_audit,
+    "op12_geometric_blocks": op12_geometric_blocks,
     "op13_url_boosting": op13_url_boosting,
     "pipeline": pipeline,
 }
@@ -193,4 +200,18 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
        CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
        CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
 FROM r""",
+    "op12_geometric_blocks": r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms, row_number() OVER () AS r FROM documents),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+c AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM t WHERE len(terms) > 0),
+x AS (SELECT r, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM t),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM x WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term, n_docs),
+s AS (SELECT item_id, r, doc_id,
+             CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_terms))))) AS BIGINT) AS score
+      FROM q JOIN p USING (term) JOIN w USING (term), c GROUP BY item_id, r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10""",
 }
