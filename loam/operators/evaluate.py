@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loam.operators.ranking import prefix_sums
+from loam.operators.ranking import group_prefix_sums, prefix_sums
 
 
 def _c(c: str | Column) -> Column:
@@ -104,6 +104,37 @@ def sliced_metrics(df: DataFrame, slice_cols: Sequence[str], metrics: Mapping[st
         *[expr.alias(name) for name, expr in metrics.items()])
 
 
+def sliced_auroc(df: DataFrame, label: str, score: str, slice_cols: Sequence[str]) -> DataFrame:
+    """Exact ROC AUC overall and for every value of each slice column: (slice_col, slice_value, auc, n_pos, n_neg).
+
+    Rows collapse to one per slice and distinct score; ranks are prefix sums that restart at the slices' borders, so
+    a slice with most of the rows is spread over many tasks.  Ties have average ranks; a slice of one class has a
+    null AUC; rows with a null label or score do not count, a null slice value is a slice of its own.
+    """
+    tags = [F.struct(F.lit("Overall").alias("slice_col"), F.lit("").alias("slice_value"))]
+    tags += [F.struct(F.lit(c).alias("slice_col"), F.col(c).cast("string").alias("slice_value")) for c in slice_cols]
+    held = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+    tagged = held.select(F.col(label).cast("long").alias("_y"), F.col(score).cast("double").alias("_s"), F.inline(F.array(*tags)))
+    per = tagged.groupBy("slice_col", "slice_value", "_s").agg(F.sum("_y").alias("_pos"), F.count(F.lit(1)).alias("_cnt"))
+    cum = group_prefix_sums(per, ["slice_col", "slice_value"], [F.col("_s")], ["_cnt"], inclusive=False, suffix="_below")
+    # twice the average rank is a whole number, so sums are exact and do not depend on their order
+    twice = F.col("_pos") * (2 * F.col("_cnt_below") + F.col("_cnt") + 1)
+    tot = cum.groupBy("slice_col", "slice_value").agg(
+        F.sum(twice.cast("decimal(38,0)")).alias("_r2"), F.sum("_pos").alias("n_pos"), (F.sum("_cnt") - F.sum("_pos")).alias("n_neg"))
+    pos, neg = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
+    auc = (F.col("_r2").cast("double") - pos * (pos + 1)) / (2.0 * pos * neg)
+    return tot.select("slice_col", "slice_value", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), auc).alias("auc"), "n_pos", "n_neg")
+
+
+def error_by_horizon(df: DataFrame, h: str, y: str, yhat: str) -> DataFrame:
+    """(h, rmse, mae, n): errors over the first h steps of all forecasts, for every h; unknown values do not count."""
+    r = F.col(y).cast("double") - F.col(yhat).cast("double")
+    g = df.filter(r.isNotNull()).groupBy(h).agg(F.sum(r * r).alias("_sse"), F.sum(F.abs(r)).alias("_sae"), F.count(F.lit(1)).alias("_n"))
+    c = prefix_sums(g, [F.col(h)], ["_sse", "_sae", "_n"], inclusive=True)
+    return c.select(h, F.sqrt(F.col("_sse_cum") / F.col("_n_cum")).alias("rmse"), (F.col("_sae_cum") / F.col("_n_cum")).alias("mae"),
+                    F.col("_n_cum").cast("long").alias("n"))
+
+
 def metrics_by_split_column(df: DataFrame, split: str, y: str, yhat: str | Column) -> DataFrame:
     """Train/valid/test metric table from ONE scan carrying a split column."""
     return regression_metrics(df, y, yhat, by=[split])

@@ -20,7 +20,9 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.operators.ranking import group_row_number, halo_blocks
+from loam.functions import linalg as L
+from loam.functions.numeric import decimal_ratio
+from loam.operators.ranking import group_row_number, halo_blocks, join_side_table
 
 
 def assemble(df: DataFrame, inputs: Sequence[str], out: str = "features") -> DataFrame:
@@ -79,7 +81,10 @@ def pca(df: DataFrame, k: int, features: str = "features", out: str = "pca") ->
 
 def text_grid_search(df: DataFrame, text: str, label: str, reg_params: Sequence[float],
                      num_features: Sequence[int], folds: int = 5, seed: int = 42, parallelism: int = 4):
-    """Tokenize -> hashed tf -> idf -> logistic regression; k-fold CV over a param grid."""
+    """Tokenize -> hashed tf -> idf -> logistic regression; k-fold CV over a param grid.
+
+    Returns (model, rows): the model fitted on all rows with the best parameters (``bestModel``), and
+    every grid point with its mean score; ``best`` marks the one of the model."""
     # the tokenizer has no parameters and learns nothing: run it once, outside the folds
     words = Tokenizer(inputCol=text, outputCol="_words").transform(df).select("_words", label)
     words = words.persist()
@@ -93,8 +98,9 @@ def text_grid_search(df: DataFrame, text: str, label: str, reg_params: Sequence[
     model = cv.fit(words)
     words.unpersist()
     rows = []
-    for pm, metric in zip(grid, model.avgMetrics):
-        rows.append({p.name: v for p, v in pm.items()} | {"auc": float(metric)})
+    top = max(range(len(grid)), key=lambda i: model.avgMetrics[i])
+    for i, (pm, metric) in enumerate(zip(grid, model.avgMetrics)):
+        rows.append({p.name: v for p, v in pm.items()} | {"auc": float(metric), "best": i == top})
     return model, rows
 
 
@@ -133,6 +139,66 @@ def ar_forecast(series: DataFrame, keys: Sequence[str], order_cols: Sequence[str
         *keys, (F.col("_h") + 1).alias("h"), "forecast")
 
 
+def _lagged(ranked: DataFrame, keys: Sequence[str], value: str, p: int) -> tuple[DataFrame, list[str]]:
+    """``ranked`` (numbered by ``t``) with the ``p`` values before each, over halo blocks."""
+    lags = [f"_lag{k}" for k in range(1, p + 1)]
+    h = halo_blocks(ranked, "t", before=p, after=0)
+    w = Window.partitionBy(*keys, "_lm_blk").orderBy("t")
+    return h.select("*", *[F.lag(value, k).over(w).alias(c) for k, c in enumerate(lags, 1)]).filter("_lm_own").drop("_lm_own", "_lm_blk"), lags
+
+
+def ar_fit_by_series(ranked: DataFrame, keys: Sequence[str], value: str, p: int, penalty: float = 0.0) -> DataFrame:
+    """(keys..., n, b0, b): an AR(p) model of every series, by its own normal equations.
+
+    ``ranked`` has positions ``t`` from 1.  A series is reduced to one vector of moments, summed map-side, so a
+    series with a third of the rows is no group in memory; the systems are solved in array expressions.
+    ``penalty`` is a ridge on the lag coefficients (of the mean squared error).  Rows with a null among value and
+    lags do not count; a series without a whole row has no model.  A lag that the others span has coefficient 0.
+    """
+    keys = list(keys)
+    h, lags = _lagged(ranked, keys, value, p)
+    m = h.groupBy(*keys).agg(L.moments([F.col(c) for c in [*lags, value]]).alias("m")).filter("m.n > 0")
+    fit = m.select(*keys, F.col("m.n").alias("n"), L.ridge_fit(F.col("m"), list(range(p)), p, F.lit(float(penalty))).alias("fit"))
+    return fit.select(*keys, "n", "fit.b0", "fit.b")
+
+
+def ar_forecast_by_series(series: DataFrame, keys: Sequence[str], order_cols: Sequence[str | Column], value: str,
+                          p: int, horizon: int, penalty: float = 0.0, train_fraction: float | None = None) -> DataFrame:
+    """One AR(p) model a series and its forecasts: (keys..., h, forecast), and ``actual`` with ``train_fraction``.
+
+    With ``train_fraction`` the models see the first floor(fraction * n) values of each series only, forecasts start
+    behind them, and ``actual`` is the value at that place (null behind the end).  The recursion runs over the last
+    p values as a native aggregate.  Series with fewer than p values to start from, or without a model, are left out.
+    """
+    keys = list(keys)
+    ranked = group_row_number(series, keys, order_cols, out="t", size_col="_n")
+    if train_fraction is not None:
+        num, den = decimal_ratio(float(train_fraction))
+        ranked = ranked.withColumn("_cut", F.floor(F.col("_n") * num / den))
+    else:
+        ranked = ranked.withColumn("_cut", F.col("_n"))
+    seen = ranked.filter(F.col("t") <= F.col("_cut"))
+    models = ar_fit_by_series(seen.select(*keys, "t", value), keys, value, p, penalty)
+    tail = seen.filter(F.col("t") > F.col("_cut") - p).groupBy(*keys).agg(           # the last p values, newest first
+        F.sort_array(F.collect_list(F.struct("t", F.col(value).cast("double").alias("v"))), asc=False).alias("_tail")).filter(F.size("_tail") == p)
+    last = F.transform("_tail", lambda s: s["v"])
+
+    def step(acc, _):
+        y = F.col("b0") + L.dot(F.col("b"), acc["last"])
+        return F.transform(F.array(y), lambda x: F.struct(
+            F.concat(F.array(x), F.slice(acc["last"], 1, p - 1)).alias("last"), F.concat(acc["out"], F.array(x)).alias("out")))[0]
+
+    start = F.struct(last.alias("last"), F.array().cast("array<double>").alias("out"))
+    out = join_side_table(tail, models, keys).select(
+        *keys, F.posexplode(F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda acc: acc["out"])).alias("_h", "forecast"))
+    out = out.select(*keys, (F.col("_h") + 1).alias("h"), "forecast")
+    if train_fraction is None:
+        return out
+    truth = ranked.filter((F.col("t") > F.col("_cut")) & (F.col("t") <= F.col("_cut") + horizon)).select(
+        *keys, (F.col("t") - F.col("_cut")).cast("int").alias("h"), F.col(value).cast("double").alias("actual"))
+    return out.join(truth, [*keys, "h"], "left")
+
+
 def regression_rmse(pred: DataFrame, label: str, prediction: str = "prediction") -> float:
     return RegressionEvaluator(labelCol=label, predictionCol=prediction, metricName="rmse").evaluate(pred)
 

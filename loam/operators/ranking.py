@@ -134,6 +134,28 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str | Column], values: Seque
     return res.drop(*drop)
 
 
+def group_prefix_sums(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str | Column], values: Sequence[str],
+                      inclusive: bool = True, suffix: str = "_cum", totals: bool = False) -> DataFrame:
+    """Running sums of ``values`` within each group of ``keys``, restarting at the groups' borders (skew-safe).
+
+    One global sort deals a large group over many partitions.  Each (partition, group) piece gets the sums of the
+    group's pieces before it, from a window over at most as many rows as partitions the group spans, and within
+    the piece a running sum over a part of one range partition.  With ``totals``, ``<value>_total`` is the group's sum.
+    """
+    keys = list(keys)
+    s = indexed_sort(df, [F.col(k) for k in keys] + list(_cols(order_cols)))
+    pieces = s.groupBy(PID, *keys).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(f"_lm_p_{v}") for v in values])
+    before = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    cols = [F.coalesce(F.sum(f"_lm_p_{v}").over(before), F.lit(0)).alias(f"_lm_o_{v}") for v in values]
+    if totals:
+        cols += [F.sum(f"_lm_p_{v}").over(Window.partitionBy(*keys)).alias(f"{v}_total") for v in values]
+    res = join_side_table(s, pieces.select(PID, *keys, *cols), [PID, *keys])
+    w = Window.partitionBy(PID, *keys).orderBy(MID).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    for v in values:
+        res = res.withColumn(v + suffix, F.col(f"_lm_o_{v}") + F.coalesce(F.sum(v).over(w), F.lit(0)))
+    return res.drop(PID, MID, *[f"_lm_o_{v}" for v in values])
+
+
 def halo_blocks(df: DataFrame, rn: str, before: int, after: int, block: int = 4096) -> DataFrame:
     """Cut each group's rows (numbered by ``rn``, 1-based) into blocks of ``block`` rows.
 
@@ -164,19 +186,7 @@ def halo_blocks(df: DataFrame, rn: str, before: int, after: int, block: int = 40
     return out
 
 
-# Above this many rows a top-k merge (k rows from every partition into one task) is
-# replaced by the distributed row number.
-TAKE_ORDERED_LIMIT = 10_000
-
-
 def limit_ordered(df: DataFrame, order_cols: Sequence[str | Column], n: int, rank_col: str | None = None) -> DataFrame:
-    """First ``n`` rows of a total order.
-
-    Small ``n``: ``orderBy().limit()`` (TakeOrdered: each partition keeps n rows,
-    one task merges them).  Large ``n``: distributed global row number + filter,
-    so no task ever receives n rows from every partition.
-    """
-    if n <= TAKE_ORDERED_LIMIT and rank_col is None:
-        return df.orderBy(*_cols(order_cols)).limit(n)
+    """First ``n`` rows of a total order, by the distributed row number: no task receives n rows from every partition."""
     r = global_row_number(df, order_cols, out="_lm_lrn").filter(F.col("_lm_lrn") <= n)
     return r.withColumnRenamed("_lm_lrn", rank_col) if rank_col else r.drop("_lm_lrn")

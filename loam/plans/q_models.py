@@ -126,7 +126,7 @@ def grid_search_cv(spark, sf):
     f = _doc_features(spark, sf)
     _, rows = M.text_grid_search(f, "text", "label", reg_params=[0.01, 0.1], num_features=[256, 1024], folds=5)
     # one row per grid point: bounded by the grid size
-    return spark.createDataFrame(rows, "regParam double, numFeatures int, auc double")
+    return spark.createDataFrame(rows, "regParam double, numFeatures int, auc double, best boolean")
 
 
 # A parameter sweep file: group__name columns; a blank keeps the default.
