@@ -112,7 +112,7 @@ def ranked(rows, items, k=10):
 
 
 def items_of(rows):
-    texts = [t for _, _, t in rows if t]
+    texts = [t for _, _, t in rows if t and t.split()]
     return [(0, " ".join(texts[0].split()[:12])), (1, texts[-4]), (2, None), (3, "no-such unknownterm"), (4, "ONE # two"), (None, "one"),
             (5, " ".join(t.split()[0] for t in texts[:20])), (5, "one"), (6, texts[6][:40]), (7, texts[4])]
 
