@@ -55,6 +55,15 @@ class Units:
     width: int
     gram: int
 
+    def __post_init__(self):
+        if self.width >= 1 << 16:
+            raise ValueError(f"windows of {self.width} units: at most {(1 << 16) - 1}")
+
+    @property
+    def bits(self) -> int:
+        """Bits of a window's place in its record."""
+        return max(9, self.width.bit_length())
+
     def split(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(unit hashes, unit starts, unit ends, texts' offsets in units)."""
         if not self.words:
@@ -97,14 +106,14 @@ def anchor_records(hashes: np.ndarray, texts: np.ndarray, units: Units) -> Recor
     return Records(owner[first], gram[a], content, a, first, last)
 
 
-def pack_place(at: np.ndarray, before: np.ndarray, more: np.ndarray) -> np.ndarray:
-    """Anchor position, windows before the anchor, windows after the first: one long."""
-    return (at.astype(np.int64) << 18) | (before << 9) | more
+def pack_place(at: np.ndarray, before: np.ndarray, more: np.ndarray, bits: int) -> np.ndarray:
+    """Anchor position, windows before the anchor, windows after the first (``bits`` each): one long."""
+    return (at.astype(np.int64) << 2 * bits) | (before << bits) | more
 
 
-def first_window(place: Column) -> Column:
+def first_window(place: Column, bits: int) -> Column:
     """The first window of a packed place."""
-    return F.shiftrightunsigned(place, 18) - F.shiftrightunsigned(place, 9).bitwiseAND(F.lit(511))
+    return F.shiftrightunsigned(place, 2 * bits) - F.shiftrightunsigned(place, bits).bitwiseAND(F.lit((1 << bits) - 1))
 
 
 def tagged(docs: DataFrame, text: str, rest: list[str] | None = None) -> DataFrame:
@@ -172,7 +181,7 @@ def all_records(docs: DataFrame, units: Units) -> DataFrame:
             local = r.at - texts[r.text]
             yield pa.RecordBatch.from_arrays(
                 [pa.array((r.anchor >> U64(64 - ANCHOR_BITS)).astype(np.int64)), pa.array(r.content.view(np.int64)), pa.array(ids[r.text]),
-                 pa.array(tags[r.text]), pa.array(pack_place(local, r.at - r.first, r.last - r.first))],
+                 pa.array(tags[r.text]), pa.array(pack_place(local, r.at - r.first, r.last - r.first, units.bits))],
                 names=["anchor", "content", "doc_id", "tag", "place"])
 
     return docs.select("doc_id", "tag", "text").mapInArrow(run, _never_null(
@@ -332,8 +341,9 @@ def repeated_spans(docs: DataFrame, small: DataFrame, units: Units, other_docume
             flat, count = wants.flatten(), np.diff(wants.offsets.to_numpy())
             owner = np.repeat(np.arange(rows.num_rows), count)
             place = flat.field("place").to_numpy()
-            at = ((place >> 18) & ((1 << 32) - 1)) + texts[owner]
-            before, more = (place >> 9) & 511, place & 511
+            most = (1 << units.bits) - 1
+            at = ((place >> 2 * units.bits) & ((1 << 32) - 1)) + texts[owner]
+            before, more = (place >> units.bits) & most, place & most
             lo, hi = start[at - before], end[at - before + more + units.width - 1]
             data = raw.tobytes()
             yield pa.RecordBatch.from_arrays(
@@ -406,7 +416,7 @@ def repeated_spans(docs: DataFrame, small: DataFrame, units: Units, other_docume
     grouped = bodies.repartition("anchor").sortWithinPartitions("anchor", "content")
     found = grouped.mapInArrow(search, "anchor long, content long, a long, b long, low long")
     found = found.select(F.col("anchor").alias("_a"), F.col("content").alias("_c"), "a", "b", "low")
-    first = first_window(F.col("place"))
+    first = first_window(F.col("place"), units.bits)
     hit = alive.join(found, (F.col("anchor") == F.col("_a")) & (F.col("content") == F.col("_c")))
     hit = hit.filter(F.col("low").isNull() | (F.col("low") < F.col("doc_id")))
     return hit.select("doc_id", "tag", F.struct((first + F.col("a")).alias("a"), (first + F.col("b")).alias("b")).alias("span")

@@ -156,8 +156,10 @@ def reachable(chain: DataFrame) -> DataFrame:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Verified records: page_id, record_type, refers_to, payload_bytes, payload_digest.
 
-    A revisit's payload is that of the response that it refers to.  Archives without
-    records give no rows; repeated records come out as often as they were written.
+    A revisit's payload is that of the response that it refers to and whose digest it names:
+    a page_id may have several responses.  A revisit whose response is not in the archives
+    has the digest that it names and no size.  Archives without records give no rows;
+    repeated records come out as often as they were written.
     """
     found = materialize(candidates(spark, path))
     real = reachable(found)
@@ -182,10 +184,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     ident = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     rec = kept.join(joined, ["file", "off"], "left").select(
         ident("record_id").alias("page_id"), F.col("type").alias("record_type"), ident("refers_to").alias("refers_to"),
-        F.col("size").alias("stored"), F.coalesce("sha1", "joined_sha1").alias("sha1"))
-    stored = rec.filter("record_type = 'response'").groupBy(F.col("page_id").alias("_p")).agg(
-        F.max(F.struct("stored", "sha1")).alias("full"))
-    revisits = rec.filter("record_type = 'revisit'").join(stored, F.col("refers_to") == F.col("_p"))
+        F.col("size").alias("stored"), F.coalesce("sha1", "joined_sha1").alias("sha1"),
+        F.regexp_extract("digest", "^sha1:(.*)$", 1).alias("named"))
+    stored = rec.filter("record_type = 'response'").groupBy(F.col("page_id").alias("_p"), F.col("sha1").alias("_s")).agg(
+        F.max("stored").alias("full"))
+    revisits = rec.filter("record_type = 'revisit'").join(
+        stored, (F.col("refers_to") == F.col("_p")) & (F.col("named") == F.col("_s")), "left")
     return rec.filter("record_type = 'response'").select(
         "page_id", F.col("stored").alias("payload_bytes"), F.col("sha1").alias("payload_digest"), "record_type",
-        "refers_to").union(revisits.select("page_id", "full.stored", "full.sha1", "record_type", "refers_to"))
+        "refers_to").union(revisits.select("page_id", "full", "named", "record_type", "refers_to"))

@@ -393,6 +393,40 @@ def test_warc_chain(spark, tmp_path):
         assert got[i] == (*kind, len(body), hashlib.sha1(body).hexdigest())
 
 
+def test_warc_revisits_of_repeated_ids(spark, tmp_path):
+    """A page_id with several payloads: a revisit is of the payload that it had itself."""
+    from loam.llm.warc_chain import read_archives, write_archives
+    a, b = "a" * 1500, "b" * 4000
+    rows = [(5, a), (5, b), (3, a), (2, b), (5, a), (1, "a" * 999)]
+    path = str(tmp_path / "warc")
+    write_archives(spark.createDataFrame([(i, "u", t) for i, t in rows], "page_id long, url string, html string"), path)
+    got = sorted(tuple(r) for r in read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.coalesce("refers_to", F.lit(-1))).collect())
+    expected = [(i, len(t), hashlib.sha1(t.encode()).hexdigest(), *(("response", -1) if i in (1, 5) else ("revisit", 5))) for i, t in rows]
+    assert got == sorted(expected)
+
+
+@pytest.mark.parametrize("width", [511, 600, 1500])
+def test_wide_windows(spark, width):
+    """Widths whose places need more than nine bits."""
+    from loam.llm.suffix_grouping import remove_repeated_bytes
+    rng = random.Random(width)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = prose(width + 100)
+    rows = [(1, prose(900) + shared + prose(50)), (2, prose(30) + shared), (3, prose(width)), (4, shared[:width - 1])]
+    got = {r.doc_id: r.n_removed for r in remove_repeated_bytes(
+        spark.createDataFrame(rows, "doc_id long, text string"), width=width).collect()}
+    texts = dict(rows)
+    for i, t in rows:
+        gone = set()
+        for p in range(len(t) - width + 1):
+            if sum(u.startswith(t[p:p + width], q) for u in texts.values() for q in range(len(u) - width + 1)) > 1:
+                gone.update(range(p, p + width))
+        assert got[i] == len(gone)
+    with pytest.raises(ValueError):
+        remove_repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string"), width=1 << 16)
+
+
 def test_warc_lengths_beyond_any_file(spark, tmp_path):
     from loam.llm.warc_chain import read_archives, write_archives
     rows = [(i, f"before\r\nWARC/1.1\r\nContent-Length: {'9' * n}\r\n\r\nafter") for i, n in enumerate([18, 19, 20, 5000])]
