@@ -203,9 +203,12 @@ def remove_repeated_words(docs: DataFrame, text: str = "text", width: int = 13,
     return out.select(original_id(F.col("doc_id")).alias("doc_id"), "n_words", "n_removed", "kept")
 
 
-def keep_unrepeated_words(docs: DataFrame, width: int = 13, shard_bytes: int = 4 << 20) -> DataFrame:
+def keep_unrepeated_words(docs: DataFrame, width: int = 13, shard_bytes: int = 1 << 20) -> DataFrame:
     """``docs`` with ``text`` cleared of repeated passages as by :func:`remove_repeated_words`; a text that loses
-    nothing keeps its own white space.  Null texts become empty."""
+    nothing keeps its own white space.  Null texts become empty.
+
+    A shard takes some 40 bytes of memory for each of its own while it is searched; shards are smaller here, as
+    workers that have run other stages hold the memory of these."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = tagged(docs, "text", rest)
     out = _without_repeats(rows, width, shard_bytes, True)
