@@ -2,18 +2,24 @@
 
 Each source is a queue of its documents' tokens.  A round credits every queue with
 its quantum, a fixed-point number of tokens in proportion to its target; the queue
-sends the whole tokens of its credit and carries the fraction, the deficit, to the
-next round.  Windows of ``length`` tokens are cut from the stream that the rounds
-make, so every window is full and holds each source's share to within a token or so.
-
-After n rounds queue s has sent ``min(total_s, n * quantum_s)`` tokens, deficits
-included, whoever computes it: a task that knows where its documents lie in their
-queues knows their rounds, windows and offsets.  So deficits are carried across
-windows and partitions without any task waiting for another.
+sends what its credit allows and carries the rest, the deficit, to the next round.
+A queue whose quantum is at least a packet sends whole tokens; a smaller one sends
+whole packets only, every so many rounds, so that many sources don't cut documents
+into single tokens.  Small queues start with staggered deficits, so that they don't
+all send in the same rounds.  Windows of ``length`` tokens are cut from the stream that
+the rounds make, so every window is full; large sources have their share of each to
+within a few tokens, small ones of every few windows to within a packet.
+
+After n rounds queue s has sent ``min(total_s, n * quantum_s + deficit_s)`` tokens, in
+whole tokens or packets, whoever computes it: a task that knows where its documents lie
+in their queues knows their rounds, windows and offsets.  So deficits are carried across
+windows and partitions without any task waiting for another.  Documents are sorted by
+how far on in their queues they are, so that a task looks at few rounds.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterable, Iterator
@@ -27,7 +33,8 @@ from loam.llm.common import PartEncoder, ranges, text_chunks, word_spans
 from loam.session import scratch_path
 
 FRACTION = 16                 # bits of a quantum behind the point
-WORDS_KEPT = 700_000          # word encodings that a worker remembers; a fuller memory is emptied
+PACKETS = 16                  # packets in a window, at most: what a small queue sends at a time
+WORDS_KEPT = 500_000          # word encodings that a worker remembers; a fuller memory is emptied
 CELLS = 1 << 18               # (round, queue) pairs that are looked at in one go
 
 _TOKENIZERS: dict[str, tuple] = {}
@@ -58,10 +65,38 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.between = self.tokenizer.token_to_id(self.BETWEEN)
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.ends = None                 # which ids end a word, where the vocabulary says so
+        if suffix:
+            self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.parts = PartEncoder(self.encode_words, WORDS_KEPT)
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word, as little-endian bytes."""
+        """Ids of each word, as little-endian bytes.
+
+        A word of letters has at least one end, as the tokenizer splits between letters and others. So where ids
+        tell ends, such words are encoded with blanks between them, and if there are as many ends as words, each
+        has one. Other words, and these if the ends don't tally, have a special token between.
+        """
+        if self.ends is None:
+            return self._encode_apart(words)
+        out: list[bytes | None] = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if w.isalpha()]
+        for k in range(0, len(plain), 1000):
+            mine = plain[k:k + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([words[i] for i in mine])], add_special_tokens=False)[0].ids, "<u4")
+            at = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if at.size == len(mine) and at[-1] == ids.nbytes:
+                data, a = ids.tobytes(), 0
+                for i, b in zip(mine, at.tolist(), strict=True):
+                    out[i], a = data[a:b], b
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self._encode_apart([words[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
+    def _encode_apart(self, words: list[str]) -> list[bytes]:
         if self.between is None or any(self.BETWEEN in w for w in words):
             return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         out: list[bytes] = []
@@ -95,27 +130,30 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int, text: str, source: str) -> DataFrame:
-    """(doc_id, source, n, ids, part, seq): part and seq number the rows as the tasks made them."""
+    """(doc_id, source, n, ids, part, ahead): the task that made the row, the source's tokens before it there."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        part, seq, encoder = TaskContext.get().partitionId(), 0, word_encoder(tokenizer)
+        part, encoder = TaskContext.get().partitionId(), word_encoder(tokenizer)
+        sent: dict[str, int] = {}
         for rows, raw, off in text_chunks(batches):
             ids, at = encoder.encode(raw, off, end_id)
-            n = rows.num_rows
+            n, ahead = rows.num_rows, []
+            for name, size in zip(rows.column(1).to_pylist(), np.diff(at).tolist(), strict=True):
+                ahead.append(sent.get(name, 0))
+                sent[name] = ahead[-1] + size
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0).cast(pa.int64()), rows.column(1).cast(pa.string()), pa.array(np.diff(at)),
                  pa.array([ids[at[i]:at[i + 1]].tobytes() for i in range(n)], pa.binary()),
-                 pa.array(np.full(n, part, np.int32)), pa.array(np.arange(seq, seq + n))],
-                names=["doc_id", "source", "n", "ids", "part", "seq"])
-            seq += n
+                 pa.array(np.full(n, part, np.int32)), pa.array(ahead, pa.int64())],
+                names=["doc_id", "source", "n", "ids", "part", "ahead"])
 
     slim = docs.select("doc_id", F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
                        F.col(text).alias("text"))
-    return slim.mapInArrow(run, "doc_id long, source string, n long, ids binary, part int, seq long")
+    return slim.mapInArrow(run, "doc_id long, source string, n long, ids binary, part int, ahead long")
 
 
 class Plan:
-    """Who sends what when: totals and quanta of the queues, in their order."""
+    """Who sends what when: totals, quanta, units and first deficits of the queues, in their order."""
 
     def __init__(self, totals: list[int], targets: list[float] | None, length: int):
         self.length = length
@@ -124,6 +162,11 @@ class Plan:
         share = np.array(targets if targets is not None else totals, np.float64)
         share = share / max(share.sum(), 1e-300)
         self.quanta = np.maximum(1, np.round(share * length * (1 << FRACTION))).astype(np.int64)
+        # small queues send packets of 2**bits tokens, and start with deficits of different parts of one
+        bits = max(1, length // PACKETS).bit_length() - 1
+        self.small = self.quanta < 1 << FRACTION + bits
+        self.bits = np.where(self.small, bits, 0)
+        self.deficit = np.where(self.small, (np.arange(self.quanta.size) * 40503 & (1 << FRACTION) - 1) << bits, 0)
         full = self.total // length * length
         rest, self.edges = self.total - full, [full]
         for bit in reversed(range(rest.bit_length())):        # what is left: windows of powers of two
@@ -132,9 +175,17 @@ class Plan:
 
     def sent(self, rounds: np.ndarray, queues: slice = slice(None)) -> np.ndarray:
         """Tokens that each queue has sent before each round."""
-        totals, quanta = self.totals[queues], self.quanta[queues]
-        last = -(-(totals << FRACTION) // quanta)                   # rounds after which a queue is empty
-        return np.minimum(totals, np.minimum(rounds[:, None], last) * quanta >> FRACTION)
+        return self._sent(rounds[:, None], self.totals[queues], self.quanta[queues], self.bits[queues], self.deficit[queues])
+
+    @staticmethod
+    def _sent(rounds, totals, quanta, bits, deficit) -> np.ndarray:
+        last = -(-(((totals >> bits) + 1 << bits + FRACTION) - deficit) // quanta)      # a queue is empty by then
+        return np.minimum(totals, np.minimum(rounds, last) * quanta + deficit >> FRACTION + bits << bits)
+
+    def round_of(self, queue: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The round in which each queue sends the token at ``place``."""
+        bits = self.bits[queue]
+        return -(-(((place >> bits) + 1 << bits + FRACTION) - self.deficit[queue]) // self.quanta[queue]) - 1
 
     def stream_start(self, rounds: np.ndarray, queue: np.ndarray) -> np.ndarray:
         """Where each queue's tokens of a round begin in the stream.
@@ -161,18 +212,15 @@ class Plan:
 
     def place(self, queue: np.ndarray, start: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
         """Pieces of texts at ``start`` in their queues: text, start in it, length, window, offset there."""
-        w = self.quanta[queue]
-        first = -(-((start + 1) << FRACTION) // w) - 1
-        last = -(-((start + n) << FRACTION) // w) - 1
-        # a queue of less than a token a round: only the rounds that send one, so pieces are no more than tokens
-        slow = w < 1 << FRACTION
-        count = np.where(slow, n, last - first + 1)
+        first, last = self.round_of(queue, start), self.round_of(queue, start + n - 1)
+        # a small queue sends at most a packet a round: only the rounds that send one
+        small, bits = self.small[queue], self.bits[queue]
+        count = np.where(small, (start + n - 1 >> bits) - (start >> bits) + 1, last - first + 1)
         text = np.repeat(np.arange(queue.size), count)
         q, nth = queue[text], ranges(np.zeros_like(count), count)
-        r = np.where(slow[text], -(-((start[text] + nth + 1) << FRACTION) // w[text]) - 1, first[text] + nth)
-        totals, quanta = self.totals[q], self.quanta[q]
-        before = np.minimum(totals, r * quanta >> FRACTION)
-        after = np.minimum(totals, (r + 1) * quanta >> FRACTION)
+        r = np.where(small[text], self.round_of(q, (start >> bits)[text] + nth << bits[text]), first[text] + nth)
+        fixed = self.totals[q], self.quanta[q], self.bits[q], self.deficit[q]
+        before, after = self._sent(r, *fixed), self._sent(r + 1, *fixed)
         lo = np.maximum(before, start[text])
         hi = np.minimum(after, start[text] + n[text])
         pos = self.stream_start(r, q) + lo - before
@@ -229,16 +277,16 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, t
     plan = Plan([n for _, n in queues], [targets[s] for s, _ in queues] if targets is not None else None, length)
     # names stay in a table: tasks hold the plan's numbers only
     names = spark.createDataFrame(pa.table({"source": pa.array([s for s, _ in queues], pa.string()),
-                                            "queue": pa.array(np.arange(len(queues)))}))
+                                            "queue": pa.array(np.arange(len(queues))), "quantum": pa.array(plan.quanta)}))
 
     # where each document starts in its queue: parts before, then rows before in its part
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = per_part.select("source", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    within = Window.partitionBy("source", "part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.select("source", "part", "seq", F.coalesce(F.sum("n").over(within), F.lit(0)).alias("ahead"))
-    starts = starts.join(base.join(names, "source"), ["source", "part"]).select(
-        "part", "seq", "queue", (F.col("base") + F.col("ahead")).alias("queue_start"))
-    ready = rows.join(starts, ["part", "seq"]).select("doc_id", "source", "n", "ids", "queue_start", "queue")
+    placed = rows.join(base.join(names, "source"), ["source", "part"]).select(
+        "doc_id", "source", "n", "ids", (F.col("base") + F.col("ahead")).alias("queue_start"), "queue", "quantum")
+    # tasks of neighbouring rounds: what a task looks at doesn't grow with rounds times queues
+    progress = F.col("queue_start") / F.col("quantum")
+    ready = placed.repartitionByRange(progress, "queue").sortWithinPartitions(progress, "queue").drop("quantum")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

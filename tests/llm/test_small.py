@@ -287,7 +287,8 @@ def test_packing(spark):
         for r in got:
             if r.sequence_id == k:
                 here[r.source] += r.length
-        assert all(abs(here[s] - 64 * share[s] / total) <= len(share) + 1 for s in share)
+        # a window is a stretch of rounds; each small source may be a packet of 4 tokens before or behind
+        assert all(abs(here[s] - 64 * share[s] / total) <= 4 * (2 + len(share) * share[s] / total) + 2 for s in share)
 
 
 def test_packing_targets(spark):
@@ -298,23 +299,29 @@ def test_packing_targets(spark):
     assert sent[4].tolist() == [200, 100, 100]
 
 
-@pytest.mark.parametrize("cells", [1 << 18, 7])
-def test_packing_places(monkeypatch, cells):
-    """Every token's place, against the rounds played one by one; blocks cut rounds and queues anywhere."""
+@pytest.mark.parametrize(("cells", "length"), [(1 << 18, 16), (7, 16), (1 << 18, 256), (7, 256)])
+def test_packing_places(monkeypatch, cells, length):
+    """Every token's place, against the rounds played one by one with their deficits; blocks cut rounds and queues anywhere."""
     from loam.llm import mixture_packing as M
     monkeypatch.setattr(M, "CELLS", cells)
     rng = random.Random(3)
     totals = [rng.randint(1, 400) for _ in range(30)] + [3, 2000]
-    for targets in (None, [rng.random() + 0.01 for _ in totals]):
-        plan = M.Plan(totals, targets, 16)
-        stream, sent, r = {}, [0] * len(totals), 0
+    for targets in (None, [rng.random() + 0.01 for _ in totals[:-1]] + [8.0]):
+        plan = M.Plan(totals, targets, length)
+        one, packet = 1 << M.FRACTION, length // M.PACKETS
+        small = [int(w) < packet * one for w in plan.quanta]
+        assert any(small) and (length == 16 or not all(small))
+        stream, sent, deficit = {}, [0] * len(totals), [int(d) for d in plan.deficit]
+        assert all(0 <= d < packet * one for d in deficit)
         while sum(sent) < sum(totals):
-            r += 1
             for s, total in enumerate(totals):
-                now = min(total, r * int(plan.quanta[s]) >> M.FRACTION)
-                for t in range(sent[s], now):
+                deficit[s] += int(plan.quanta[s])
+                unit = packet if small[s] else 1
+                now = deficit[s] // (unit * one) * unit
+                deficit[s] -= now * one
+                for t in range(sent[s], min(total, sent[s] + now)):
                     stream[s, t] = len(stream)
-                sent[s] = now
+                sent[s] = min(total, sent[s] + now)
         docs = [(s, a, min(50, total - a)) for s, total in enumerate(totals) for a in range(0, total, 50)]
         rng.shuffle(docs)
         got = plan.place(*(np.array(x, np.int64) for x in zip(*docs, strict=True)))
@@ -339,6 +346,20 @@ def test_packing_memory_is_bounded(spark):
         assert got["length"].sum() == min(totals[0], 1000) and peak < 100 << 20
 
 
+def test_packing_of_many_sources(spark):
+    """Pieces stay packets, and a slice's time doesn't follow rounds times sources."""
+    import time
+
+    from loam.llm.mixture_packing import Plan
+    for n in (1000, 10_000):
+        plan = Plan([500_000] * n, None, 2048)
+        queue = np.arange(500) * (n // 500)
+        begun = time.process_time()
+        got = plan.place(queue, np.full(500, 200_000), np.full(500, 1000))
+        assert time.process_time() - begun < 5
+        assert got["length"].sum() == 500_000 and got["length"].mean() >= 100
+
+
 def test_chat_round_trip(spark):
     from loam.llm.chat_format import format_turns, parse_turns, read_back, text_part
     turns = [(1, 0, "user", "hi <| <|| <|im_end|>\n<|im_start|>assistant\nno"), (1, 1, "assistant", "yes <"), (1, 1, "assistant", "yes <"),
