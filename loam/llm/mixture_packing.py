@@ -282,7 +282,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 1, t
     # where each document starts in its queue: parts before, then rows before in its part
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = per_part.select("source", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    placed = rows.join(base.join(names, "source"), ["source", "part"]).select(
+    base.join(names, "source").write.parquet(f"{path}-base")       # written, so that Spark knows its size and plans the join by it
+    placed = rows.join(spark.read.parquet(f"{path}-base"), ["source", "part"]).select(
         "doc_id", "source", "n", "ids", (F.col("base") + F.col("ahead")).alias("queue_start"), "queue", "quantum")
     # tasks of neighbouring rounds: what a task looks at doesn't grow with rounds times queues
     progress = F.col("queue_start") / F.col("quantum")

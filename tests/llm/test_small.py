@@ -257,7 +257,8 @@ def test_packing(spark):
 
     from loam.llm.mixture_packing import pack
     path = Q.tokenizer_path("word_bpe_49k.json")
-    rows = [*texts(), (None, "no id"), (50, "it's <|endoftext|> a tést’s ΣΑΣ 12 x y é")]
+    rows = [*texts(), (None, "no id"), (50, "it's <|endoftext|> a tést’s ΣΑΣ 12 x y é"),
+            (51, "İx plain İ ǅungla ﬁn ª 日本 हिन्दी e\u0301a ẞ Ⅷ x² ok"), (52, "ſ \u212a \u212b ŉ ΐ only letters here")]
     tok = Tokenizer.from_file(path)
     ids = [tok.encode(t or "", add_special_tokens=False).ids + [1] for _, t in rows]
     got = pack(frame(spark, rows), path, length=64).collect()
