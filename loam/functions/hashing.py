@@ -7,6 +7,7 @@ integer.  It is reproducible in plain SQL engines (DuckDB:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -41,3 +42,23 @@ def cross_bucket(cols: Sequence[str | Column], num_buckets: int, sep: str = "_X_
 def seeded_unit(key: str | Column, seed: int, resolution: int = 1_000_000) -> Column:
     """Deterministic pseudo-random integer in [0, resolution) from (seed, key)."""
     return F.pmod(md5_int(F.concat(F.lit(f"{seed}:"), _c(key).cast("string"))), F.lit(resolution))
+
+
+def uniform(key: str | Column, seed: int) -> Column:
+    """Deterministic uniform deviate in (0, 1] from (seed, key): 60 bits, halfway between two of their steps."""
+    h = md5_int(F.concat(F.lit(f"{seed}:"), _c(key).cast("string")))
+    return (h.cast("double") + F.lit(0.5)) / F.lit(float(1 << 60))
+
+
+def normal_deviate(key: str | Column, seed: int) -> Column:
+    """Deterministic standard normal deviate from (seed, key), by Box-Muller over two uniforms: a counter-based
+    generator, so that a row's noise depends on neither its task nor the rows before it."""
+    radius = F.sqrt(F.lit(-2.0) * F.ln(uniform(key, 2 * seed)))
+    return radius * F.cos(F.lit(2 * math.pi) * uniform(key, 2 * seed + 1))
+
+
+def exponential_key(key: str | Column, weight: str | Column, seed: int) -> Column:
+    """-ln(u) / weight: the rows with the smallest keys are a weighted sample without replacement.
+    Null, so never drawn, unless the weight is above 0."""
+    w = _c(weight).cast("double")
+    return F.when(w > 0, -F.ln(uniform(key, seed)) / w)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loam.functions.hashing import normal_deviate
 from loam.functions.numeric import decimal_ratio
 from loam.operators.ranking import group_row_number, halo_blocks
 
@@ -113,3 +114,8 @@ def signal(t: Column, period: float, trend: float) -> Column:
     """sin(pi * t / period) + t / trend (noise-free signal generator)."""
     x = t.cast("double")
     return F.sin(F.lit(math.pi) * x / F.lit(float(period))) + x / F.lit(float(trend))
+
+
+def noisy(series: Column, key: Column, scale: float, seed: int = 0) -> Column:
+    """A generated series with normal noise of standard deviation ``scale``, the row's own by its ``key``."""
+    return series + F.lit(float(scale)) * normal_deviate(key, seed)

@@ -13,9 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loam.functions.hashing import fingerprint_concat, md5_int, seeded_unit
+from loam.functions.hashing import exponential_key, fingerprint_concat, md5_int, seeded_unit
 from loam.functions.numeric import decimal_ratio
-from loam.operators.ranking import global_row_number, group_row_number
+from loam.operators.ranking import global_row_number, group_row_number, limit_ordered
 
 
 def _c(c: str | Column) -> Column:
@@ -96,3 +96,13 @@ def deterministic_shuffle(df: DataFrame, key: str, seed: int = 7, out: str = "po
 def kfold_assign(df: DataFrame, key: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """Fold id in [0, k) from a seeded hash of the key."""
     return df.withColumn(out, F.pmod(seeded_unit(key, seed, 1 << 60), F.lit(k)).cast("int"))
+
+
+def weighted_sample(df: DataFrame, key: str, weight: str, n: int, seed: int = 42) -> DataFrame:
+    """``n`` rows drawn without replacement, each draw in proportion to ``weight`` among the rows left.
+
+    Rows with a weight of 0 or less, or null, are never drawn; fewer than ``n`` rows come back if there are no more.
+    The draw depends on (seed, key) only; rows of one key and weight are drawn one after the other.
+    """
+    drawn = df.withColumn("_draw", exponential_key(key, weight, seed)).filter("_draw IS NOT NULL")
+    return limit_ordered(drawn, [F.col("_draw"), F.col(key)], n).drop("_draw")
