@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.functions import vector as V
-from loam.functions.arrays import explode_rows, posexplode_rows
+from loam.functions.arrays import explode_rows, let, posexplode_rows
 
 _STATS = {"min": F.min, "max": F.max, "mean": F.avg}
 
@@ -41,7 +41,8 @@ def similar_by_vector(df: DataFrame, key: str, vec: str, probe: DataFrame,
     """
     p = _one_probe(probe, key, vec)
     j = df.select(F.col(key).alias("k2"), F.col(vec).alias("_v2")).crossJoin(F.broadcast(p))
-    out = j.select("k1", "k2", V.cosine("_v1", "_v2").alias("similarity"))
+    # the row's vector may be an expression: it is worked out once for dot product and norm
+    out = j.select("k1", "k2", let(F.col("_v2"), lambda v: V.cosine("_v1", v)).alias("similarity"))
     if top_k is not None:
         out = out.orderBy(F.desc_nulls_last("similarity"), F.col("k2")).limit(top_k)
     return out

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loam.functions import vector as V
+from loam.functions.arrays import let
 from loam.functions.hashing import md5_int
+from loam.functions.text import first_line
 from loam.operators import evaluate as ev
 from loam.operators import series as S
 from loam.operators import split as SP
@@ -126,12 +128,16 @@ FROM n CROSS JOIN p JOIN n m ON m.doc_id = p.doc_id LEFT JOIN d ON d.doc_id = n.
 """, ids=("TV1", "TV2"))
 def title_similarity(spark, sf):
     """Titles (first lines) as hashed word counts, by cosine to the first document's."""
-    d = t(spark, sf, "documents").select("doc_id", F.filter(
-        F.split(F.split("text", "\n")[0], " "), lambda w: w != "").alias("w")).filter(F.size("w") > 0)
-    slots = F.transform("w", lambda w: F.pmod(md5_int(w), F.lit(TITLE_DIMS)).cast("int"))
-    d = d.withColumn("s", slots)
-    vec = F.transform(F.sequence(F.lit(0), F.lit(TITLE_DIMS - 1)),
-                      lambda i: F.size(F.filter("s", lambda x: x == i)).cast("double"))
-    titles = d.select("doc_id", vec.alias("title_vec"))
-    out = VO.similar_by_vector(titles, "doc_id", "title_vec", VO.single_row(titles, ["doc_id"]))
+    def words(line):
+        return F.filter(F.split(line, " "), lambda w: w != "")
+
+    def counts(slots):
+        return F.transform(F.sequence(F.lit(0), F.lit(TITLE_DIMS - 1)), lambda i: F.size(F.filter(slots, lambda x: x == i)).cast("double"))
+
+    # a title with a word; its words are hashed once, not once a slot
+    d = t(spark, sf, "documents").select("doc_id", first_line("text").alias("title")).filter(F.length(F.translate("title", " ", "")) > 0)
+    slots = F.transform(words(F.col("title")), lambda w: F.pmod(md5_int(w), F.lit(TITLE_DIMS)).cast("int"))
+    vec = let(slots, counts).alias("title_vec")
+    probe = VO.single_row(d, ["doc_id"]).select("doc_id", vec)
+    out = VO.similar_by_vector(d.select("doc_id", vec), "doc_id", "title_vec", probe)
     return out.select("k1", "k2", r6("similarity").alias("similarity"))
