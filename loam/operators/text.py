@@ -1,9 +1,8 @@
 """Text operators: token counts, vocabulary lookup, tf-idf, n-grams, hashed doc vectors.
 
 Scale notes:
-* tokens are exploded per document and immediately pre-aggregated to
-  (doc, token, count) — a token that is hot across the corpus is combined
-  map-side before any shuffle;
+* tokens are counted within the document's row; a token that is hot across the
+  corpus is combined map-side before any shuffle;
 * vocabularies are ordered/numbered with the distributed global row number;
 * a vocabulary side table is broadcast only when its size is proven (``top_k``)
   or checked by ``count()``; otherwise it is a shuffle join.
@@ -14,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loam.functions.arrays import posexplode_rows
+from loam.functions.arrays import count_distinct_values, posexplode_rows
 from loam.functions.hashing import md5_int
 from loam.operators.analyze import vocabulary
-from loam.operators.ranking import join_side_table
-from loam.session import cached
+from loam.operators.ranking import global_row_number, join_side_table
+from loam.session import cached, materialize
 
 
 def explode_tokens(df: DataFrame, keep: list[str | Column], tokens: Column, out: str = "token") -> DataFrame:
@@ -28,38 +27,58 @@ def explode_tokens(df: DataFrame, keep: list[str | Column], tokens: Column, out:
     return explode_rows(df, keep, tokens, out)
 
 
+def split_repeated(docs: DataFrame, doc_id: str) -> tuple[DataFrame, DataFrame | None]:
+    """Rows whose ``doc_id`` no other row has, and the rest (None if there is none); null counts as an id.
+
+    Reads the ids only.  Documents that are one row each need no shuffle to be counted.
+    """
+    repeated = materialize(docs.groupBy(F.col(doc_id).alias("_lm_id")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_lm_id"))
+    if repeated.isEmpty():
+        return docs, None
+    same = docs[doc_id].eqNullSafe(repeated["_lm_id"])
+    return docs.join(repeated, same, "left_anti"), docs.join(repeated, same, "left_semi")
+
+
 def token_counts(docs: DataFrame, doc_id: str, tokens: Column, with_length: bool = False) -> DataFrame:
-    """(doc_id, [_len,] token, cnt): per-document term counts (pre-aggregated map-side).
+    """(doc_id, [_len,] token, cnt): per-document term counts.
 
-    ``with_length`` carries the document's token count through the same pass
-    (it is functionally dependent on the document, so grouping by it is free).
+    Counted within the row, so only rows that repeat an id are shuffled, to be added up.
+    ``with_length`` carries the document's token count (rows of one id and other lengths stay apart).
     """
-    keep: list[str | Column] = [F.col(doc_id)]
-    if with_length:
-        tk = docs.select(F.col(doc_id), tokens.alias("_tk"))
-        keep.append(F.size("_tk").alias("_len"))
-        ex = explode_tokens(tk, keep, F.col("_tk"))
-        return ex.groupBy(doc_id, "_len", "token").agg(F.count(F.lit(1)).alias("cnt"))
-    ex = explode_tokens(docs, keep, tokens)
-    return ex.groupBy(doc_id, "token").agg(F.count(F.lit(1)).alias("cnt"))
+    keys = [doc_id, "_len"] if with_length else [doc_id]
+
+    def counted(part: DataFrame) -> DataFrame:
+        tk = part.select(F.col(doc_id), tokens.alias("_tk"))
+        keep = [F.col(doc_id)] + ([F.size("_tk").alias("_len")] if with_length else [])
+        return explode_tokens(tk, keep, count_distinct_values(F.col("_tk")), "_t").select(*keys, "_t.token", "_t.cnt")
+
+    once, again = split_repeated(docs, doc_id)
+    if again is None:
+        return counted(once)
+    return counted(once).unionByName(counted(again).groupBy(*keys, "token").agg(F.sum("cnt").alias("cnt")))
 
 
-def _join_vocab(left: DataFrame, vocab: DataFrame, top_k: int | None, how: str = "left") -> DataFrame:
+# A vocabulary of at most so many rows (its top_k) is sent to all tasks.
+BROADCAST_ROWS = 200_000
+
+
+def _join_vocab(left: DataFrame, vocab: DataFrame, top_k: int | None) -> DataFrame:
     v = vocab.select("token", "id")
-    if top_k is not None:
-        return left.join(v, "token", how)
-    if how == "inner":
-        return join_side_table(left, v, ["token"])
-    return left.join(v, "token", how)
+    small = top_k is not None and top_k <= BROADCAST_ROWS
+    return left.join(F.broadcast(v) if small else v, "token", "left")
 
 
 def lookup_ids(tc: DataFrame, vocab: DataFrame, oov_id: int | Column, top_k: int | None) -> DataFrame:
     """Map token -> id with a default id for tokens missing from the vocabulary."""
-    j = _join_vocab(tc, vocab, top_k, "left")
+    j = _join_vocab(tc, vocab, top_k)
     oov = oov_id if isinstance(oov_id, Column) else F.lit(oov_id)
     return j.withColumn("id", F.coalesce(F.col("id"), oov))
 
 
+def _idf(n: str, df: str) -> Column:
+    return F.lit(1.0) + F.ln((F.col(n) + 1) / (F.col(df) + 1))
+
+
 def tfidf(docs: DataFrame, doc_id: str, tokens: Column, top_k: int | None = None,
           vocab: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Bag-of-words tf-idf.
@@ -69,21 +88,30 @@ def tfidf(docs: DataFrame, doc_id: str, tokens: Column, top_k: int | None = None
     desc) and every other token falls into the single out-of-vocabulary slot
     ``top_k``.  Returns (weights(doc_id, term_id, tf, df, idf, tf_idf), vocab).
     """
-    # one tokenization pass; the (doc, token, count) index feeds both the vocabulary
-    # fit and the id mapping, so keep it (spills to disk; recomputable on executor loss)
-    tc = cached(token_counts(docs, doc_id, tokens, with_length=True))
-    if vocab is None:
-        vocab = vocabulary(tc, "token", top_k=top_k, count_col="cnt")
-    oov = top_k if top_k is not None else F.lit(None).cast("int")
-    m = lookup_ids(tc, vocab, oov, top_k)
-    if top_k is None:
-        m = m.filter(F.col("id").isNotNull())
-    per = m.groupBy(doc_id, "_len", "id").agg(F.sum("cnt").alias("cnt"))
-    dfreq = per.groupBy("id").agg(F.count(F.lit(1)).alias("df"))
+    tc = token_counts(docs, doc_id, tokens, with_length=True)
     n = docs.agg(F.count(F.lit(1)).alias("_n"))
-    idf = dfreq.crossJoin(F.broadcast(n)).select(
-        "id", "df", (F.lit(1.0) + F.ln((F.col("_n") + 1) / (F.col("df") + 1))).alias("idf"))
-    j = join_side_table(per, idf, ["id"])
+    if vocab is None and top_k is None:
+        # every token has an id: frequency and df come from one aggregation, and the (doc, token) rows
+        # are dealt once, by token
+        counts = tc.filter(F.col("token").isNotNull()).groupBy("token").agg(
+            F.sum("cnt").cast("long").alias("frequency"), F.count(F.lit(1)).alias("df"))
+        ranked = global_row_number(counts, [F.desc("frequency"), F.desc("token")], out="_rn")
+        ranked = ranked.withColumn("id", (F.col("_rn") - 1).cast("int"))
+        vocab = ranked.select("token", "frequency", "id")
+        side = ranked.crossJoin(F.broadcast(n)).select("token", "id", "df", _idf("_n", "df").alias("idf"))
+        j = tc.join(side.hint("shuffle_hash"), "token")
+    else:
+        if vocab is None:
+            vocab = vocabulary(tc, "token", top_k=top_k, count_col="cnt")
+        m = lookup_ids(tc, vocab, top_k if top_k is not None else F.lit(None).cast("int"), top_k)
+        if top_k is None:
+            m = m.filter(F.col("id").isNotNull())
+        # ids and numbers only; kept, as the document frequencies and the weights both read it
+        per = cached(m.groupBy(doc_id, "_len", "id").agg(F.sum("cnt").alias("cnt")))
+        dfreq = per.groupBy("id").agg(F.count(F.lit(1)).alias("df"))
+        idf = dfreq.crossJoin(F.broadcast(n)).select("id", "df", _idf("_n", "df").alias("idf"))
+        small = top_k is not None and top_k <= BROADCAST_ROWS
+        j = join_side_table(per, F.broadcast(idf) if small else idf, ["id"])
     w = j.select(F.col(doc_id), F.col("id").alias("term_id"), (F.col("cnt") / F.col("_len")).alias("tf"),
                  "df", "idf")
     return w.withColumn("tf_idf", F.col("tf") * F.col("idf")), vocab

@@ -31,3 +31,31 @@ def test_title_words_are_hashed_once_not_once_a_slot(spark, tmp_path):
 def test_let_works_its_value_out_once(spark):
     r = spark.range(5).select(let(F.rand(), lambda v: F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: v)).alias("v")).collect()
     assert all(len(set(x.v)) == 1 for x in r)
+
+
+TEXTS = [(1, "a b a. c"), (2, "b b c"), (2, "b b c"), (2, "a c"), (None, "c a"), (None, "a, b"), (3, ""), (4, None)]
+
+
+def words(text):
+    return [w for w in re.split("[., ]", text or "") if w]
+
+
+def texts(spark, rows=TEXTS):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_weighted_bow_is_dealt_by_token_once(spark):
+    from loam.functions.text import tokenize
+    from loam.operators.text import sparse_bow, tfidf
+    once = texts(spark, [(i, t) for i, (_, t) in enumerate(TEXTS)])
+    w, _ = tfidf(once, "doc_id", tokenize(F.col("text")))
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*doc_id", plan(w))) == 0        # before: (doc, token) and (doc, id)
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*doc_id", plan(sparse_bow(w, "doc_id", 0)))) == 1
+    # rows of one id and length count as one document, as before
+    w, vocab = tfidf(texts(spark), "doc_id", tokenize(F.col("text")))
+    ids = {r.token: r.id for r in vocab.collect()}
+    cnt = Counter((d, len(words(t)), x) for d, t in TEXTS for x in words(t))
+    df = Counter(x for _, _, x in cnt)
+    want = {(d, n, ids[x], round(c / n * (1 + log((len(TEXTS) + 1) / (df[x] + 1))), 9)) for (d, n, x), c in cnt.items()}
+    got = [(r.doc_id, r.term_id, round(r.tf_idf, 9)) for r in w.collect()]
+    assert Counter(got) == Counter((d, i, v) for d, _, i, v in want)
