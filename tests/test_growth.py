@@ -59,3 +59,20 @@ def test_weighted_bow_is_dealt_by_token_once(spark):
     want = {(d, n, ids[x], round(c / n * (1 + log((len(TEXTS) + 1) / (df[x] + 1))), 9)) for (d, n, x), c in cnt.items()}
     got = [(r.doc_id, r.term_id, round(r.tf_idf, 9)) for r in w.collect()]
     assert Counter(got) == Counter((d, i, v) for d, _, i, v in want)
+
+
+def test_ngrams_are_dealt_by_ngram_only(spark):
+    from loam.functions.text import word_tokens
+    from loam.operators.text import ngram_counts
+    rows = [(1, "ab cd ab cd"), (2, "cd ef"), (2, "cd ef"), (None, "ab cd"), (None, "ab"), (3, None), (4, "x")]
+    assert "doc_id" not in " ".join(re.findall(r"Exchange hashpartitioning\([^)]*\)", plan(
+        ngram_counts(texts(spark, [(i, t) for i, (_, t) in enumerate(rows)]), "doc_id", word_tokens("text")))))
+    grams = Counter()
+    for d, t in rows:
+        w = re.findall(r"\w{2,}", t or "")
+        grams.update((d, g) for g in w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+    df, cnt = Counter(g for _, g in grams), defaultdict(int)
+    for (_, g), c in grams.items():
+        cnt[g] += c
+    got = {(r.ngram, r.df, r.cnt) for r in ngram_counts(texts(spark, rows), "doc_id", word_tokens("text")).collect()}
+    assert got == {(g, df[g], cnt[g]) for g in df}
