@@ -76,3 +76,17 @@ def test_ngrams_are_dealt_by_ngram_only(spark):
         cnt[g] += c
     got = {(r.ngram, r.df, r.cnt) for r in ngram_counts(texts(spark, rows), "doc_id", word_tokens("text")).collect()}
     assert got == {(g, df[g], cnt[g]) for g in df}
+
+
+def test_top_k_tfidf_broadcasts_its_vocabulary(spark):
+    from loam.functions.text import tokenize
+    from loam.operators.text import tfidf
+    once, _ = tfidf(texts(spark, [(i, t) for i, (_, t) in enumerate(TEXTS)]), "doc_id", tokenize(F.col("text")), top_k=2)
+    p = plan(once)
+    assert "SortMergeJoin" not in p and "BroadcastHashJoin" in p and not re.search(r"Exchange hashpartitioning\([^)]*token", p)
+    w, _ = tfidf(texts(spark), "doc_id", tokenize(F.col("text")), top_k=2)
+    ids = {x: i for i, (x, _) in enumerate(sorted(Counter(x for _, t in TEXTS for x in words(t)).items(), key=lambda e: (e[1], e[0]), reverse=True)[:2])}
+    cnt = Counter((d, len(words(t)), ids.get(x, 2)) for d, t in TEXTS for x in words(t))
+    df = Counter(i for _, _, i in cnt)
+    want = Counter((d, i, round(c / n * (1 + log((len(TEXTS) + 1) / (df[i] + 1))), 9)) for (d, n, i), c in cnt.items())
+    assert Counter((r.doc_id, r.term_id, round(r.tf_idf, 9)) for r in w.collect()) == want
