@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loam.functions.arrays import count_distinct_values, posexplode_rows
+from loam.functions.arrays import count_distinct_values, let, sum_by_value
 from loam.functions.hashing import md5_int
 from loam.operators.analyze import vocabulary
 from loam.operators.ranking import global_row_number, join_side_table
@@ -150,26 +150,31 @@ def hashed_doc_vector(docs: DataFrame, doc_id: str, text: str, dims: int = 64) -
 
     Sentence s of doc d: weight of token w = count(w in s)/len(s) * idf(w) placed
     at slot md5(w) mod dims; idf from document frequencies.  Long output
-    (doc_id, slot, value) for non-zero slots.  One tokenization pass: the
-    (doc, sentence, token) counts are kept and feed both idf and the weights;
-    the number of non-empty sentences travels with each row.
+    (doc_id, slot, value) for non-zero slots.  A token's idf is the same in all
+    sentences, so each row sums count/len over its sentences first; the
+    (doc, token) rows are dealt by token once, then added up by slot.  The number
+    of non-empty sentences travels with each row.
     """
     from loam.functions.text import sentence_split, word_tokens
-    st = docs.select(F.col(doc_id), F.transform(F.split(sentence_split(text), "\n"),
-                                                lambda x: word_tokens(x)).alias("_st"))
-    st = st.withColumn("_ns", F.size(F.filter("_st", lambda t: F.size(t) > 0)))
-    sents = posexplode_rows(st, [F.col(doc_id), F.col("_ns")], "_st", "s", "_t").filter(F.size("_t") > 0)
-    ex = explode_tokens(sents, [F.col(doc_id), F.col("_ns"), F.col("s"), F.size("_t").alias("_len")], F.col("_t"))
-    stc = cached(ex.groupBy(doc_id, "_ns", "s", "_len", "token").agg(F.count(F.lit(1)).alias("cnt")))
-    dfreq = stc.select(doc_id, "token").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+
+    def weighed(part: DataFrame) -> DataFrame:
+        st = part.select(F.col(doc_id), F.filter(F.transform(F.split(sentence_split(text), "\n"), lambda x: word_tokens(x)),
+                                                 lambda t: F.size(t) > 0).alias("_st"))
+        each = F.flatten(F.transform("_st", lambda t: let(F.lit(1.0) / F.size(t), lambda x: F.transform(
+            t, lambda w: F.struct(w.alias("token"), x.alias("x"))))))
+        return explode_tokens(st, [F.col(doc_id), F.size("_st").alias("_ns")], sum_by_value(each), "_t").select(
+            doc_id, "_ns", "_t.token", "_t.x")
+
+    once, again = split_repeated(docs, doc_id)
+    tc = weighed(docs)
+    seen = tc.select("token") if again is None else weighed(once).select("token").unionByName(
+        weighed(again).select(doc_id, "token").distinct().select("token"))
+    dfreq = seen.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     n = docs.agg(F.count(F.lit(1)).alias("_n"))
-    idf = dfreq.crossJoin(F.broadcast(n)).select(
-        "token", (F.lit(1.0) + F.ln((F.col("_n") + 1) / (F.col("df") + 1))).alias("idf"))
-    j = join_side_table(stc, idf, ["token"])
-    w = j.select(doc_id, "_ns", "s", F.pmod(md5_int(F.col("token")), F.lit(dims)).cast("int").alias("slot"),
-                 (F.col("cnt") / F.col("_len") * F.col("idf")).alias("w"))
-    # mean over sentences of per-sentence slot sums = (sum of all weights per slot) / #sentences:
-    # one aggregation, no per-sentence shuffle
+    idf = dfreq.crossJoin(F.broadcast(n)).select("token", F.pmod(md5_int(F.col("token")), F.lit(dims)).cast("int").alias("slot"),
+                                                 _idf("_n", "df").alias("idf"))
+    w = tc.join(idf.hint("shuffle_hash"), "token").select(doc_id, "_ns", "slot", (F.col("x") * F.col("idf")).alias("w"))
+    # mean over sentences of per-sentence slot sums = (sum of all weights per slot) / #sentences
     per_doc = w.groupBy(doc_id, "_ns", "slot").agg(F.sum("w").alias("w"))
     return per_doc.select(doc_id, "slot", (F.col("w") / F.col("_ns")).alias("value"))
 

@@ -78,6 +78,24 @@ def test_ngrams_are_dealt_by_ngram_only(spark):
     assert got == {(g, df[g], cnt[g]) for g in df}
 
 
+def test_hashed_vectors_sum_sentences_within_the_row(spark):
+    from loam.operators.text import hashed_doc_vector
+    rows = [(1, "aa bb. aa cc! dd"), (2, "bb bb. cc"), (2, "bb bb. cc"), (2, "dd"), (None, "aa. aa"), (None, "cc"), (3, None), (4, ".")]
+    p = plan(hashed_doc_vector(texts(spark, [(i, t) for i, (_, t) in enumerate(rows)]), "doc_id", "text", 8))
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*doc_id", p)) == 1 and not re.search(r"hashpartitioning\([^)]*\bs#", p)
+    df = Counter(x for _, x in {(d, x) for d, t in rows for x in re.findall(r"\w{2,}", t or "")})
+    slot = {r.w: r.s for r in spark.createDataFrame([(x,) for x in df], "w string").selectExpr(
+        "w", "cast(pmod(cast(conv(substring(md5(w), 1, 15), 16, 10) as bigint), 8) as int) as s").collect()}
+    want = defaultdict(float)
+    for d, t in rows:
+        sents = [s for s in (re.findall(r"\w{2,}", x) for x in re.split(r"[.!?]\s+", t or "")) if s]
+        for s in sents:
+            for x in s:
+                want[d, len(sents), slot[x]] += (1 + log((len(rows) + 1) / (df[x] + 1))) / len(s) / len(sents)
+    got = sorted((str(r.doc_id), r.slot, round(r.value, 9)) for r in hashed_doc_vector(texts(spark, rows), "doc_id", "text", 8).collect())
+    assert got == sorted((str(d), s, round(v, 9)) for (d, _, s), v in want.items())
+
+
 def test_top_k_tfidf_broadcasts_its_vocabulary(spark):
     from loam.functions.text import tokenize
     from loam.operators.text import tfidf
