@@ -11,7 +11,7 @@ from loam.operators.analyze import PAD_WORD, doc_frequency, vocabulary, word_set
 from loam.operators.split import threshold_split
 from loam.plans.common import r6, sql_md5_int
 from loam.plans.registry import register, t
-from loam.session import scratch_path
+from loam.session import cached, scratch_path
 
 VOCAB_TOP_K = 20_000
 SQL_FIRST_LINE = "split_part(text, chr(10), 1)"
@@ -360,7 +360,8 @@ def page_similarity(spark, sf):
     """Pages -> title/body -> hashed tf-idf body vectors -> cosine of one probe page vs all."""
     from loam.operators.vector import dense_from_long, similar_by_vector, single_row
     pages = TO.extract_page_fields(t(spark, sf, "pages")).select("page_id", "body")
-    vecs = dense_from_long(TO.hashed_doc_vector(pages, "page_id", "body", dims=64), "page_id", "slot", "value", 64)
+    # one short vector a page, kept: the probe and the comparison read the same ones
+    vecs = cached(dense_from_long(TO.hashed_doc_vector(pages, "page_id", "body", dims=64), "page_id", "slot", "value", 64))
     probe_id = single_row(pages.filter(F.col("body").like("%the%")).select("page_id"), ["page_id"])
     probe = vecs.join(F.broadcast(probe_id), "page_id")          # one row
     s = similar_by_vector(vecs, "page_id", "vec", probe)
