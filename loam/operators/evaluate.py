@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loam.operators.ranking import group_prefix_sums, prefix_sums
+from loam.operators.ranking import prefix_sums
 
 
 def _c(c: str | Column) -> Column:
@@ -104,23 +106,75 @@ def sliced_metrics(df: DataFrame, slice_cols: Sequence[str], metrics: Mapping[st
         *[expr.alias(name) for name, expr in metrics.items()])
 
 
+# Rows of a score range that are ranked together.
+AUC_ROWS = 200_000
+
+
 def sliced_auroc(df: DataFrame, label: str, score: str, slice_cols: Sequence[str]) -> DataFrame:
     """Exact ROC AUC overall and for every value of each slice column: (slice_col, slice_value, auc, n_pos, n_neg).
 
-    Rows collapse to one per slice and distinct score; ranks are prefix sums that restart at the slices' borders, so
-    a slice with most of the rows is spread over many tasks.  Ties have average ranks; a slice of one class has a
-    null AUC; rows with a null label or score do not count, a null slice value is a slice of its own.
+    Rows collapse to one per score and slice values, are dealt by ranges of the score, and each range is ranked within
+    its task: a slice's rank sum over a range is that of its own rows plus the number of its rows in the ranges below.
+    Rows are never copied per slice; what leaves a range is one row per slice.  Ties have average ranks; a slice of one
+    class has a null AUC; rows with a null label or score do not count, a null slice value is a slice of its own.
     """
-    tags = [F.struct(F.lit("Overall").alias("slice_col"), F.lit("").alias("slice_value"))]
-    tags += [F.struct(F.lit(c).alias("slice_col"), F.col(c).cast("string").alias("slice_value")) for c in slice_cols]
     held = df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
-    tagged = held.select(F.col(label).cast("long").alias("_y"), F.col(score).cast("double").alias("_s"), F.inline(F.array(*tags)))
-    per = tagged.groupBy("slice_col", "slice_value", "_s").agg(F.sum("_y").alias("_pos"), F.count(F.lit(1)).alias("_cnt"))
-    cum = group_prefix_sums(per, ["slice_col", "slice_value"], [F.col("_s")], ["_cnt"], inclusive=False, suffix="_below")
+    named = [F.col(c).cast("string").alias(f"_v{i}") for i, c in enumerate(slice_cols)]
+    values = [f"_v{i}" for i in range(len(slice_cols))]
+    per = held.select(F.col(label).cast("long").alias("_y"), F.col(score).cast("double").alias("_s"), *named).groupBy("_s", *values).agg(
+        F.sum("_y").alias("_pos"), F.count(F.lit(1)).alias("_cnt"))
+    ranged = per.repartitionByRange("_s").sortWithinPartitions("_s").withColumn("_pid", F.spark_partition_id())
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Pieces of about ``AUC_ROWS`` sorted rows; equal scores stay together."""
+        held = []
+        for batch in batches:
+            held.append(batch)
+            if sum(x.num_rows for x in held) < AUC_ROWS:
+                continue
+            t = pa.Table.from_batches(held)
+            s = t.column("_s").to_numpy()
+            n = int(np.searchsorted(s, s[-1]))        # the last score may go on
+            if n:
+                yield t.slice(0, n)
+                held = t.slice(n).combine_chunks().to_batches()
+        if any(x.num_rows for x in held):
+            yield pa.Table.from_batches(held)
+
+    def ranked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for place, t in enumerate(cut(batches)):
+            yield from ranked_piece(place, t)
+
+    def ranked_piece(place: int, t: pa.Table) -> Iterator[pa.RecordBatch]:
+        s, pos, cnt = (t.column(c).to_numpy() for c in ("_s", "_pos", "_cnt"))
+        pid = t.column("_pid")[0].as_py()
+        tie = np.unique(s, return_inverse=True)[1].ravel()
+        for i, name in enumerate(["Overall", *slice_cols]):
+            codes = [""], np.zeros(s.size, np.int64)
+            if i:
+                d = t.column(f"_v{i - 1}").combine_chunks().dictionary_encode(null_encoding="encode")
+                codes = d.dictionary.to_pylist(), d.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            order = np.lexsort((tie, codes[1]))
+            c, k = codes[1][order], tie[order]
+            first = np.flatnonzero(np.r_[True, (c[1:] != c[:-1]) | (k[1:] != k[:-1])])      # of each slice and score
+            g, p, n = c[first], np.add.reduceat(pos[order], first), np.add.reduceat(cnt[order], first)
+            head = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+            below = np.cumsum(n) - n
+            below -= np.repeat(below[head], np.diff(np.r_[head, g.size]))
+            sums = [np.add.reduceat(x, head) for x in (p * (2 * below + n + 1), p, n)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([pid] * head.size, pa.int32()), pa.array([place] * head.size, pa.int32()), pa.array([name] * head.size), pa.array([codes[0][x] for x in g[head]], pa.string()),
+                 *(pa.array(x, pa.int64()) for x in sums)], names=["_pid", "_place", "slice_col", "slice_value", "_r2", "_pos", "_cnt"])
+
+    parts = ranged.mapInArrow(ranked, "_pid int, _place int, slice_col string, slice_value string, _r2 long, _pos long, _cnt long")
+    # one row per slice and piece of a range: a slice's window has as many rows as there are pieces
+    w = Window.partitionBy("slice_col", "slice_value").orderBy("_pid", "_place").rowsBetween(Window.unboundedPreceding, -1)
+    cum = parts.withColumn("_below", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     # twice the average rank is a whole number, so sums are exact and do not depend on their order
-    twice = F.col("_pos") * (2 * F.col("_cnt_below") + F.col("_cnt") + 1)
+    wide = "decimal(38,0)"
+    twice = F.col("_r2").cast(wide) + (F.lit(2).cast("decimal(1,0)") * F.col("_below").cast("decimal(18,0)") * F.col("_pos").cast("decimal(18,0)")).cast(wide)
     tot = cum.groupBy("slice_col", "slice_value").agg(
-        F.sum(twice.cast("decimal(38,0)")).alias("_r2"), F.sum("_pos").alias("n_pos"), (F.sum("_cnt") - F.sum("_pos")).alias("n_neg"))
+        F.sum(twice.cast(wide)).alias("_r2"), F.sum("_pos").alias("n_pos"), (F.sum("_cnt") - F.sum("_pos")).alias("n_neg"))
     pos, neg = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
     auc = (F.col("_r2").cast("double") - pos * (pos + 1)) / (2.0 * pos * neg)
     return tot.select("slice_col", "slice_value", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), auc).alias("auc"), "n_pos", "n_neg")

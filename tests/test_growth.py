@@ -108,3 +108,28 @@ def test_top_k_tfidf_broadcasts_its_vocabulary(spark):
     df = Counter(i for _, _, i in cnt)
     want = Counter((d, i, round(c / n * (1 + log((len(TEXTS) + 1) / (df[i] + 1))), 9)) for (d, n, i), c in cnt.items())
     assert Counter((r.doc_id, r.term_id, round(r.tf_idf, 9)) for r in w.collect()) == want
+
+
+def test_sliced_auc_ranks_ranges_without_copies_per_slice(spark, monkeypatch):
+    from loam.operators import evaluate as ev
+    monkeypatch.setattr(ev, "AUC_ROWS", 7, raising=False)
+    rows = [(i % 3 == 0, float(i * 7 % 23), "p" if i % 5 else None, i % 4) for i in range(400)]
+    rows += [(True, None, "p", 1), (None, 1.0, "p", 1), (True, float("nan"), "q", 1), (False, -0.0, "q", 1)]
+    df = spark.createDataFrame([(None if y is None else int(y), s, a, b) for y, s, a, b in rows], "y long, s double, a string, b int").repartition(6)
+    out = ev.sliced_auroc(df, "y", "s", ["a", "b"])
+    assert "Generate" not in plan(out)                                   # before: every row once a slice
+    got = {(r.slice_col, r.slice_value): (r.auc, r.n_pos, r.n_neg) for r in out.collect()}
+    held = [(y, (1, 0) if s != s else (0, s), a, b) for y, s, a, b in rows if y is not None and s is not None]
+    slices = {("Overall", ""): held, **{("a", v): [h for h in held if h[2] == v] for v in ("p", "q", None)},
+              **{("b", str(v)): [h for h in held if h[3] == v] for v in range(4)}}
+    for k, part in slices.items():
+        pos, neg = [h[1] for h in part if h[0]], [h[1] for h in part if not h[0]]
+        auc = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / (len(pos) * len(neg))
+        assert got[k][1:] == (len(pos), len(neg)) and abs(got[k][0] - auc) < 1e-12, k
+    assert set(got) == set(slices)
+
+
+def _series(spark):
+    rows = [(u, t, float((t * 7 + u) % 5 + t % 3)) for u in (1, 2) for t in range(40)] + [(3, t, 1.0) for t in range(2)]
+    rows += [(None, t, float(t % 4)) for t in range(20)] + [(4, t, None if t == 19 else float(t % 6)) for t in range(20)]
+    return spark.createDataFrame(rows, "u int, t int, n double"), rows
