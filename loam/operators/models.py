@@ -7,9 +7,11 @@ AR forecast is a native aggregate over the last ``p`` values of each series.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
-from pyspark.ml import Pipeline
+import numpy as np
+import pyarrow as pa
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -19,11 +21,15 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from loam.functions import linalg as L
 from loam.functions.numeric import decimal_ratio
 from loam.operators.ranking import group_row_number, halo_blocks, join_side_table
 
+# Series whose forecasts are worked out together.
+FORECAST_ROWS = 2048
+
 
 def assemble(df: DataFrame, inputs: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(inputs), outputCol=out, handleInvalid="keep").transform(df)
@@ -126,19 +132,45 @@ def ar_forecast(series: DataFrame, keys: Sequence[str], order_cols: Sequence[str
     tail = ranked.filter((F.col("_n") >= p) & (F.col("t") > F.col("_n") - p)).groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct("t", F.col(value).cast("double").alias("v"))), asc=False).alias("_tail"))
 
-    def step(acc, _):
-        y = F.lit(b0)
-        for k, c in enumerate(coef):
-            y = y + F.lit(c) * acc["last"][k]
-        return F.transform(F.array(y), lambda x: F.struct(
-            F.concat(F.array(x), F.slice(acc["last"], 1, p - 1)).alias("last"), F.concat(acc["out"], F.array(x)).alias("out")))[0]
-
-    start = F.struct(F.transform("_tail", lambda s: s["v"]).alias("last"), F.array().cast("array<double>").alias("out"))
-    out = tail.select(*keys, F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda acc: acc["out"]).alias("_f"))
+    last = F.transform("_tail", lambda s: s["v"])
+    out = with_forecasts(tail.select(*keys, last.alias("_last"), F.lit(b0).alias("_b0"), F.array(*[F.lit(c) for c in coef]).alias("_b")), horizon)
     return out.select(*keys, F.posexplode("_f").alias("_h", "forecast")).select(
         *keys, (F.col("_h") + 1).alias("h"), "forecast")
 
 
+def with_forecasts(df: DataFrame, horizon: int, out: str = "_f") -> DataFrame:
+    """``df`` without ``_last`` (p values, newest first), ``_b0`` and ``_b``, and with ``out``: ``horizon`` forecasts of an AR(p) model.
+
+    The recursion runs over all series of a batch at once, one step after the other, so its cost grows with the
+    horizon, not with its square.  A null among the last values makes all forecasts null.
+    """
+    keep = [c for c in df.columns if c not in ("_last", "_b0", "_b")]
+    schema = StructType([*(df.schema[c] for c in keep), StructField(out, ArrayType(DoubleType()))])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, FORECAST_ROWS):
+                part = whole.slice(start, FORECAST_ROWS)
+                n = part.num_rows
+                col = lambda c: part.column(part.schema.get_field_index(c))
+                flat = lambda c: np.asarray(col(c).flatten().to_numpy(zero_copy_only=False), float).reshape(n, -1).T
+                last, b, b0 = flat("_last"), flat("_b"), col("_b0").to_numpy(zero_copy_only=False)
+                known = col("_last").flatten().is_valid().to_numpy(zero_copy_only=False).reshape(n, -1).all(axis=1)
+                steps = np.empty((horizon, n))
+                with np.errstate(over="ignore", invalid="ignore"):      # a model may diverge
+                    for h in range(horizon):
+                        total = np.zeros(n)
+                        for k in range(len(b)):
+                            total = b[k] * last[k] + total
+                        steps[h] = b0 + total
+                        last = np.concatenate([steps[h:h + 1], last[:-1]])
+                values = pa.array(steps.T.ravel(), mask=np.repeat(~known, horizon))
+                f = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * horizon), values)
+                yield pa.RecordBatch.from_arrays([*(col(c) for c in keep), f], names=[*keep, out])
+
+    return df.mapInArrow(run, schema)
+
+
 def _lagged(ranked: DataFrame, keys: Sequence[str], value: str, p: int) -> tuple[DataFrame, list[str]]:
     """``ranked`` (numbered by ``t``) with the ``p`` values before each, over halo blocks."""
     lags = [f"_lag{k}" for k in range(1, p + 1)]
@@ -163,12 +195,14 @@ def ar_fit_by_series(ranked: DataFrame, keys: Sequence[str], value: str, p: int,
 
 
 def ar_forecast_by_series(series: DataFrame, keys: Sequence[str], order_cols: Sequence[str | Column], value: str,
-                          p: int, horizon: int, penalty: float = 0.0, train_fraction: float | None = None) -> DataFrame:
+                          p: int, horizon: int, penalty: float = 0.0, train_fraction: float | None = None,
+                          with_model: bool = False) -> DataFrame:
     """One AR(p) model a series and its forecasts: (keys..., h, forecast), and ``actual`` with ``train_fraction``.
 
     With ``train_fraction`` the models see the first floor(fraction * n) values of each series only, forecasts start
-    behind them, and ``actual`` is the value at that place (null behind the end).  The recursion runs over the last
-    p values as a native aggregate.  Series with fewer than p values to start from, or without a model, are left out.
+    behind them, and ``actual`` is the value at that place (null behind the end, and where a key is null).  The last p
+    values and the ``horizon`` values behind them come from one grouping of the series.  ``with_model`` adds the lag
+    coefficients ``b``.  Series with fewer than p values to start from, or without a model, are left out.
     """
     keys = list(keys)
     ranked = group_row_number(series, keys, order_cols, out="t", size_col="_n")
@@ -177,26 +211,22 @@ def ar_forecast_by_series(series: DataFrame, keys: Sequence[str], order_cols: Se
         ranked = ranked.withColumn("_cut", F.floor(F.col("_n") * num / den))
     else:
         ranked = ranked.withColumn("_cut", F.col("_n"))
-    seen = ranked.filter(F.col("t") <= F.col("_cut"))
-    models = ar_fit_by_series(seen.select(*keys, "t", value), keys, value, p, penalty)
-    tail = seen.filter(F.col("t") > F.col("_cut") - p).groupBy(*keys).agg(           # the last p values, newest first
-        F.sort_array(F.collect_list(F.struct("t", F.col(value).cast("double").alias("v"))), asc=False).alias("_tail")).filter(F.size("_tail") == p)
-    last = F.transform("_tail", lambda s: s["v"])
-
-    def step(acc, _):
-        y = F.col("b0") + L.dot(F.col("b"), acc["last"])
-        return F.transform(F.array(y), lambda x: F.struct(
-            F.concat(F.array(x), F.slice(acc["last"], 1, p - 1)).alias("last"), F.concat(acc["out"], F.array(x)).alias("out")))[0]
-
-    start = F.struct(last.alias("last"), F.array().cast("array<double>").alias("out"))
-    out = join_side_table(tail, models, keys).select(
-        *keys, F.posexplode(F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda acc: acc["out"])).alias("_h", "forecast"))
-    out = out.select(*keys, (F.col("_h") + 1).alias("h"), "forecast")
-    if train_fraction is None:
-        return out
-    truth = ranked.filter((F.col("t") > F.col("_cut")) & (F.col("t") <= F.col("_cut") + horizon)).select(
-        *keys, (F.col("t") - F.col("_cut")).cast("int").alias("h"), F.col(value).cast("double").alias("actual"))
-    return out.join(truth, [*keys, "h"], "left")
+    models = ar_fit_by_series(ranked.filter(F.col("t") <= F.col("_cut")).select(*keys, "t", value), keys, value, p, penalty)
+    near = ranked.filter((F.col("t") > F.col("_cut") - p) & (F.col("t") <= F.col("_cut") + horizon))      # p + horizon values a series
+    entry = F.struct("t", F.col(value).cast("double").alias("v"))
+    tail = near.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.when(F.col("t") <= F.col("_cut"), entry)), asc=False).alias("_tail"),           # newest first
+        F.sort_array(F.collect_list(F.when(F.col("t") > F.col("_cut"), entry))).alias("_truth")).filter(F.size("_tail") == p)
+    carried = [*keys, *(["b"] if with_model else []), *(["_truth"] if train_fraction is not None else [])]
+    j = join_side_table(tail, models, keys).withColumns({
+        "_last": F.transform("_tail", lambda s: s["v"]), "_b0": F.col("b0"), "_b": F.col("b"), "_truth": F.transform("_truth", lambda s: s["v"])})
+    f = with_forecasts(j.select(*carried, "_last", "_b0", "_b"), horizon)
+    out = f.select(*carried, F.posexplode("_f").alias("_h", "forecast"))
+    named = None
+    for k in keys:
+        named = F.col(k).isNotNull() if named is None else named & F.col(k).isNotNull()
+    actual = [F.when(named, F.get("_truth", F.col("_h"))).alias("actual")] if train_fraction is not None else []
+    return out.select(*keys, (F.col("_h") + 1).alias("h"), "forecast", *(["b"] if with_model else []), *actual)
 
 
 def regression_rmse(pred: DataFrame, label: str, prediction: str = "prediction") -> float:

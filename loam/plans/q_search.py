@@ -155,12 +155,10 @@ FROM f JOIN b USING (user_id) WHERE h IN {HORIZONS}
 """, ids=("ML9",))
 def ar_forecast_by_user(spark, sf):
     """One AR(3) model of every user's daily counts, its coefficients and its forecasts at horizons 10 to 300."""
-    daily = _daily_counts(spark, sf)
-    f = M.ar_forecast_by_series(daily, ["user_id"], ["day"], "n", p=3, horizon=max(HORIZONS), penalty=AR_PENALTY)
-    ranked = M.group_row_number(daily, ["user_id"], ["day"], out="t")
-    b = M.ar_fit_by_series(ranked, ["user_id"], "n", 3, AR_PENALTY).select("user_id", *[r6(F.col("b")[i]).alias(f"lag{i + 1}") for i in range(3)])
-    return f.filter(F.col("h").isin(*HORIZONS)).join(b, "user_id").select(
-        "user_id", "h", F.round("forecast", 5).alias("forecast"), "lag1", "lag2", "lag3")
+    f = M.ar_forecast_by_series(_daily_counts(spark, sf), ["user_id"], ["day"], "n", p=3, horizon=max(HORIZONS), penalty=AR_PENALTY,
+                                with_model=True)
+    return f.filter(F.col("h").isin(*HORIZONS) & F.col("user_id").isNotNull()).select(
+        "user_id", "h", F.round("forecast", 5).alias("forecast"), *[r6(F.col("b")[i]).alias(f"lag{i + 1}") for i in range(3)])
 
 
 @register("forecast_rmse_by_horizon", _sql_ar_by_user(max(HORIZONS), "CAST(floor(m * 7 / 10) AS BIGINT)") + """,

@@ -133,3 +133,21 @@ def _series(spark):
     rows = [(u, t, float((t * 7 + u) % 5 + t % 3)) for u in (1, 2) for t in range(40)] + [(3, t, 1.0) for t in range(2)]
     rows += [(None, t, float(t % 4)) for t in range(20)] + [(4, t, None if t == 19 else float(t % 6)) for t in range(20)]
     return spark.createDataFrame(rows, "u int, t int, n double"), rows
+
+
+def test_forecasts_follow_their_model_step_by_step(spark):
+    from loam.operators import models as M
+    df, rows = _series(spark)
+    out = M.ar_forecast_by_series(df, ["u"], ["t"], "n", p=3, horizon=30, penalty=0.05, with_model=True)
+    assert "MapInArrow" in plan(out)                         # before: an aggregate that copied its arrays at every step
+    got = defaultdict(list)
+    for r in out.orderBy("u", "h").collect():
+        got[r.u].append((r.forecast, r.b))
+    assert set(got) == {None, 1, 2, 4} and all(v is None for v, _ in got[4])
+    for u in (None, 1, 2):
+        last = [n for x, _, n in rows if x == u][:-4:-1]
+        level = got[u][0][0] - sum(b * x for b, x in zip(got[u][0][1], last))
+        for v, b in got[u]:
+            y = level + sum(c * x for c, x in zip(b, last))
+            assert abs(v - y) < 1e-9
+            last = [y, *last[:-1]]
