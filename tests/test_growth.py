@@ -151,3 +151,14 @@ def test_forecasts_follow_their_model_step_by_step(spark):
             y = level + sum(c * x for c, x in zip(b, last))
             assert abs(v - y) < 1e-9
             last = [y, *last[:-1]]
+
+
+def test_held_out_values_come_with_the_tails(spark):
+    from loam.operators import models as M
+    df, rows = _series(spark)
+    out = M.ar_forecast_by_series(df, ["u"], ["t"], "n", p=3, horizon=15, train_fraction=0.7)
+    assert not re.search(r"Exchange hashpartitioning\([^)]*\bh#", plan(out))         # before: a join of all (series, step)
+    got = {(r.u, r.h): r.actual for r in out.collect()}
+    value = {(u, t): n for u, t, n in rows}
+    cut = {1: 28, 2: 28, 4: 14}
+    assert got == {(u, h): value.get((u, c + h - 1)) for u, c in cut.items() for h in range(1, 16)} | {(None, h): None for h in range(1, 16)}
