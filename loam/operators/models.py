@@ -91,22 +91,28 @@ def text_grid_search(df: DataFrame, text: str, label: str, reg_params: Sequence[
 
     Returns (model, rows): the model fitted on all rows with the best parameters (``bestModel``), and
     every grid point with its mean score; ``best`` marks the one of the model."""
-    # the tokenizer has no parameters and learns nothing: run it once, outside the folds
+    # tokenizer and hashing learn nothing: they run once, outside the folds, and their short vectors are kept
+    # instead of the words; the folds' rows are those of the words' frame
     words = Tokenizer(inputCol=text, outputCol="_words").transform(df).select("_words", label)
-    words = words.persist()
-    tf = HashingTF(inputCol="_words", outputCol="_tf")
-    idf = IDF(inputCol="_tf", outputCol="_tfidf")          # fitted per fold: no leakage
+    hashing = {n: HashingTF(inputCol="_words", outputCol=f"_tf{n}", numFeatures=n) for n in num_features}
+    counts = words
+    for tf in hashing.values():
+        counts = tf.transform(counts)
+    counts = counts.drop("_words").persist()
+    idf = IDF(outputCol="_tfidf")          # fitted per fold: no leakage
     lr = LogisticRegression(labelCol=label, featuresCol="_tfidf", maxIter=20)
-    pipe = Pipeline(stages=[tf, idf, lr])
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).addGrid(tf.numFeatures, list(num_features)).build()
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, numFolds=folds, seed=seed, parallelism=parallelism,
+    points = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).addGrid(
+        idf.inputCol, [tf.getOutputCol() for tf in hashing.values()]).build()
+    cv = CrossValidator(estimator=Pipeline(stages=[idf, lr]), estimatorParamMaps=points, numFolds=folds, seed=seed, parallelism=parallelism,
                         evaluator=BinaryClassificationEvaluator(labelCol=label))
-    model = cv.fit(words)
-    words.unpersist()
-    rows = []
-    top = max(range(len(grid)), key=lambda i: model.avgMetrics[i])
-    for i, (pm, metric) in enumerate(zip(grid, model.avgMetrics)):
-        rows.append({p.name: v for p, v in pm.items()} | {"auc": float(metric), "best": i == top})
+    model = cv.fit(counts)
+    counts.unpersist()
+    width = {tf.getOutputCol(): n for n, tf in hashing.items()}
+    top = max(range(len(points)), key=lambda i: model.avgMetrics[i])
+    rows = [{"regParam": pm[lr.regParam], "numFeatures": width[pm[idf.inputCol]], "auc": float(metric), "best": i == top}
+            for i, (pm, metric) in enumerate(zip(points, model.avgMetrics))]
+    # the model reads words, so its hashing goes before what was fitted
+    model.bestModel = PipelineModel([hashing[rows[top]["numFeatures"]], *model.bestModel.stages])
     return model, rows
 
 

@@ -110,6 +110,21 @@ def test_top_k_tfidf_broadcasts_its_vocabulary(spark):
     assert Counter((r.doc_id, r.term_id, round(r.tf_idf, 9)) for r in w.collect()) == want
 
 
+def test_grid_search_hashes_once_and_its_model_reads_words(spark, monkeypatch):
+    from pyspark.ml.feature import HashingTF
+
+    from loam.operators import models as M
+    calls = []
+    transform = HashingTF.transform
+    monkeypatch.setattr(HashingTF, "transform", lambda self, *a: calls.append(self.getNumFeatures()) or transform(self, *a))
+    df = spark.createDataFrame([(f"{'good fine' if i % 2 else 'bad poor'} w{i % 7} v{i % 5}", float(i % 2)) for i in range(60)], "text string, label double")
+    model, rows = M.text_grid_search(df, "text", "label", [0.01, 0.1], [16, 64], folds=2)
+    assert sorted(calls) == [16, 64]                                     # before: for every fold and grid point
+    assert {(r["regParam"], r["numFeatures"]) for r in rows} == {(a, b) for a in (0.01, 0.1) for b in (16, 64)} and sum(r["best"] for r in rows) == 1
+    out = model.bestModel.transform(df.selectExpr("split(lower(text), ' ') as _words", "label"))
+    assert out.filter("label = prediction").count() == 60
+
+
 def test_sliced_auc_ranks_ranges_without_copies_per_slice(spark, monkeypatch):
     from loam.operators import evaluate as ev
     monkeypatch.setattr(ev, "AUC_ROWS", 7, raising=False)
