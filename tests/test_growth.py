@@ -177,3 +177,18 @@ def test_held_out_values_come_with_the_tails(spark):
     value = {(u, t): n for u, t, n in rows}
     cut = {1: 28, 2: 28, 4: 14}
     assert got == {(u, h): value.get((u, c + h - 1)) for u, c in cut.items() for h in range(1, 16)} | {(None, h): None for h in range(1, 16)}
+
+
+def test_shards_grow_with_the_table(spark, tmp_path, monkeypatch):
+    import glob
+
+    from loam.operators.transform import FeatureSpec
+    from loam.sources import sinks
+    monkeypatch.setattr(sinks, "SHARD_ROWS", 100, raising=False)
+    spec = FeatureSpec(key=("id",), numeric=("x",), categorical=(), target="y")
+    for n, files in ((350, 4), (1001, 11)):
+        df = spark.range(n).selectExpr("id", "id as x", "id as y")
+        sinks.write_feature_shards(df, spec, f"{tmp_path}/f{n}", num_shards=4)
+        sinks.write_delimited(df, f"{tmp_path}/d{n}", num_shards=4)
+        assert len(glob.glob(f"{tmp_path}/f{n}/part-*")) == len(glob.glob(f"{tmp_path}/d{n}/part-*")) == files
+        assert spark.read.parquet(f"{tmp_path}/f{n}").count() == n
