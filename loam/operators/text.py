@@ -10,6 +10,11 @@ Scale notes:
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +63,25 @@ def token_counts(docs: DataFrame, doc_id: str, tokens: Column, with_length: bool
     return counted(once).unionByName(counted(again).groupBy(*keys, "token").agg(F.sum("cnt").alias("cnt")))
 
 
+def batch_token_counts(docs: DataFrame, tokens: Column) -> DataFrame:
+    """(token, df, cnt) of every batch of ``docs``, whose rows are one document each; a token comes once a batch.
+
+    A task holds one batch's tokens at a time.  A partial aggregation in its place holds all different tokens of
+    the task's input, which for n-grams are nearly as many as there are words, and spills.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            words = lists.flatten().dictionary_encode(null_encoding="encode")
+            at, n = words.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(words.dictionary)
+            pairs = np.sort(at * batch.num_rows + pc.list_parent_indices(lists).to_numpy(zero_copy_only=False))
+            pairs = pairs[np.diff(pairs, prepend=-1) > 0] // max(batch.num_rows, 1)         # each (token, row) once
+            yield pa.RecordBatch.from_arrays([words.dictionary, pa.array(np.bincount(pairs, minlength=n), pa.int64()),
+                                              pa.array(np.bincount(at, minlength=n), pa.int64())], names=["token", "df", "cnt"])
+
+    return docs.select(tokens.alias("_tk")).mapInArrow(run, "token string, df long, cnt long")
+
+
 # A vocabulary of at most so many rows (its top_k) is sent to all tasks.
 BROADCAST_ROWS = 200_000
 
@@ -133,13 +157,23 @@ def sparse_bow(weights: DataFrame, doc_id: str, size: int | Column, index: str =
 
 def ngram_counts(docs: DataFrame, doc_id: str, tokens: Column, n_values: tuple[int, ...] = (1, 2),
                  max_df: float = 1.0) -> DataFrame:
-    """(ngram, df, cnt) over the n-gram vocabulary kept by df <= max_df * N."""
+    """(ngram, df, cnt) over the n-gram vocabulary kept by df <= max_df * N.
+
+    N-grams are counted batch by batch and dealt by n-gram before anything else adds them up, so no task holds
+    more than a batch or its own share of them.
+    """
     from loam.functions.text import ngrams
     # project the tokens once; the n-gram lambdas then index a column, not a regex
     tk = docs.select(F.col(doc_id), tokens.alias("_tk"))
     grams = F.flatten(F.array(*[ngrams(F.col("_tk"), n) for n in n_values]))
-    tc = token_counts(tk, doc_id, grams).withColumnRenamed("token", "ngram")
-    stats = tc.groupBy("ngram").agg(F.count(F.lit(1)).alias("df"), F.sum("cnt").alias("cnt"))
+    once, again = split_repeated(tk, doc_id)
+    counts = batch_token_counts(once, grams)
+    if again is not None:
+        tc = explode_tokens(again, [F.col(doc_id)], count_distinct_values(grams), "_t").select(doc_id, "_t.token", "_t.cnt")
+        tc = tc.groupBy(doc_id, "token").agg(F.sum("cnt").alias("cnt"))
+        counts = counts.unionByName(tc.select("token", F.lit(1).cast("long").alias("df"), "cnt"))
+    stats = counts.withColumnRenamed("token", "ngram").repartition("ngram").groupBy("ngram").agg(
+        F.sum("df").alias("df"), F.sum("cnt").alias("cnt"))
     n = docs.agg(F.count(F.lit(1)).alias("_n"))
     kept = stats.crossJoin(F.broadcast(n)).filter(F.col("df") <= F.lit(float(max_df)) * F.col("_n"))
     return kept.select("ngram", "df", "cnt")

@@ -78,6 +78,25 @@ def test_ngrams_are_dealt_by_ngram_only(spark):
     assert got == {(g, df[g], cnt[g]) for g in df}
 
 
+def test_ngrams_are_counted_by_batch_not_by_task(spark):
+    from loam.functions.text import word_tokens
+    from loam.operators.text import batch_token_counts, ngram_counts
+    once = texts(spark, [(i, t) for i, (_, t) in enumerate(TEXTS)])
+    above = plan(ngram_counts(once, "doc_id", word_tokens("text"))).split("Exchange hashpartitioning(ngram")[1].splitlines()[1]
+    assert "Aggregate" not in above                          # before: a map of all different n-grams of a task, spilled
+    rows = [(["a", "b", "a", None],), (["b"],), ([],), (None,), (["c", None, None],), (["a"],)]
+    df = spark.createDataFrame(rows, "tk array<string>").coalesce(1)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for n in ("2", "100"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+        try:
+            got = batch_token_counts(df, F.col("tk")).groupBy("token").agg(F.sum("df"), F.sum("cnt"), F.count(F.lit(1))).collect()
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        assert {r[0]: (r[1], r[2]) for r in got} == {"a": (2, 3), "b": (2, 2), "c": (1, 1), None: (2, 3)}
+        assert n == "2" or all(r[3] == 1 for r in got)       # once a batch
+
+
 def test_hashed_vectors_sum_sentences_within_the_row(spark):
     from loam.operators.text import hashed_doc_vector
     rows = [(1, "aa bb. aa cc! dd"), (2, "bb bb. cc"), (2, "bb bb. cc"), (2, "dd"), (None, "aa. aa"), (None, "cc"), (3, None), (4, ".")]
