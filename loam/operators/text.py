@@ -20,8 +20,7 @@ from pyspark.sql import functions as F
 
 from loam.functions.arrays import count_distinct_values, let, sum_by_value
 from loam.functions.hashing import md5_int
-from loam.operators.analyze import vocabulary
-from loam.operators.ranking import global_row_number, join_side_table
+from loam.operators.ranking import global_row_number, join_side_table, limit_ordered
 from loam.session import cached, materialize
 
 
@@ -114,19 +113,28 @@ def tfidf(docs: DataFrame, doc_id: str, tokens: Column, top_k: int | None = None
     """
     tc = token_counts(docs, doc_id, tokens, with_length=True)
     n = docs.agg(F.count(F.lit(1)).alias("_n"))
-    if vocab is None and top_k is None:
-        # every token has an id: frequency and df come from one aggregation, and the (doc, token) rows
-        # are dealt once, by token
+    small = top_k is not None and top_k <= BROADCAST_ROWS
+    if vocab is None:
+        # a token has an id of its own or none: frequency and df come from one aggregation by token
         counts = tc.filter(F.col("token").isNotNull()).groupBy("token").agg(
             F.sum("cnt").cast("long").alias("frequency"), F.count(F.lit(1)).alias("df"))
-        ranked = global_row_number(counts, [F.desc("frequency"), F.desc("token")], out="_rn")
+        order = [F.desc("frequency"), F.desc("token")]
+        ranked = limit_ordered(counts, order, top_k, rank_col="_rn") if top_k is not None else global_row_number(counts, order, out="_rn")
         ranked = ranked.withColumn("id", (F.col("_rn") - 1).cast("int"))
         vocab = ranked.select("token", "frequency", "id")
         side = ranked.crossJoin(F.broadcast(n)).select("token", "id", "df", _idf("_n", "df").alias("idf"))
-        j = tc.join(side.hint("shuffle_hash"), "token")
+        if top_k is None:
+            j = tc.join(side.hint("shuffle_hash"), "token")         # the (doc, token) rows are dealt once, by token
+        else:
+            side = F.broadcast(side) if small else side
+            # only what is added up is dealt, one row a document; kept, as its df and its weights both read it
+            rest = cached(tc.join(side, tc["token"] == side["token"], "left_anti").groupBy(doc_id, "_len").agg(F.sum("cnt").alias("cnt")))
+            rest_df = rest.agg(F.count(F.lit(1)).alias("df"))
+            oov = rest.crossJoin(F.broadcast(rest_df)).crossJoin(F.broadcast(n)).withColumns(
+                {"id": F.lit(top_k), "idf": _idf("_n", "df")})
+            cols = [doc_id, "_len", "cnt", "id", "df", "idf"]
+            j = tc.join(side, "token").select(*cols).unionByName(oov.select(*cols))
     else:
-        if vocab is None:
-            vocab = vocabulary(tc, "token", top_k=top_k, count_col="cnt")
         m = lookup_ids(tc, vocab, top_k if top_k is not None else F.lit(None).cast("int"), top_k)
         if top_k is None:
             m = m.filter(F.col("id").isNotNull())
@@ -134,7 +142,6 @@ def tfidf(docs: DataFrame, doc_id: str, tokens: Column, top_k: int | None = None
         per = cached(m.groupBy(doc_id, "_len", "id").agg(F.sum("cnt").alias("cnt")))
         dfreq = per.groupBy("id").agg(F.count(F.lit(1)).alias("df"))
         idf = dfreq.crossJoin(F.broadcast(n)).select("id", "df", _idf("_n", "df").alias("idf"))
-        small = top_k is not None and top_k <= BROADCAST_ROWS
         j = join_side_table(per, F.broadcast(idf) if small else idf, ["id"])
     w = j.select(F.col(doc_id), F.col("id").alias("term_id"), (F.col("cnt") / F.col("_len")).alias("tf"),
                  "df", "idf")

@@ -129,6 +129,22 @@ def test_top_k_tfidf_broadcasts_its_vocabulary(spark):
     assert Counter((r.doc_id, r.term_id, round(r.tf_idf, 9)) for r in w.collect()) == want
 
 
+def test_top_k_tfidf_deals_only_the_rest_of_a_document(spark):
+    from loam.functions.text import tokenize
+    from loam.operators.text import tfidf
+    rows = [(i, t) for i, (_, t) in enumerate(TEXTS)] + [(8, "z y, z z"), (9, "a")]
+    for k in (2, 50):                                        # 50: nothing is out of the vocabulary
+        w, vocab = tfidf(texts(spark, rows), "doc_id", tokenize(F.col("text")), top_k=k)
+        assert not re.search(r"Exchange hashpartitioning\([^)]*\bid#", plan(w))          # before: every (doc, id) row
+        freq = sorted(Counter(x for _, t in rows for x in words(t)).items(), key=lambda e: (e[1], e[0]), reverse=True)[:k]
+        assert {(r.token, r.frequency, r.id) for r in vocab.collect()} == {(x, f, i) for i, (x, f) in enumerate(freq)}
+        ids = {x: i for i, (x, _) in enumerate(freq)}
+        cnt = Counter((d, len(words(t)), ids.get(x, k)) for d, t in rows for x in words(t))
+        df = Counter(i for _, _, i in cnt)
+        want = Counter((d, i, df[i], round(c / n * (1 + log((len(rows) + 1) / (df[i] + 1))), 9)) for (d, n, i), c in cnt.items())
+        assert Counter((r.doc_id, r.term_id, r.df, round(r.tf_idf, 9)) for r in w.collect()) == want
+
+
 def test_grid_search_hashes_once_and_its_model_reads_words(spark, monkeypatch):
     from pyspark.ml.feature import HashingTF
 
