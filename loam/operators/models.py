@@ -144,13 +144,14 @@ def ar_forecast(series: DataFrame, keys: Sequence[str], order_cols: Sequence[str
         *keys, (F.col("_h") + 1).alias("h"), "forecast")
 
 
-def with_forecasts(df: DataFrame, horizon: int, out: str = "_f") -> DataFrame:
+def with_forecasts(df: DataFrame, horizon: int, out: str = "_f", steps: str | None = None) -> DataFrame:
     """``df`` without ``_last`` (p values, newest first), ``_b0`` and ``_b``, and with ``out``: ``horizon`` forecasts of an AR(p) model.
 
     The recursion runs over all series of a batch at once, one step after the other, so its cost grows with the
-    horizon, not with its square.  A null among the last values makes all forecasts null.
+    horizon, not with its square.  A null among the last values makes all forecasts null.  With the column ``steps``
+    (dropped) a row gets so many forecasts only, ``horizon`` at most.
     """
-    keep = [c for c in df.columns if c not in ("_last", "_b0", "_b")]
+    keep = [c for c in df.columns if c not in ("_last", "_b0", "_b", steps)]
     schema = StructType([*(df.schema[c] for c in keep), StructField(out, ArrayType(DoubleType()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,16 +163,18 @@ def with_forecasts(df: DataFrame, horizon: int, out: str = "_f") -> DataFrame:
                 flat = lambda c: np.asarray(col(c).flatten().to_numpy(zero_copy_only=False), float).reshape(n, -1).T
                 last, b, b0 = flat("_last"), flat("_b"), col("_b0").to_numpy(zero_copy_only=False)
                 known = col("_last").flatten().is_valid().to_numpy(zero_copy_only=False).reshape(n, -1).all(axis=1)
-                steps = np.empty((horizon, n))
+                wanted = np.clip(col(steps).to_numpy(), 0, horizon) if steps else np.full(n, horizon)
+                longest = wanted.max(initial=0)
+                values = np.empty((longest, n))
                 with np.errstate(over="ignore", invalid="ignore"):      # a model may diverge
-                    for h in range(horizon):
+                    for h in range(longest):
                         total = np.zeros(n)
                         for k in range(len(b)):
                             total = b[k] * last[k] + total
-                        steps[h] = b0 + total
-                        last = np.concatenate([steps[h:h + 1], last[:-1]])
-                values = pa.array(steps.T.ravel(), mask=np.repeat(~known, horizon))
-                f = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * horizon), values)
+                        values[h] = b0 + total
+                        last = np.concatenate([values[h:h + 1], last[:-1]])
+                flat_values = pa.array(values.T[np.arange(longest) < wanted[:, None]], mask=np.repeat(~known, wanted))
+                f = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(wanted)]), pa.int32()), flat_values)
                 yield pa.RecordBatch.from_arrays([*(col(c) for c in keep), f], names=[*keep, out])
 
     return df.mapInArrow(run, schema)
@@ -202,13 +205,14 @@ def ar_fit_by_series(ranked: DataFrame, keys: Sequence[str], value: str, p: int,
 
 def ar_forecast_by_series(series: DataFrame, keys: Sequence[str], order_cols: Sequence[str | Column], value: str,
                           p: int, horizon: int, penalty: float = 0.0, train_fraction: float | None = None,
-                          with_model: bool = False) -> DataFrame:
+                          with_model: bool = False, held_out_only: bool = False) -> DataFrame:
     """One AR(p) model a series and its forecasts: (keys..., h, forecast), and ``actual`` with ``train_fraction``.
 
     With ``train_fraction`` the models see the first floor(fraction * n) values of each series only, forecasts start
     behind them, and ``actual`` is the value at that place (null behind the end, and where a key is null).  The last p
     values and the ``horizon`` values behind them come from one grouping of the series.  ``with_model`` adds the lag
-    coefficients ``b``.  Series with fewer than p values to start from, or without a model, are left out.
+    coefficients ``b``; ``held_out_only`` stops each series at its end, so there are no more rows than values.
+    Series with fewer than p values to start from, or without a model, are left out.
     """
     keys = list(keys)
     ranked = group_row_number(series, keys, order_cols, out="t", size_col="_n")
@@ -226,7 +230,8 @@ def ar_forecast_by_series(series: DataFrame, keys: Sequence[str], order_cols: Se
     carried = [*keys, *(["b"] if with_model else []), *(["_truth"] if train_fraction is not None else [])]
     j = join_side_table(tail, models, keys).withColumns({
         "_last": F.transform("_tail", lambda s: s["v"]), "_b0": F.col("b0"), "_b": F.col("b"), "_truth": F.transform("_truth", lambda s: s["v"])})
-    f = with_forecasts(j.select(*carried, "_last", "_b0", "_b"), horizon)
+    steps = "_steps" if held_out_only and train_fraction is not None else None
+    f = with_forecasts(j.select(*carried, "_last", "_b0", "_b", *([F.size("_truth").alias(steps)] if steps else [])), horizon, steps=steps)
     out = f.select(*carried, F.posexplode("_f").alias("_h", "forecast"))
     named = None
     for k in keys:

@@ -170,7 +170,7 @@ SELECT h, round(sqrt(sum(sse) OVER o / sum(k) OVER o), 6) AS rmse, round(sum(sae
 def forecast_rmse_by_horizon(spark, sf):
     """Error of the users' forecasts over their first h steps, for every h: models see 70 % of each series."""
     f = M.ar_forecast_by_series(_daily_counts(spark, sf), ["user_id"], ["day"], "n", p=3, horizon=max(HORIZONS),
-                                penalty=AR_PENALTY, train_fraction=0.7)
+                                penalty=AR_PENALTY, train_fraction=0.7, held_out_only=True)
     m = ev.error_by_horizon(f, "h", "actual", "forecast")
     return m.select("h", r6("rmse").alias("rmse"), r6("mae").alias("mae"), "n")
 

@@ -214,6 +214,23 @@ def test_held_out_values_come_with_the_tails(spark):
     assert got == {(u, h): value.get((u, c + h - 1)) for u, c in cut.items() for h in range(1, 16)} | {(None, h): None for h in range(1, 16)}
 
 
+def test_only_held_out_steps_are_forecast(spark, tmp_path, monkeypatch):
+    from __spark_entry__ import queries
+    from loam.operators import evaluate as ev
+    from loam.operators import models as M
+    df, rows = _series(spark)
+    both = [{(r.u, r.h): (r.forecast, r.actual) for r in M.ar_forecast_by_series(
+        df, ["u"], ["t"], "n", p=3, horizon=8, train_fraction=0.7, **more).collect()} for more in ({}, {"held_out_only": True})]
+    behind = Counter(u for u, _, _ in rows)
+    behind = {u: n - int(n * 7 // 10) for u, n in behind.items()}
+    assert both[1] == {(u, h): v for (u, h), v in both[0].items() if h <= behind[u]} and len(both[1]) < len(both[0])
+    seen = []
+    monkeypatch.setattr(ev, "error_by_horizon", lambda d, *a, real=ev.error_by_horizon: seen.append(d.count()) or real(d, *a))
+    spark.range(200).selectExpr("id % 4 as user_id", "timestamp'2024-01-01 00:00:00' + make_dt_interval(int(id div 4) div 2) as ts").write.parquet(f"{tmp_path}/events.parquet")
+    out = queries()["forecast_rmse_by_horizon"](spark, str(tmp_path)).collect()
+    assert seen == [4 * 8] and sorted((r.h, r.n) for r in out) == [(h, 4 * h) for h in range(1, 9)]      # before: 300 steps a user
+
+
 def test_shards_grow_with_the_table(spark, tmp_path, monkeypatch):
     import glob
 
